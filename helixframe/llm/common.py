@@ -64,3 +64,12 @@ LONGS = T.ArrayType(T.LongType())
 
 def env_path(name: str, default: str) -> str:
     return os.environ.get(name, default)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df, written once as Parquet to the shared folder and read from there: a step that survives lost executors."""
+    import uuid
+
+    path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
