@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, exact_dedup, substring_dedup
+from . import bpe, chat, exact_dedup, packing, substring_dedup
 
 QUERIES = {
+    "op9_packing": packing.op9_packing,
     "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op5_bpe": bpe.op5_bpe,
     "op6_chat_formatting": chat.op6_chat_formatting,
