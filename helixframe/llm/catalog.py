@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, exact_dedup, ngram_join, packing, substring_dedup
+from . import additive_quantisation, bpe, chat, exact_dedup, ngram_join, packing, substring_dedup
 
 QUERIES = {
+    "op1_additive_quantisation": additive_quantisation.op1_additive_quantisation,
     "op3_ngram_jaccard": ngram_join.op3_ngram_jaccard,
     "op9_packing": packing.op9_packing,
     "op4_substring_dedup": substring_dedup.op4_substring_dedup,
