@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import documents_of, small_batches, table
 
-#: Text pieces a task remembers, with their ids, before it starts afresh.
-REMEMBERED = 250_000
+#: Text pieces a worker remembers, with their ids, before only those in use are carried over.
+REMEMBERED = 200_000
 #: Stands for the end-of-word suffix while words are cut; a private-use character.
 END = ""
 NEVER = np.int64(1) << 40
@@ -64,10 +64,7 @@ class WordBPE:
         mark = lambda t: t[: -len(self.suffix)] + END if t.endswith(self.suffix) else t
         self.vocab = {mark(t): i for t, i in model["vocab"].items()}
         self.names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
-        #: The length of the longest token by its first two characters.
-        self.reach: dict[str, int] = {}
-        for t in self.vocab:
-            self.reach[t[:2]] = max(len(t), self.reach.get(t[:2], 2))
+        self.grow_trie()
         self.ranks: dict[tuple[int, int], int] = {}
         size = max(self.names) + 1
         self.rank, self.left, self.right = np.full(size, -1, np.int64), np.arange(size), np.arange(size)
@@ -88,6 +85,7 @@ class WordBPE:
         for r, z in enumerate(made):
             self.reachable[z] = whole[r] and self.reachable[self.left[z]] and self.reachable[self.right[z]]
         self.remembered: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
 
     def rank_of(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         key = x * self.size + y
@@ -115,16 +113,49 @@ class WordBPE:
             x, y = np.where(of_x, self.right[x], x), np.where(of_x, y, self.left[y])
         return good
 
-    def longest_tokens(self, word: str) -> list[int]:
-        """Greedy cut of a word that ends with END; that belongs to the last character."""
-        found, i, n, get, reach = [], 0, len(word), self.vocab.get, self.reach.get
-        while i < n:
-            j = min(n, i + reach(word[i : i + 2], 2))
-            while j == n - 1 or (token := get(word[i:j])) is None:
-                j -= 1 if j > i + 1 else -1  # a lone last character takes END along
-            found.append(token)
-            i = j
-        return found
+    def grow_trie(self) -> None:
+        """Sorted (node, character) keys of a trie of all tokens; END is the last character code."""
+        children: dict[int, int] = {}
+        ends = {}
+        for t, i in self.vocab.items():
+            node = 0
+            for c in t:
+                node = children.setdefault(node << 10 | min(ord(c), 1023), len(children) + 1)
+            ends[node] = i
+        keys = np.fromiter(children, np.int64, len(children))
+        order = np.argsort(keys)
+        self.trie_keys, self.trie_nodes = keys[order], order + 1
+        self.trie_tokens = np.full(len(children) + 1, -1, np.int64)
+        self.trie_tokens[list(ends)] = list(ends.values())
+
+    def longest_tokens(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy cut of all words at once: tokens, and the word of each; END goes with the last character."""
+        codes = np.minimum(np.frombuffer("".join(words).encode("utf-32-le"), np.uint32), 1023).astype(np.int64)
+        stop = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        live, at = np.arange(len(words)), np.concatenate(([0], stop[:-1]))
+        tokens, owners = [], []
+        while len(live):
+            node, q = np.zeros(len(live), np.int64), at.copy()
+            token, next_at = np.full(len(live), -1, np.int64), at.copy()
+            on = np.arange(len(live))
+            while len(on):
+                key = node[on] << 10 | codes[q[on]]
+                k = np.minimum(np.searchsorted(self.trie_keys, key), len(self.trie_keys) - 1)
+                hit = self.trie_keys[k] == key
+                on, k = on[hit], k[hit]
+                node[on] = self.trie_nodes[k]
+                q[on] += 1
+                found = self.trie_tokens[node[on]]
+                full = (found >= 0) & (q[on] != stop[live[on]] - 1)
+                token[on[full]], next_at[on[full]] = found[full], q[on[full]]
+                on = on[q[on] < stop[live[on]]]
+            tokens.append(token)
+            owners.append(live)
+            more = next_at < stop[live]
+            live, at = live[more], next_at[more]
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(tokens)[order], owner[order]
 
     def merged(self, words: list[str]) -> list[list[int]]:
         """Plain BPE of words: the pair of least rank merges, leftmost first, until none is left."""
@@ -187,35 +218,43 @@ class WordBPE:
 
     def segment(self, words: list[str]) -> list[list[int]]:
         """Token ids of distinct words (byte characters, END at the end of each)."""
-        guesses = [self.longest_tokens(w) for w in words]
-        sizes = np.fromiter(map(len, guesses), np.int64, len(guesses))
-        flat = np.fromiter((t for g in guesses for t in g), np.int64, sizes.sum())
-        owner = np.repeat(np.arange(len(words)), sizes)
+        flat, owner = self.longest_tokens(words)
         failed = np.zeros(len(words), bool)
         failed[owner[~self.reachable[flat]]] = True
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         pairs, back = np.unique(flat[inner] * self.size + flat[inner + 1], return_inverse=True)
         good = self.compatible(pairs // self.size, pairs % self.size)[back]
         failed[owner[inner[~good]]] = True
-        again = np.flatnonzero(failed)
+        ends = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
+        tokens = flat.tolist()
+        cut = [tokens[i:j] for i, j in zip(ends, ends[1:], strict=False)]
+        again = np.flatnonzero(failed).tolist()
         for i, ids in zip(again, self.merged([words[i] for i in again]), strict=True):
-            guesses[i] = ids
-        return guesses
+            cut[i] = ids
+        return cut
 
-    def learn(self, pieces: set[str]) -> None:
+    def learn(self, pieces: list[str]) -> None:
         """Remembers ids and decoded text of pieces (runs of text without white space)."""
-        plan, distinct = [], {}
-        for piece in pieces:
-            parts = []
-            for part in self.special_pattern.split(piece) if "<|" in piece else (piece,):
-                if part in self.special:
-                    parts.append(self.special[part])
-                elif part:
-                    # One character at a time, as the library does: no final sigma.
-                    part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                    for w in self.words.findall(part):
-                        w = (w if w.isascii() and w.isprintable() else "".join([self.bytes[b] for b in w.encode()])) + END
-                        parts.append(distinct.setdefault(w, (len(distinct),)))
+        # One character at a time, as the library lower-cases: no final sigma.
+        low = unicodedata.normalize("NFC", " ".join(pieces)).replace("Σ", "σ").lower().split(" ")
+        plan: list[tuple[str, list]] = []
+        distinct: dict[str, tuple[int]] = {}
+
+        def add(parts: list, text: str) -> None:
+            for w in (text,) if text.isalpha() else self.words.findall(text):
+                w = (w if w.isascii() and w.isprintable() else "".join([self.bytes[b] for b in w.encode()])) + END
+                parts.append(distinct.setdefault(w, (len(distinct),)))
+
+        for piece, text in zip(pieces, low, strict=True):
+            parts: list = []
+            if "<|" not in piece:
+                add(parts, text)
+            else:
+                for part in self.special_pattern.split(piece):
+                    if part in self.special:
+                        parts.append(self.special[part])
+                    else:
+                        add(parts, unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
             plan.append((piece, parts))
         cut = self.segment(list(distinct)) if distinct else []
         flat: list[int] = []
@@ -239,10 +278,12 @@ class WordBPE:
         """For each text its ids (little-endian unsigned 32-bit) and their decoded text."""
         cut = [self.pieces(t) for t in texts]
         if len(self.remembered) > REMEMBERED:
-            self.remembered.clear()
-        new = {p for pieces in cut for p in pieces if p not in self.remembered}
-        if new:
-            self.learn(new)
+            self.older, self.remembered = self.remembered, {}
+        known, older = self.remembered, self.older
+        new = {p for pieces in cut for p in pieces if p not in known}
+        known.update({p: older[p] for p in new if p in older})
+        if unknown := [p for p in new if p not in known]:
+            self.learn(unknown)
         get = self.remembered.__getitem__
         for pieces in cut:
             entries = list(map(get, pieces))
