@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from . import additive_quantisation, bpe, chat, exact_dedup, ngram_join, packing, substring_dedup
+from . import additive_quantisation, bpe, chat, exact_dedup, ngram_join, packing, pseudonyms, quality, substring_dedup, toxicity
 
 QUERIES = {
+    "op10_quality": quality.op10_quality,
+    "op7_toxicity": toxicity.op7_toxicity,
+    "op2_pseudonyms": pseudonyms.op2_pseudonyms,
     "op1_additive_quantisation": additive_quantisation.op1_additive_quantisation,
     "op3_ngram_jaccard": ngram_join.op3_ngram_jaccard,
     "op9_packing": packing.op9_packing,
