@@ -82,7 +82,7 @@ def uclust(spark: SparkSession, path: Paths) -> DataFrame:
 def clstr(spark: SparkSession, path: str) -> DataFrame:
     """cluster, member_no, length, gene_id, is_representative of a cluster listing; a cluster's text is one record."""
     records = spark.read.option("lineSep", ">Cluster ").text(path).filter(F.trim("value") != "")
-    each = records.select(F.trim(F.split("value", "\n")[0]).cast("int").alias("cluster"), F.explode(F.slice(F.split(F.trim("value"), "\n"), 2, 1 << 30)).alias("m"))
+    each = records.select(F.trim(F.split("value", "\n")[0]).cast("int").alias("cluster"), F.explode(F.filter(F.slice(F.split("value", "\n"), 2, 1 << 30), lambda x: F.trim(x) != "")).alias("m"))
     part = lambda p: F.regexp_extract("m", p, 1)
     return each.select("cluster", part(r"^(\d+)").cast("int").alias("member_no"), part(r"\s(\d+)(?:nt|aa),").cast("int").alias("length"), part(r">(.+?)\.\.\.").alias("gene_id"), F.col("m").endswith("*").alias("is_representative"))
 

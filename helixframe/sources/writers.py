@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 
 def formatted(df: DataFrame, decimals: int = 3) -> DataFrame:
-    """Doubles as text of fixed decimals, null as the text None; other columns as they are."""
+    """Doubles as text of fixed decimals, null as the text None; other columns as they are.
+
+    Rounding is that of the exact binary value, half to even; only values below one unit of the
+    last place may differ in it.
+    """
     def cell(name: str, kind: str):
         text = F.call_function("format_number", F.col(name).cast("double"), F.lit("0." + "0" * decimals)) if kind in ("double", "float") else F.col(name).cast("string")
         return F.when(F.col(name).isNull(), "None").otherwise(text).alias(name)
