@@ -93,8 +93,9 @@ def genomes(spark: SparkSession, path: Paths) -> DataFrame:
 
 def samples(spark: SparkSession, manifest: Paths, file: str, schema: str) -> DataFrame:
     """The tables of all samples of a manifest in one scan, each row with its sample_name."""
-    listed = tsv(spark, manifest, schemas.SAMPLES)
-    paths = [f"{r.midas_outdir}/{r.sample_name}/{file}" for r in listed.toLocalIterator()]  # one short line a sample
+    # The manifest's columns go by position: the name of the second varies.
+    listed = spark.read.options(sep="\t", header=True, enforceSchema=True).schema(schemas.SAMPLES).csv(manifest if isinstance(manifest, str) else list(manifest))
+    paths = [f"{r.outdir}/{r.sample_name}/{file}" for r in listed.toLocalIterator()]  # one short line a sample
     name = F.regexp_extract(F.input_file_name(), r"([^/]+)/" + file.replace(".", r"\.") + "$", 1)
     return tsv(spark, paths, schema).withColumn("sample_name", name)
 

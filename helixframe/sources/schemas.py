@@ -14,7 +14,7 @@ SNPS_SUMMARY = "species_id string, genome_length int, covered_bases int, total_d
 PILEUP = "ref_id string, ref_pos int, ref_allele string, depth int, count_a int, count_c int, count_g int, count_t int"
 PILEUP_ADVANCED = PILEUP + ", major_allele string, minor_allele string, major_allele_freq double, minor_allele_freq double, allele_counts int"
 GENOMES = "genome string, species string, representative string, genome_is_representative int"
-SAMPLES = "sample_name string, midas_outdir string"
+SAMPLES = "sample_name string, outdir string"
 UCLUST = "type string, cluster_id string, size string, pid string, strand string, skip1 string, skip2 string, skip3 string, gene_id string, centroid_id string"
 GFF = "seqid string, source string, type string, start int, end int, score string, strand string, phase string, attributes string"
 
