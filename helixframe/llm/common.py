@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Class of the white space between words, for Java regular expressions: U+0020 and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]"
@@ -40,8 +42,11 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bounds the rows that a Python task holds at once: texts can be very long."""
+    """Before Python tasks: bounds the rows that one holds at once, as texts can be very long, and lets local workers import this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
 
 
 def whole_text(column: str | Column = "text") -> Column:
@@ -59,17 +64,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-LONGS = T.ArrayType(T.LongType())
-
-
-def env_path(name: str, default: str) -> str:
-    return os.environ.get(name, default)
-
-
 def stored(df: DataFrame) -> DataFrame:
-    """df, written once as Parquet to the shared folder and read from there: a step that survives lost executors."""
-    import uuid
+    """df, written once as Parquet to the shared folder and read from there: a step that survives lost executors.
 
-    path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    What led to it is then no longer needed. Spark deletes the shuffle files of plans that the
+    driver has forgotten when its JVM collects garbage, so that is asked for here.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return found

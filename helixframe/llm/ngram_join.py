@@ -6,10 +6,14 @@ share a subset link, nothing else is to be checked. Large sets put their shingle
 into inverted lists, which are scanned for candidates that are then checked exactly. The size
 that parts small from large is where the estimated costs of both sum to the least.
 
-Equal sets are one class throughout. Lists are scanned by leaders: each member is checked
-against one leader a round, members that are found to belong together leave the list, and only
-what is still apart after some rounds is compared pair by pair. A large group of near copies so
-takes checks in proportion to its size, and no link between components is lost.
+Equal sets are one class throughout. A set too few of whose posted shingles are shared cannot
+have a link and leaves early. Short lists give all their pairs. A link that shows in long lists
+alone (large groups of copies, passages that many share) is between sets that have many
+shingles in such lists; those sets are posted again, rarest shingles first, so that what merely
+shares a passage meets no more. There each member is checked against one leader of the list a
+round, what is found to belong together needs no further pairs, and only the rest is compared
+pair by pair. A large group of near copies so takes checks in proportion to its size, and no
+link between components is lost.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,7 +35,9 @@ from .words import gram_hashes, mixed, range_hashes, word_blocks
 WORDS = 5
 PERCENT = 75
 #: Rounds of leaders before what is left is compared pair by pair.
-ROUNDS = 3
+ROUNDS = 2
+#: Lists of up to so many sets give all their pairs.
+SHORT = 12
 #: Largest set size that may count as small, and the cost of a posting against a subset.
 SMALL_MOST, POSTING_COST = 12, 6
 
@@ -70,7 +76,7 @@ def class_keys(docs: DataFrame, words: int) -> DataFrame:
             n = np.zeros(len(batch), np.int64)
             k1, k2 = np.zeros(len(batch), np.uint64), np.zeros(len(batch), np.uint64)
             for r, s in shingle_sets(batch.column(2), words):
-                n[r], k1[r], k2[r] = len(s), mixed(s).sum(), mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum()
+                n[r], (k1[r], k2[r]) = len(s), class_key(s)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))], ["doc_id", "th", "n", "k1", "k2"])
 
     return docs.select("doc_id", "th", "text").mapInArrow(keys, "doc_id long, th long, n long, k1 long, k2 long")
@@ -86,16 +92,26 @@ def cheapest_boundary(sizes: dict[int, int], percent: int = PERCENT) -> int:
     return min(range(SMALL_MOST + 1), key=cost)
 
 
-def subset_keys(reps: DataFrame, words: int, boundary: int, percent: int) -> DataFrame:
-    """doc_id and key of every subset that a small set enumerates for a partner's size."""
+def posted(n, percent: int = PERCENT):
+    """How many shingles of a set of n are posted."""
+    return n - own_overlap(n, percent) + 1 + extra(n)
+
+
+def class_key(s: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    return mixed(s).sum(), mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum()
+
+
+def subset_keys(docs: DataFrame, words: int, boundary: int, percent: int) -> DataFrame:
+    """key of every subset that a small set enumerates for a partner's size, with the set's class (n, k1, k2)."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out_ids, out_keys = batch.column(0).to_pylist(), [], []
-            for r, s in shingle_sets(batch.column(1), words):
+            out: list[tuple] = []
+            for _, s in shingle_sets(batch.column(0), words):
                 n = len(s)
                 if n > boundary:
                     continue
+                k1, k2 = (int(k.view(np.int64)) for k in class_key(s))
                 for m in range(own_overlap(n, percent), min(boundary, 100 * n // percent) + 1):
                     c = least_overlap(n, m, percent)
                     if c > min(n, m):
@@ -104,37 +120,32 @@ def subset_keys(reps: DataFrame, words: int, boundary: int, percent: int) -> Dat
                     found = np.full(len(at), min(n, m) << 32 | max(n, m), np.uint64)
                     for k in range(c):
                         found = mixed(found * np.uint64(0x2545F4914F6CDD1D) + s[at[:, k]])
-                    out_keys += found.view(np.int64).tolist()
-                    out_ids += [ids[r]] * len(at)
-            yield pa.RecordBatch.from_arrays([pa.array(out_ids, pa.int64()), pa.array(out_keys, pa.int64())], ["doc_id", "key"])
+                    out += [(key, n, k1, k2) for key in found.view(np.int64).tolist()]
+            columns = list(zip(*out, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "n", "k1", "k2"])
 
-    return reps.filter(F.col("n") <= boundary).select("doc_id", "text").mapInArrow(keys, "doc_id long, key long")
+    # A set of so few shingles has few words, but words may be long or repeated: no text is left out here.
+    return docs.select("text").mapInArrow(keys, "key long, n long, k1 long, k2 long").distinct()
 
 
-def postings(reps: DataFrame, words: int, least_size: int, percent: int) -> DataFrame:
-    """token, doc_id, n, place of the shingles of least hash of each large set."""
+def postings(reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """token, doc_id of the shingles of least hash of each large set."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, tokens, owners, sizes, places = np.asarray(batch.column(0)), [], [], [], []
+            ids, tokens, owners = np.asarray(batch.column(0)), [], []
             for r, s in shingle_sets(batch.column(1), words):
-                n = len(s)
-                q = n - own_overlap(n, percent) + 1 + extra(n)
+                q = posted(len(s), percent)
                 tokens.append(s[:q])
                 owners.append(np.full(q, ids[r]))
-                sizes.append(np.full(q, n, np.int32))
-                places.append(np.arange(q, dtype=np.int32))
             if tokens:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places))], ["token", "doc_id", "n", "place"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(owners))], ["token", "doc_id"])
 
-    return reps.filter(F.col("n") >= least_size).select("doc_id", "text").mapInArrow(post, "token long, doc_id long, n int, place int")
+    return reps.select("doc_id", "text").mapInArrow(post, "token long, doc_id long")
 
 
-def shared_only(posted: DataFrame) -> DataFrame:
+def shared_only(rows: DataFrame) -> DataFrame:
     """The postings whose list has another member; sorted lists stream by, none is held whole."""
-    columns = ["token", "doc_id", "n", "place"]
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: pa.RecordBatch | None = None  # the last row so far, not yet settled
@@ -142,20 +153,22 @@ def shared_only(posted: DataFrame) -> DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
-            rows = batch if before is None else pa.Table.from_batches([before, batch]).combine_chunks().to_batches()[0]
-            token = np.asarray(rows.column(0))
+            now = batch if before is None else pa.Table.from_batches([before, batch]).combine_chunks().to_batches()[0]
+            token = np.asarray(now.column(0))
             same = token[1:] == token[:-1]
             keep = np.zeros(len(token), bool)
             keep[0] = linked
             keep[1:] |= same
             keep[:-1] |= same
             linked = bool(keep[-1])
-            before = rows.slice(len(rows) - 1)
-            yield rows.slice(0, len(rows) - 1).filter(pa.array(keep[:-1]))
+            before = now.slice(len(now) - 1)
+            yield now.slice(0, len(now) - 1).filter(pa.array(keep[:-1]))
         if before is not None and linked:
             yield before
 
-    return posted.repartition(partitions(posted.sparkSession), "token").sortWithinPartitions("token").mapInArrow(shared, posted.select(columns).schema)
+    spark = rows.sparkSession
+    small_batches(spark, 50_000)
+    return rows.repartition(partitions(spark), "token").sortWithinPartitions("token").mapInArrow(shared, "token long, doc_id long")
 
 
 def set_table(reps: DataFrame, words: int) -> DataFrame:
@@ -171,35 +184,76 @@ def set_table(reps: DataFrame, words: int) -> DataFrame:
     return reps.select("doc_id", "text").mapInArrow(sets, "doc_id long, tokens array<long>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b whose sets link."""
-    left, right = (sets.select(F.col("doc_id").alias(k), F.col("tokens").alias(f"{k}_tokens")) for k in ("a", "b"))
+def least_shared(n: Column, m: Column, percent: int) -> Column:
+    """Least number of posted shingles that linking sets of n and m share.
+
+    The extra(least) + 1 least common shingles are posted by both; and the overlap beyond what
+    either did not post is within what both did.
+    """
+    rest = lambda x: F.ceil(percent * x / 100) - 1 - F.floor(x / 8)  # noqa: E731  not posted
+    return F.greatest(1 + F.floor(F.least(n, m) / 8), F.ceil(percent * (n + m) / (100 + percent)) - F.greatest(rest(n), rest(m)))
+
+
+def verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b whose sets link; those that share too few posted shingles are not looked up in full."""
+
+    def beside(pairs: DataFrame, table_: DataFrame, *columns: str) -> DataFrame:
+        for k in "ab":
+            pairs = pairs.join(table_.select(F.col("doc_id").alias(k), *[F.col(c).alias(f"{k}_{c}") for c in columns]), k)
+        return pairs
+
+    near = beside(pairs.distinct(), sketches, "n", "posted").filter(
+        (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) & (F.size(F.array_intersect("a_posted", "b_posted")) >= least_shared(F.col("a_n"), F.col("b_n"), percent))
+    )
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    return pairs.distinct().join(left, "a").join(right, "b").filter(100 * both >= percent * (F.size("a_tokens") + F.size("b_tokens") - both)).select("a", "b")
+    return beside(near.select("a", "b"), sets, "tokens").filter(100 * both >= percent * (F.size("a_tokens") + F.size("b_tokens") - both)).select("a", "b")
+
+
+def pairs_within(lists: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a list (token, doc_id, n) that sizes allow."""
+    other = lists.select("token", F.col("doc_id").alias("b"), F.col("n").alias("m"))
+    return lists.join(other, "token").filter((F.col("doc_id") < F.col("b")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))).select(F.col("doc_id").alias("a"), "b")
+
+
+def rarest_first(sets: DataFrame, percent: int) -> DataFrame:
+    """token, doc_id, n, left, central of lists over the least prefix of each set, shingles that fewest of these sets have first.
+
+    left is how many shingles of the set come from this one on, central how many sets its shingles are in on average.
+    """
+    each = sets.select("doc_id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("k"))
+    of_doc = Window.partitionBy("doc_id")
+    placed = each.join(counts, "token").withColumn("left", F.col("n") + 1 - F.row_number().over(of_doc.orderBy("k", "token"))).withColumn("central", F.avg("k").over(of_doc))
+    # A shingle that no other of these sets has keeps its place in the prefix but makes no list.
+    return placed.filter((F.col("left") >= F.ceil(percent * F.col("n") / 100)) & (F.col("k") > 1)).select("token", "doc_id", "n", "left", "central")
 
 
-def list_links(lists: DataFrame, sets: DataFrame, percent: int, rounds: int) -> DataFrame:
-    """Links that connect what the lists' links connect. lists: token, doc_id, n, place of postings within the least prefix."""
-    bound = F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
-    near = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (F.col("n") - F.col("place") >= bound) & (F.col("m") - F.col("lead_place") >= bound)
+def leader_links(lists: DataFrame, check, percent: int, rounds: int) -> DataFrame:
+    """Links that connect what all links of the lists connect, None if there are no pairs; check gives those of candidate pairs that link.
+
+    The leader is the set whose shingles are the commonest: of edited copies, what they were made
+    from. A pair counts in a list only if, with this the first shingle they share, enough are left.
+    """
     links = None
     for k in range(rounds + 1):
+        now = lists.withColumn("component", F.col("doc_id"))
         if links is not None:
-            names = components(links)
-            lists_now = lists.join(names.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        else:
-            lists_now = lists.withColumn("component", F.col("doc_id"))
-        mixed_lists = lists_now.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max_by(F.struct("doc_id", "n", "place", "component"), F.xxhash64("doc_id", F.lit(k))).alias("lead")).filter("least < most")
+            now = lists.join(components(links).withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        order = F.struct("central", "doc_id") if k == 0 else F.struct(F.xxhash64("doc_id", F.lit(k)), "doc_id")
+        open_lists = stored(now.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max_by(F.struct("doc_id", "n", "left", "component"), order).alias("lead")).filter("least < most"))
+        if open_lists.isEmpty():
+            break
         if k < rounds:
-            pairs = lists_now.join(mixed_lists, "token").filter(F.col("component") != F.col("lead.component")).select(
-                "doc_id", "n", "place", F.col("lead.doc_id").alias("other"), F.col("lead.n").alias("m"), F.col("lead.place").alias("lead_place")
-            )
+            other = open_lists.select("token", "lead.*")
         else:
-            apart = stored(lists_now.join(mixed_lists.select("token"), "token", "left_semi"))
-            other = apart.select("token", F.col("doc_id").alias("other"), F.col("n").alias("m"), F.col("place").alias("lead_place"), F.col("component").alias("other_component"))
-            pairs = apart.join(other, "token").filter((F.col("doc_id") < F.col("other")) & (F.col("component") != F.col("other_component")))
-        pairs = pairs.filter(near).select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b"))
-        found = stored(verified(pairs, sets, percent))
+            now = stored(now.join(open_lists.select("token"), "token", "left_semi"))
+            other = now
+        other = other.select("token", *[F.col(c).alias(f"other_{c}") for c in ("doc_id", "n", "left", "component")])
+        may = (F.col("component") != F.col("other_component")) & (F.least("left", "other_left") >= F.ceil(percent * (F.col("n") + F.col("other_n")) / (100 + percent)))
+        if k == rounds:
+            may &= F.col("doc_id") < F.col("other_doc_id")
+        pairs = now.join(other, (now["token"] == other["token"]) & may).select(F.least("doc_id", "other_doc_id").alias("a"), F.greatest("doc_id", "other_doc_id").alias("b"))
+        found = stored(check(pairs))
         links = found if links is None else links.unionByName(found)
     return links
 
@@ -220,21 +274,28 @@ def ngram_jaccard_join(docs: DataFrame, *, words: int = WORDS, percent: int = PE
     classes = stored(real.groupBy("n", "k1", "k2").agg(F.min(F.struct("doc_id", "th")).alias("rep")).select("n", "k1", "k2", F.col("rep.doc_id").alias("class_id"), F.col("rep.th").alias("th")))
     histogram = {r.n: r.k for r in classes.filter(F.col("n") <= 2 * SMALL_MOST).groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()}
     boundary = cheapest_boundary(histogram, percent)
-    reps = docs.join(classes.select(F.col("class_id").alias("doc_id"), "th", "n"), ["doc_id", "th"])
-
-    subsets = subset_keys(reps, words, boundary, percent).distinct()
-    leaders = subsets.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-    light = subsets.join(leaders, "key").filter("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-
-    shared = shared_only(postings(reps, words, own_overlap(boundary + 1, percent), percent))
-    # A link of sets of n and m shows in 1 + extra(least of both) lists at least; a partner has percent of n or more.
-    enough = 1 + F.floor(F.floor((percent * F.col("n") + 99) / 100) / 8)
-    alive = shared.withColumn("lists", F.count(F.lit(1)).over(Window.partitionBy("doc_id"))).filter(F.col("lists") >= enough)
-    alive = stored(alive.filter(F.col("place") <= F.col("n") - F.ceil(percent * F.col("n") / 100)).select("token", "doc_id", "n", "place"))
-    lists = alive.join(alive.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token"), "token", "left_semi")
-    lists = stored(lists)
-    sets = stored(set_table(reps.join(lists.select("doc_id").distinct(), "doc_id", "left_semi"), words))
-    heavy = list_links(lists, sets, percent, rounds)
+    # Small sets.
+    subsets = subset_keys(docs, words, boundary, percent).join(classes.filter(F.col("n") <= boundary).select("n", "k1", "k2", "class_id"), ["n", "k1", "k2"]).select("key", "class_id")
+    leaders = subsets.groupBy("key").agg(F.min("class_id").alias("a"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    light = stored(subsets.join(leaders, "key").filter("a < class_id").select("a", F.col("class_id").alias("b")).distinct())
+
+    # Large sets, and the small ones that such a set may link with.
+    large = classes.filter(F.col("n") >= own_overlap(boundary + 1, percent)).select(F.col("class_id").alias("doc_id"), "th", "n")
+    shared = stored(shared_only(postings(docs.join(large.drop("n"), ["doc_id", "th"]), words, percent)))
+    smallest = F.ceil(percent * F.col("n") / 100)  # partner
+    enough = F.greatest(1 + F.floor(smallest / 8), F.ceil(percent * (F.col("n") + smallest) / (100 + percent)) - (F.ceil(percent * F.col("n") / 100) - 1 - F.floor(F.col("n") / 8)) - 1)
+    sketches = stored(shared.groupBy("doc_id").agg(F.collect_list("token").alias("posted")).join(large.select("doc_id", "n"), "doc_id").filter(F.size("posted") >= enough))
+    alive = sketches.select("doc_id", "n", F.explode("posted").alias("token"))
+    counts = alive.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    lists = stored(alive.join(counts, "token"))
+    small_batches(spark)
+    sets = stored(set_table(docs.join(large.join(sketches, "doc_id", "left_semi").select("doc_id", "th"), ["doc_id", "th"]), words))
+    check = lambda pairs: verified(pairs, sketches, sets, percent)
+    cold = stored(check(pairs_within(lists.filter(F.col("k") <= SHORT).select("token", "doc_id", "n"), percent)))
+    hot = lists.filter(F.col("k") > SHORT).groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= enough).select("doc_id")
+    again = stored(rarest_first(sets.join(hot, "doc_id", "left_semi"), percent))
+    links = leader_links(again, check, percent, rounds)
+    heavy = cold if links is None else cold.unionByName(links)
 
     names = components(light.unionByName(heavy)).select(F.col("node").alias("class_id"), "component")
     found = classes.select("n", "k1", "k2", "class_id").join(names, "class_id", "left")
@@ -249,3 +310,21 @@ def ngram_jaccard_join(docs: DataFrame, *, words: int = WORDS, percent: int = PE
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+SQL = {
+    "op3_ngram_jaccard": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0) x
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y, c = nx.n AND c = ny.n AS same FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+r(x, y) AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+reach AS (SELECT x AS doc_id, min(y) AS y FROM r GROUP BY 1),
+equal AS (SELECT x AS doc_id, min(y) AS y FROM l WHERE same GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(reach.y, d.doc_id)) AS component_id, least(d.doc_id, coalesce(equal.y, d.doc_id)) AS class_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN reach USING (doc_id) LEFT JOIN equal USING (doc_id)
+"""
+}
