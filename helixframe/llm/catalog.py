@@ -17,4 +17,4 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
 }
 
-ORACLES = {**chat.SQL, **exact_dedup.SQL}
+ORACLES = {**chat.SQL, **exact_dedup.SQL, **ngram_join.SQL, **substring_dedup.SQL}
