@@ -84,8 +84,8 @@ class WordBPE:
         self.reachable = np.ones(size, bool)
         for r, z in enumerate(made):
             self.reachable[z] = whole[r] and self.reachable[self.left[z]] and self.reachable[self.right[z]]
-        self.remembered: dict[str, tuple[bytes, str]] = {}
-        self.older: dict[str, tuple[bytes, str]] = {}
+        self.remembered: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def rank_of(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         key = x * self.size + y
@@ -160,26 +160,31 @@ class WordBPE:
     def merged(self, words: list[str]) -> list[list[int]]:
         """Plain BPE of words: the pair of least rank merges, leftmost first, until none is left."""
         found: list[list[int]] = [[]] * len(words)
-        short = [i for i, w in enumerate(words) if len(w) <= LONG]
-        for i, w in enumerate(words):
-            if len(w) > LONG:
-                found[i] = self.merged_long(self.letters(w))
-        if not short:
-            return found
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        for i in np.flatnonzero(sizes > LONG).tolist():
+            found[i] = self.merged_long(self.letters(words[i]))
+        # Words of like length together, so that little of the matrix is padding.
+        for low, high in zip((0, 8, 11, 15, 24), (8, 11, 15, 24, LONG), strict=True):
+            some = np.flatnonzero((sizes > low) & (sizes <= high)).tolist()
+            if some:
+                self.merge_matrix(words, some, found)
+        return found
+
+    def merge_matrix(self, words: list[str], short: list[int], found: list[list[int]]) -> None:
         cut = [self.letters(words[i]) for i in short]
         width = max(map(len, cut))
         ids = np.full((len(cut), width + 1), -1, np.int64)
-        for k, c in enumerate(cut):
-            ids[k, : len(c)] = c
+        filled = np.arange(width + 1) < np.fromiter(map(len, cut), np.int64, len(cut))[:, None]
+        ids[filled] = np.fromiter((t for c in cut for t in c), np.int64, int(filled.sum()))
         ranks = np.where((ids[:, :-1] >= 0) & (ids[:, 1:] >= 0), self.rank_of(ids[:, :-1], ids[:, 1:]), NEVER)
         live = np.arange(len(cut))
         places = np.arange(width + 1)
         while len(live):
             at = ranks.argmin(axis=1)
             best = ranks[np.arange(len(live)), at]
-            for k in np.flatnonzero(best == NEVER):
-                row = ids[k]
-                found[short[live[k]]] = row[row >= 0].tolist()
+            done = np.flatnonzero(best == NEVER)
+            for i, row in zip(live[done].tolist(), ids[done].tolist(), strict=True):
+                found[short[i]] = row[: row.index(-1)]
             on = best < NEVER
             live, ids, ranks, at, best = live[on], ids[on], ranks[on], at[on], best[on]
             rows = np.arange(len(live))
@@ -191,7 +196,6 @@ class WordBPE:
                 k = rows[(near >= 0) & (near < width)]
                 x, y = ids[k, near[k]], ids[k, near[k] + 1]
                 ranks[k, near[k]] = np.where(y >= 0, self.rank_of(x, y), NEVER)
-        return found
 
     def letters(self, word: str) -> list[int]:
         return [self.vocab[c] for c in word[:-2]] + [self.vocab[word[-2:]]]
@@ -216,8 +220,8 @@ class WordBPE:
                     heapq.heappush(heap, (r, a, ids[a], ids[after[a]]))
         return [t for t in ids if t >= 0]
 
-    def segment(self, words: list[str]) -> list[list[int]]:
-        """Token ids of distinct words (byte characters, END at the end of each)."""
+    def segment(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of words (byte characters, END at the end of each), one after the other, and how many each has."""
         flat, owner = self.longest_tokens(words)
         failed = np.zeros(len(words), bool)
         failed[owner[~self.reachable[flat]]] = True
@@ -225,72 +229,85 @@ class WordBPE:
         pairs, back = np.unique(flat[inner] * self.size + flat[inner + 1], return_inverse=True)
         good = self.compatible(pairs // self.size, pairs % self.size)[back]
         failed[owner[inner[~good]]] = True
-        ends = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
-        tokens = flat.tolist()
-        cut = [tokens[i:j] for i, j in zip(ends, ends[1:], strict=False)]
-        again = np.flatnonzero(failed).tolist()
-        for i, ids in zip(again, self.merged([words[i] for i in again]), strict=True):
-            cut[i] = ids
-        return cut
+        sizes = np.bincount(owner, minlength=len(words))
+        if failed.any():
+            again = np.flatnonzero(failed)
+            merged = self.merged([words[i] for i in again.tolist()])
+            kept = flat[~failed[owner]]
+            sizes[again] = np.fromiter(map(len, merged), np.int64, len(merged))
+            flat = np.empty(sizes.sum(), np.int64)
+            of_failed = np.repeat(failed, sizes)
+            flat[~of_failed] = kept
+            flat[of_failed] = np.fromiter((t for m in merged for t in m), np.int64, of_failed.sum())
+        return flat, sizes
+
+    def as_words(self, text: str, found: list[str]) -> int:
+        """Appends the words of a normalised text; how many there are."""
+        if text.isalpha():
+            found.append((text if text.isascii() else "".join([self.bytes[b] for b in text.encode()])) + END)
+            return 1
+        words = self.words.findall(text)
+        for w in words:
+            found.append((w if w.isascii() and w.isprintable() else "".join([self.bytes[b] for b in w.encode()])) + END)
+        return len(words)
 
     def learn(self, pieces: list[str]) -> None:
-        """Remembers ids and decoded text of pieces (runs of text without white space)."""
+        """Remembers the ids of pieces (runs of text without white space)."""
         # One character at a time, as the library lower-cases: no final sigma.
         low = unicodedata.normalize("NFC", " ".join(pieces)).replace("Σ", "σ").lower().split(" ")
-        plan: list[tuple[str, list]] = []
-        distinct: dict[str, tuple[int]] = {}
-
-        def add(parts: list, text: str) -> None:
-            for w in (text,) if text.isalpha() else self.words.findall(text):
-                w = (w if w.isascii() and w.isprintable() else "".join([self.bytes[b] for b in w.encode()])) + END
-                parts.append(distinct.setdefault(w, (len(distinct),)))
-
+        words: list[str] = []
+        as_words = self.as_words
+        counts = []
         for piece, text in zip(pieces, low, strict=True):
-            parts: list = []
             if "<|" not in piece:
-                add(parts, text)
+                counts.append(as_words(text, words))
             else:
-                for part in self.special_pattern.split(piece):
-                    if part in self.special:
-                        parts.append(self.special[part])
-                    else:
-                        add(parts, unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
-            plan.append((piece, parts))
-        cut = self.segment(list(distinct)) if distinct else []
-        flat: list[int] = []
-        ends = [0]
-        for _, parts in plan:
-            for p in parts:
-                if isinstance(p, tuple):
-                    flat += cut[p[0]]
-                else:
-                    flat.append(p)
-            ends.append(len(flat))
-        blob, names = np.array(flat, "<u4").tobytes(), list(map(self.names.__getitem__, flat))
-        for (piece, _), i, j in zip(plan, ends, ends[1:], strict=False):
-            self.remembered[piece] = (blob[4 * i : 4 * j], " ".join(names[i:j]))
+                self.remembered[piece] = self.with_special(piece)
+                counts.append(-1)
+        flat, sizes = self.segment(words) if words else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        blob = flat.astype("<u4").tobytes()
+        ends = [0, *(4 * np.cumsum(sizes)).tolist()]
+        at, remembered = 0, self.remembered
+        for piece, n in zip(pieces, counts, strict=True):
+            if n >= 0:
+                remembered[piece] = blob[ends[at] : ends[at + n]]
+                at += n
+
+    def with_special(self, piece: str) -> bytes:
+        """Ids of a piece in which special tokens may stand."""
+        ids = b""
+        for part in self.special_pattern.split(piece):
+            if part in self.special:
+                ids += self.special[part].to_bytes(4, "little")
+            elif part:
+                words: list[str] = []
+                self.as_words(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower(), words)
+                if words:
+                    ids += self.segment(words)[0].astype("<u4").tobytes()
+        return ids
 
     def pieces(self, text: str) -> list[str]:
         # str.split() also cuts at U+001C to U+001F, which are not white space here.
-        return text.split() if not re.search("[\x1c-\x1f]", text) else [p for p in self.blanks.split(text) if p]
+        return [p for p in self.blanks.split(text) if p] if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
-        """For each text its ids (little-endian unsigned 32-bit) and their decoded text."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, little-endian unsigned 32-bit."""
         cut = [self.pieces(t) for t in texts]
         if len(self.remembered) > REMEMBERED:
             self.older, self.remembered = self.remembered, {}
         known, older = self.remembered, self.older
-        new = {p for pieces in cut for p in pieces if p not in known}
-        known.update({p: older[p] for p in new if p in older})
-        if unknown := [p for p in new if p not in known]:
-            self.learn(unknown)
-        get = self.remembered.__getitem__
-        for pieces in cut:
-            entries = list(map(get, pieces))
-            yield b"".join([e[0] for e in entries]), " ".join([e[1] for e in entries if e[1]])
+        new = set().union(*cut).difference(known)
+        again = {p for p in new if p in older}
+        known.update({p: older[p] for p in again})
+        if len(new) > len(again):
+            self.learn(list(new - again))
+        get = known.__getitem__
+        return [b"".join(map(get, pieces)) for pieces in cut]
 
-    def decode(self, ids: list[int]) -> str:
-        return " ".join([self.names[i] for i in ids if i in self.names])
+    def decode(self, ids: np.ndarray | list[int]) -> str:
+        """Tokens with a blank between them, as the library decodes where a file names no decoder."""
+        get = self.names.get
+        return " ".join([t for t in map(get, ids if isinstance(ids, list) else ids.tolist()) if t is not None])
 
 
 @functools.lru_cache(maxsize=2)
@@ -318,8 +335,9 @@ def bpe_encode(docs: DataFrame, *, path: str | None = None) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
         for batch in batches:
-            found = list(bpe.encode(batch.column(1).to_pylist()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), id_lists([f[0] for f in found]), pa.array([f[1] for f in found], pa.string())], ["doc_id", "ids", "decoded"])
+            found = bpe.encode(batch.column(1).to_pylist())
+            decoded = [bpe.decode(np.frombuffer(ids, "<u4")) for ids in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), id_lists(found), pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
 
     return docs.mapInArrow(encode, "doc_id long, ids array<int>, decoded string")
 
