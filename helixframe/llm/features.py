@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents_of
-from .words import _MIX, _power, _BASE, _BASE_INVERSE, Words, mixed
+from .words import _BASE, _BASE_INVERSE, _MIX, Words, _power, mixed
 
 
 def remainder(doc_id: Column, n: int) -> Column:
@@ -16,20 +18,30 @@ def remainder(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n)), F.lit(-1))
 
 
+def labels_of(labels: DataFrame, label: str, learn: Column) -> DataFrame:
+    """doc_id, label of the labelled documents to learn from, one row each."""
+    return labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & learn).groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
 def sample_for_fitting(docs: DataFrame, labels: DataFrame, label: str, learn: Column, *, rows: int, chars: int) -> pd.DataFrame:
-    """At most rows labelled documents of each class (least hash of doc_id first) of at most chars code points: text, label.
+    """At most rows labelled documents of each class, of at most chars code points: text, label.
 
-    This bound, and nothing else, is what fitting sees: it keeps the driver's memory fixed.
+    The ids of least hash are chosen among the labels, twice as many as wanted because some texts
+    are too long or gone. So few ids are broadcast, and no text is shuffled. This bound, and
+    nothing else, is what fitting sees: it keeps the driver's memory fixed.
     """
-    docs = documents_of(docs).filter(F.length("text").between(1, chars) & learn)
-    both = docs.join(labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).filter("label IS NOT NULL"), "doc_id")
-    parts = [both.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id", "text", "label") for k in (0, 1)]
-    return parts[0].unionByName(parts[1]).toPandas()
+    marked = labels_of(labels, label, learn)
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    parts = [marked.filter(F.col("label") == k).orderBy(*order).limit(2 * rows) for k in (0, 1)]
+    chosen = F.broadcast(parts[0].unionByName(parts[1]))  # 4 * rows ids at most
+    found = documents_of(docs).filter(F.length("text").between(1, chars)).join(chosen, "doc_id").select("doc_id", "text", "label").toPandas()
+    found["order"] = [zlib.crc32(str(i).encode()) for i in found["doc_id"]]
+    return found.sort_values(["order", "doc_id"]).drop_duplicates("doc_id").groupby("label").head(rows).reset_index(drop=True)
 
 
-def class_sizes(docs: DataFrame, labels: DataFrame, label: str, learn: Column) -> tuple[int, int]:
+def class_sizes(labels: DataFrame, label: str, learn: Column) -> tuple[int, int]:
     """Labelled documents of either class among those to learn from."""
-    counts = documents_of(docs).filter(learn).select("doc_id").join(labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")), "doc_id").agg(F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1)).first()
+    counts = labels_of(labels, label, learn).agg(F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1)).first()
     return counts[0], counts[1]
 
 

@@ -185,7 +185,7 @@ def quality(docs: DataFrame, labels: DataFrame, *, learn: Column | None = None)
     sample = sample_for_fitting(docs, labels, "quality", learn, rows=SAMPLE_ROWS, chars=SAMPLE_CHARS)
     if sample["label"].nunique() < 2:
         return documents_of(docs).select("doc_id", F.when(F.trim("text") == "", 0.0).otherwise(1.0).alias("score"))
-    net = fit(sample["text"].tolist(), sample["label"].to_numpy(), class_sizes(docs, labels, "quality", learn))
+    net = fit(sample["text"].tolist(), sample["label"].to_numpy(), class_sizes(labels, "quality", learn))
     shared = docs.sparkSession.sparkContext.broadcast(net)  # of fixed size, under a MB
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

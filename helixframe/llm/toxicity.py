@@ -27,6 +27,8 @@ GRAMS = (3, 5, 7)
 #: Bounds of the fitting sample: documents of each class, and their length.
 SAMPLE_ROWS, SAMPLE_CHARS = 1200, 12_000
 EPOCHS, BATCH = 6, 24
+#: Small samples are gone through more often, until there were so many steps.
+STEPS_LEAST, EPOCHS_MOST = 240, 40
 #: Windows scored together.
 CHUNK = 4096
 
@@ -175,9 +177,10 @@ def fit(texts: list[str], labels: np.ndarray, priors: tuple[int, int], *, epochs
         return rows[order][first], np.add.reduceat(g[order], first, axis=0)
 
     balance = {k: 0.5 * len(labels) / max(1, (labels == k).sum()) for k in (0, 1)}
+    epochs = max(epochs, min(EPOCHS_MOST, STEPS_LEAST * BATCH // max(1, len(texts))))
     for epoch in range(epochs):
         order = rng.permutation(len(texts))
-        sharp = (0.5, 1, 2, 2, 3, 3, 3, 3)[min(epoch, 7)]
+        sharp = 0.5 + 2.5 * min(1, 1.5 * epoch / epochs)
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
             for w in word_blocks(pa.array([texts[i] for i in chosen], pa.string()), lower=True):
@@ -259,7 +262,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, learn: Column | None = None)
     sample = sample_for_fitting(docs, labels, "toxic", learn, rows=SAMPLE_ROWS, chars=SAMPLE_CHARS)
     if sample["label"].nunique() < 2:
         return documents_of(docs).select("doc_id", F.lit(0.0).alias("score"))
-    net = fit(sample["text"].tolist(), sample["label"].to_numpy(), class_sizes(docs, labels, "toxic", learn))
+    net = fit(sample["text"].tolist(), sample["label"].to_numpy(), class_sizes(labels, "toxic", learn))
     return score_documents(docs, net)
 
 
