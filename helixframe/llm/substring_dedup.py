@@ -27,6 +27,8 @@ WINDOW = 50
 GRAM = 8
 #: Super-k-mers of one minimiser that one task sorts; more are sorted by Spark, window by window.
 BUCKET = 4096
+#: Windows of a super-k-mer. One word said over and over has the same least hash throughout; such runs are cut here.
+RUN = 128
 
 
 def super_kmers(docs: DataFrame, window: int, gram: int) -> DataFrame:
@@ -49,6 +51,8 @@ def super_kmers(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 new = np.ones(len(places), bool)
                 new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
                 at = np.flatnonzero(new)
+                since = np.arange(len(places)) - np.repeat(at, np.diff(np.append(at, len(places))))
+                at = np.flatnonzero(since % RUN == 0)
                 n = np.diff(np.append(at, len(places)))
                 begin = places[at]
                 pid = range_hashes(w.hashes, begin, begin + n + window - 1)

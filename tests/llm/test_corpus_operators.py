@@ -110,6 +110,12 @@ def test_substring_dedup_awkward(spark):
     assert substring_dedup.substring_dedup(docs(spark, [])).count() == 0
 
 
+def test_substring_dedup_of_one_word_over_and_over(spark):
+    rows = [(1, "la " * 500), (2, "la " * 900 + prose(8, 70)), (3, prose(8, 70) + " la" * 60), (4, "la " * 49)]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup.substring_dedup(docs(spark, rows)).collect()}
+    assert got == dict(removed_by_force(rows)) and got[4][1] == 0
+
+
 def test_exact_dedup(spark):
     rows = [(1, "a b"), (2, "ab"), (3, "a  b"), (4, "ba"), (5, None), (6, " "), (7, "a b"), (8, "c" * 200 + "x"), (9, "c" * 200 + "y")]
     for everything in (True, False):
