@@ -1,8 +1,8 @@
 """Near duplicates by a size-aware heavy-light join on word shingles.
 
 Two sets of shingles link when their Jaccard similarity is at least a threshold, which for their
-sizes is a least overlap. Small sets enumerate their subsets of exactly that size: sets that
-share a subset link, nothing else is to be checked. Large sets put their shingles of least hash
+sizes is a least overlap. Small sets enumerate their subsets of exactly that size: sets of the
+two sizes that share a subset link, nothing else is to be checked. Large sets put their shingles of least hash
 into inverted lists, which are scanned for candidates that are then checked exactly. The size
 that parts small from large is where the estimated costs of both sum to the least.
 
@@ -102,7 +102,7 @@ def class_key(s: np.ndarray) -> tuple[np.uint64, np.uint64]:
 
 
 def subset_keys(docs: DataFrame, words: int, boundary: int, percent: int) -> DataFrame:
-    """key of every subset that a small set enumerates for a partner's size, with the set's class (n, k1, k2)."""
+    """key of every subset that a small set enumerates for a partner's size, with side (1 if the partner is larger, -1 if smaller, 0 if as large) and the set's class (n, k1, k2)."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,12 +120,12 @@ def subset_keys(docs: DataFrame, words: int, boundary: int, percent: int) -> Dat
                     found = np.full(len(at), min(n, m) << 32 | max(n, m), np.uint64)
                     for k in range(c):
                         found = mixed(found * np.uint64(0x2545F4914F6CDD1D) + s[at[:, k]])
-                    out += [(key, n, k1, k2) for key in found.view(np.int64).tolist()]
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "n", "k1", "k2"])
+                    out += [(key, (m > n) - (m < n), n, k1, k2) for key in found.view(np.int64).tolist()]
+            columns = list(zip(*out, strict=True)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "side", "n", "k1", "k2"])
 
     # A set of so few shingles has few words, but words may be long or repeated: no text is left out here.
-    return docs.select("text").mapInArrow(keys, "key long, n long, k1 long, k2 long").distinct()
+    return docs.select("text").mapInArrow(keys, "key long, side long, n long, k1 long, k2 long").distinct()
 
 
 def postings(reps: DataFrame, words: int, percent: int) -> DataFrame:
@@ -275,8 +275,9 @@ def ngram_jaccard_join(docs: DataFrame, *, words: int = WORDS, percent: int = PE
     histogram = {r.n: r.k for r in classes.filter(F.col("n") <= 2 * SMALL_MOST).groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()}
     boundary = cheapest_boundary(histogram, percent)
     # Small sets.
-    subsets = subset_keys(docs, words, boundary, percent).join(classes.filter(F.col("n") <= boundary).select("n", "k1", "k2", "class_id"), ["n", "k1", "k2"]).select("key", "class_id")
-    leaders = subsets.groupBy("key").agg(F.min("class_id").alias("a"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    subsets = subset_keys(docs, words, boundary, percent).join(classes.filter(F.col("n") <= boundary).select("n", "k1", "k2", "class_id"), ["n", "k1", "k2"]).select("key", "side", "class_id")
+    # Sets of one side alone need not link: the subset is of a size that the other side asks for. With both sides there, all are connected.
+    leaders = subsets.groupBy("key").agg(F.min("class_id").alias("a"), F.count(F.lit(1)).alias("k"), F.min("side").alias("least"), F.max("side").alias("most")).filter("k > 1 AND (least = 0 OR least < most)").select("key", "a")
     light = stored(subsets.join(leaders, "key").filter("a < class_id").select("a", F.col("class_id").alias("b")).distinct())
 
     # Large sets, and the small ones that such a set may link with.

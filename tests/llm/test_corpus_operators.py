@@ -60,6 +60,26 @@ def test_ngram_join_equals_brute_force(spark, corpus):
         assert got == {i: (len(s), find(i)) for i, s in sets.items()}
 
 
+@pytest.mark.parametrize("boundary", [5, 12])
+def test_ngram_join_of_small_sets_of_like_size(spark, monkeypatch, boundary):
+    """Two sets of one size that share what a smaller partner would need do not link, unless that partner is there."""
+    monkeypatch.setattr(ngram_join, "cheapest_boundary", lambda *_: boundary)
+    words = lambda prefix, ks: " ".join(f"{prefix}{k}" for k in ks)
+    rows = [words("w", range(1, 9)), words("w", [*range(1, 8), 9]), words("v", range(1, 10)), words("v", [*range(1, 9), 10])]
+    rows += [words("u", range(1, 9)), words("u", [*range(1, 8), 9]), words("u", range(1, 8))]
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_jaccard_join(docs(spark, list(enumerate(rows)))).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 4}
+    rng = random.Random(boundary)
+    sets = {i: frozenset(rng.sample(range(30 * (i % 12), 30 * (i % 12) + 10), rng.randrange(3, 9))) for i in range(120)}
+    pairs = [(i, j) for i in sets for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    root = list(range(120))
+    for _ in root:
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_jaccard_join(docs(spark, [(i, words("w", sorted(s))) for i, s in sets.items()]), words=1).collect()}
+    assert got == dict(enumerate(root))
+
+
 def test_boundary_follows_cost():
     assert ngram_join.cheapest_boundary({}) == 0
     assert 1 <= ngram_join.cheapest_boundary({n: 100 for n in range(1, 25)}) <= ngram_join.SMALL_MOST
