@@ -111,8 +111,18 @@ def read_back(rendered: DataFrame) -> DataFrame:
     )
 
 
+def own_turns(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text with a turn number of its own for each row, from 1 in its conversation.
+
+    Rows go by turn, null turns last, then role, then text (null as empty): rows that repeat a turn
+    are turns one after the other, and so are rows without one.
+    """
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_last("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")), whole_text())
+    return conversations.select("conv_id", F.row_number().over(order).cast("long").alias("turn"), "role", "text")
+
+
 def events_of(conversations: DataFrame, delta_chars: int = DELTA_CHARS) -> DataFrame:
-    """A log as a chat server would have streamed these turns: open, then deltas."""
+    """A log as a chat server would have streamed these turns: open, then deltas. No two rows have the same conv_id and turn (see own_turns)."""
     text = whole_text()
     starts = F.sequence(F.lit(0), F.floor((F.length(text) - 1) / delta_chars).cast("int"))
     pieces = F.when(
@@ -122,13 +132,16 @@ def events_of(conversations: DataFrame, delta_chars: int = DELTA_CHARS) -> DataF
     log = F.concat(F.array(F.struct(F.lit(0).cast("long").alias("k"), F.lit("open").alias("kind"), F.lit("").alias("text"))), pieces)
     width = 1 << 20
     return conversations.select("conv_id", "turn", "role", F.explode(log).alias("e")).select(
-        "conv_id", (F.coalesce("turn", F.lit(-1)) * width + F.col("e.k")).alias("seq"), "turn", F.col("e.kind").alias("kind"), "role", F.col("e.text").alias("text")
+        "conv_id", (F.col("turn") * width + F.col("e.k")).alias("seq"), "turn", F.col("e.kind").alias("kind"), "role", F.col("e.text").alias("text")
     )
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
-    """conv_id, formatted, mask of stored conversations (conv_id, turn, role, text), by replaying them as events."""
-    return render(fold_events(events_of(conversations)))
+    """conv_id, formatted, mask of stored conversations (conv_id, turn, role, text), by replaying them as events.
+
+    Each row is a message, in the order that own_turns defines: by turn, null turns last, then role, then text.
+    """
+    return render(fold_events(events_of(own_turns(conversations))))
 
 
 #: A conversation whose texts look like control strings, formatted beside the others as a standing check.

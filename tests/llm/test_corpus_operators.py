@@ -236,6 +236,19 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(chats.limit(0)).count() == 0
 
 
+def test_chat_of_repeated_and_null_turns(spark):
+    """Every stored row is a message of its own, also where turns repeat or are null."""
+    long = ["".join(chr(97 + (k * s) % 26) for k in range(1500)) for s in (3, 5)]
+    rows = [(1, 0, "user", "b"), (1, 0, "assistant", long[0]), (1, 0, "assistant", long[1]), (1, 0, "user", "b"), (1, 1, "user", "c"), (1, None, "user", "n"), (1, None, "assistant", long[1]), (1, None, None, None), (None, None, "user", "x"), (None, None, "assistant", "y"), (2, -3, "assistant", "z")]
+    chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.read_back(chat.format_chats(chats)).collect()}
+    want = defaultdict(list)
+    for c, _, role, text in sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[2] or "", r[3] or "")):
+        want[c].append((role or "", text or ""))
+    assert {c: [(t.role, t.text) for t in r.turns] for c, r in got.items()} == want
+    assert {c: list(r.learned) for c, r in got.items()} == {c: [t for role, t in turns if role == "assistant"] for c, turns in want.items()}
+
+
 def test_events_are_folded(spark):
     log = [
         (1, 0, "open", "user", None), (2, 0, "delta", None, "he"), (3, 0, "delta", None, "llo"), (4, 1, "open", "assistant", None), (5, 1, "delta", None, "bad"), (6, 2, "open", "user", None), (7, 2, "delta", None, "why"),
