@@ -150,10 +150,41 @@ def ip(f: Feistel, m: re.Match, back: bool) -> str | None:
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
 
+#: Years of two digits are permuted among each other as years of this century, whose leap years they have.
+FIRST_SHORT, LAST_SHORT = datetime.date(2000, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
+
+
+def short_day(order: str, parts: Sequence[str]) -> int | None:
+    at = dict(zip(order, map(int, parts), strict=True))
+    try:
+        return datetime.date(2000 + at["y"], at["m"], at["d"]).toordinal()
+    except ValueError:
+        return None
+
+
+def short_date(f: Feistel, parts: tuple[str, str, str], s: str, back: bool) -> str | None:
+    """A date with a year of two digits; day and month have two as well, or it might be any number."""
+    if any(len(p) != 2 for p in parts):
+        return None
+    orders = ["dmy", "mdy", "ymd"] if s != "/" else ["mdy", "dmy", "ymd"]
+
+    def written(order: str, x: int) -> list[str]:
+        day = datetime.date.fromordinal(FIRST_SHORT + x)
+        return [f"{ {'y': day.year % 100, 'm': day.month, 'd': day.day}[c]:02d}" for c in order]
+
+    for k, order in enumerate(orders):
+        day = short_day(order, parts)
+        if day is not None:
+            # What only fits a later order stays so.
+            fits = lambda x, k=k, order=order: all(short_day(o, written(order, x)) is None for o in orders[:k])
+            return s.join(written(order, f.permuted(f"short date {order} {orders[0]}", day - FIRST_SHORT, LAST_SHORT - FIRST_SHORT + 1, fits, back)))
+    return None
+
+
 def date(f: Feistel, m: re.Match, back: bool) -> str | None:
     a, s, b, c = m["a"], m["s"], m["b"], m["c"]
     if len(a) != 4 and len(c) != 4:
-        return None
+        return short_date(f, (a, b, c), s, back)
     if len(a) == 4:
         orders = [("ymd", (a, b, c))]
     else:
@@ -192,16 +223,24 @@ def email(f: Feistel, m: re.Match, back: bool) -> str | None:
     return letters(f, "email", m["local"], back) + m[0][len(m["local"]) :]
 
 
+#: A longer secret is permuted in pieces of so many characters: half of one is well within the 256 bits that a round can change.
+SECRET_CHARS = 64
+
+
 def secret(f: Feistel, m: re.Match, back: bool) -> str | None:
     at = m.start("secret") - m.start()
     value = m["secret"]
-    return m[0][:at] + letters(f, "secret", value, back) + m[0][at + len(value) :]
+    if len(value) < 8:
+        return None
+    new = "".join(letters(f, "secret", value[i : i + SECRET_CHARS], back) for i in range(0, len(value), SECRET_CHARS))
+    return m[0][:at] + new + m[0][at + len(value) :]
 
 
+#: A secret is the whole run of the characters that tokens have, up to a full stop that ends it.
 #: In this order; what one has taken is out of reach of the next. The character must occur in the text.
 KINDS: list[tuple[str, str, re.Pattern, Callable]] = [
     ("email", "@", re.compile(r"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9._%+-]{1,64})@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])"), email),
-    ("secret", "=", re.compile(r"(?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}=\s{0,3}[\"']?(?P<secret>[A-Za-z0-9_-]{8,200})"), secret),
+    ("secret", "=", re.compile(r"(?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}=\s{0,3}[\"']?(?P<secret>(?!=)[A-Za-z0-9_~+/=-]+(?:\.+[A-Za-z0-9_~+/=-]+)*)"), secret),
     ("secret", "AKIA", re.compile(r"(?<![A-Za-z0-9])AKIA(?P<secret>[0-9A-Z]{16})(?![A-Za-z0-9])"), secret),
     ("iban", "", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])"), iban),
     ("ip", ".", re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w-]|\.[0-9])"), ip),
@@ -210,7 +249,7 @@ KINDS: list[tuple[str, str, re.Pattern, Callable]] = [
     ("phone", "", re.compile(r"(?<![\w+.-])(?P<country>(?!))?(?P<number>(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?![\w-])"), phone),
     ("card", "", re.compile(r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"), card),
     ("ssn", "-", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"), ssn),
-    ("date", "", re.compile(r"(?<![\w./-])(?P<a>[0-9]{4}|[0-9]{1,2})(?P<s>[-/.])(?P<b>[0-9]{1,2})(?P=s)(?P<c>[0-9]{4}|[0-9]{1,2})(?![\w/-]|\.[0-9])"), date),
+    ("date", "", re.compile(r"(?<![\w./-])(?P<a>[0-9]{4}|[0-9]{1,2})(?P<s>[-/.])(?P<b>[0-9]{1,2})(?P=s)(?P<c>[0-9]{4}|[0-9]{1,2})(?:(?=[Tt][0-9]{2}:?[0-9]{2})|(?![\w/-]|\.[0-9]))"), date),
 ]
 _ANY = re.compile(r"[0-9@=]|AKIA")
 

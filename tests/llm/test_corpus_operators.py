@@ -274,6 +274,29 @@ def test_pseudonyms(spark):
     assert pseudonyms.pseudonyms(awkward(spark)).count() == 12 and pseudonyms.pseudonyms(docs(spark, [])).count() == 0
 
 
+def test_pseudonyms_leave_no_rest():
+    """Secrets change to their end, whatever their length and marks; so do dates before a time and with short years."""
+    f = pseudonyms.Feistel(b"k")
+    both = lambda t: (pseudonyms.pseudonymised(t, f)[0], pseudonyms.pseudonymised(pseudonyms.pseudonymised(t, f)[0], f, back=True)[0])
+    rng = random.Random(3)
+    part = lambda n: "".join(rng.choice("ABCDEFGHJKabcdefghjk0123456789") for _ in range(n))
+    for value in (part(5000), "eyJ" + part(40) + "." + part(300) + "." + part(43), part(7) + "+" + part(230) + "/" + part(9) + "==", "ab+/cdEF12==", "deadbeef" * 60):
+        text = f"token={value}. Then"
+        out, again = both(text)
+        assert again == text and len(out) == len(text) and out.startswith("token=") and out.endswith(". Then")
+        new = out[len("token=") : -len(". Then")]
+        assert [c for c in new if not c.isalnum()] == [c for c in value if not c.isalnum()]
+        assert all(new[i : i + 20] not in value for i in range(0, len(new) - 19)) and new[-12:] != value[-12:]
+    for value in ("1984-02-29T10:00", "1984-02-29T10:00:00Z", "29.02.1984T1000", "29/02/84", "29.02.84", "84-02-29", "10-11-12", "31/12/99"):
+        out, again = both(f"born {value}")
+        assert again == f"born {value}" and out[5:13] != value[:8], value
+    assert pseudonyms.pseudonymised("1984-02-29Tea, 1984-02-30T10:00, 32/13/84, 1.2.34", f)[1] == []
+    short = [f"{d:02d}/{mo:02d}/{y:02d}" for y in range(0, 100, 9) for mo in range(1, 32, 3) for d in range(1, 32)]
+    found = [both(v) for v in short]
+    assert [b for _, b in found] == short and len({a for a, _ in found}) == len(short)
+    assert pseudonyms.pseudonymised("token=abcdefg. token == abcdefghijk", f)[1] == []
+
+
 def test_feistel_is_a_permutation():
     f = pseudonyms.Feistel(b"k")
     for n in (1, 2, 7, 100, 366):
