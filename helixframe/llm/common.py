@@ -23,27 +23,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints that driver and executors share.
 
-    Clusters name it in spark.checkpoint.dir; only where that is unset (tests on one
-    machine) a temporary folder is made and set.
+    Clusters name it in spark.checkpoint.dir. Where that is unset, a temporary folder is made and
+    set if all runs on one machine (tests); elsewhere executors could not see it, which is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="helixframe-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df, computed now and kept in the shared folder: later steps neither recompute it nor carry its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+#: Bounds of an Arrow batch that a Python task holds at once; a single longer text is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 4096, 4 << 20
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Before Python tasks: bounds the rows that one holds at once, as texts can be very long, and lets local workers import this package."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Before Python tasks: bounds their batches (the same bounds for every operator, never above the session's own) and lets local workers import this package."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = int(spark.conf.get(name, str(1 << 30)).rstrip("b"))
+        if not 0 < now <= most:  # 0 and less stand for no bound
+            spark.conf.set(name, str(most))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
@@ -64,17 +68,41 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, *, small: bool = False) -> DataFrame:
     """df, written once as Parquet to the shared folder and read from there: a step that survives lost executors.
 
     What led to it is then no longer needed. Spark deletes the shuffle files of plans that the
-    driver has forgotten when its JVM collects garbage, so that is asked for here.
+    driver has forgotten when its JVM collects garbage, so that is asked for here after a step
+    that is not small.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     found = spark.read.schema(df.schema).parquet(path)
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    if not small:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return found
+
+
+def row_keys(docs: DataFrame) -> DataFrame:
+    """docs with k1, k2, two hashes of doc_id and text that are null for no row: by them a decision finds its row again."""
+    parts = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), whole_text()]
+    return docs.withColumns({"k1": F.xxhash64(*parts), "k2": F.xxhash64(*parts, F.lit("again"))})
+
+
+def with_counts(rows: DataFrame, groups: DataFrame, key: list[str], n: str, total: int, spread: Column) -> DataFrame:
+    """rows left-joined with groups (one row a key, n: how many of the rows have it), also where one key has very many rows.
+
+    Fewer than 1,000 keys can have more than a thousandth of all rows each: those are broadcast, and
+    their rows stay where they are. The others are joined by shuffle; spread deals rows that have no
+    partner there over all tasks.
+    """
+    limit = max(total // 1000, 1000)
+    rest = [c for c in groups.columns if c not in key]
+    hot = F.broadcast(groups.filter(F.col(n) > limit).select(*key, *[F.col(c).alias(f"hot_{c}") for c in rest]))
+    cold = groups.filter(F.col(n) <= limit).withColumn("deal", F.lit(0).cast("long"))
+    marked = rows.join(hot, key, "left").withColumn("deal", F.when(F.col(f"hot_{n}").isNull(), F.lit(0).cast("long")).otherwise(spread.bitwiseOR(F.lit(1).cast("long"))))
+    joined = marked.join(cold, [*key, "deal"], "left")
+    return joined.select(*rows.columns, *[F.coalesce(c, f"hot_{c}").alias(c) for c in rest])

@@ -27,16 +27,17 @@ def sample_for_fitting(docs: DataFrame, labels: DataFrame, label: str, learn: Co
     """At most rows labelled documents of each class, of at most chars code points: text, label.
 
     The ids of least hash are chosen among the labels, twice as many as wanted because some texts
-    are too long or gone. So few ids are broadcast, and no text is shuffled. This bound, and
+    are too long or gone. So few ids are broadcast, and no other text is shuffled. This bound, and
     nothing else, is what fitting sees: it keeps the driver's memory fixed.
     """
     marked = labels_of(labels, label, learn)
     order = [F.xxhash64("doc_id"), "doc_id"]
     parts = [marked.filter(F.col("label") == k).orderBy(*order).limit(2 * rows) for k in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # 4 * rows ids at most
-    found = documents_of(docs).filter(F.length("text").between(1, chars)).join(chosen, "doc_id").select("doc_id", "text", "label").toPandas()
+    # Of rows that repeat a doc_id one is taken, before anything reaches the driver.
+    found = documents_of(docs).filter(F.length("text").between(1, chars)).join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text")).select("doc_id", "text", "label").toPandas()
     found["order"] = [zlib.crc32(str(i).encode()) for i in found["doc_id"]]
-    return found.sort_values(["order", "doc_id"]).drop_duplicates("doc_id").groupby("label").head(rows).reset_index(drop=True)
+    return found.sort_values(["order", "doc_id"]).groupby("label").head(rows).reset_index(drop=True)
 
 
 def class_sizes(labels: DataFrame, label: str, learn: Column) -> tuple[int, int]:

@@ -25,10 +25,14 @@ _powers = {b: np.ones(1, np.uint64) for b in (_BASE, _BASE_INVERSE)}
 
 
 def _power(base: int, n: int) -> np.ndarray:
+    """base ** 0 to base ** (n - 1); as many as a block needs are remembered."""
     if len(_powers[base]) < n:
         all_ = np.full(max(n, BLOCK + 1), base, np.uint64)
         all_[0] = 1
-        _powers[base] = np.multiply.accumulate(all_)
+        all_ = np.multiply.accumulate(all_)
+        if n > BLOCK + 1:
+            return all_
+        _powers[base] = all_
     return _powers[base][:n]
 
 
@@ -46,6 +50,20 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mixed((total[ends] - total[starts]) * _power(_BASE_INVERSE, len(values) + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words of a text, a block of its bytes at a time, however long it is; a longer word is taken alone."""
+    if not len(starts) or ends[-1] - starts[0] <= BLOCK:
+        return range_hashes(_MIX[data], starts, ends) if len(starts) else np.zeros(0, np.uint64)
+    found = []
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, "right")))
+        low = starts[i]
+        found.append(range_hashes(_MIX[data[low : ends[j - 1]]], starts[i:j] - low, ends[i:j] - low))
+        i = j
+    return np.concatenate(found)
+
+
 @dataclass
 class Words:
     rows: np.ndarray  # rows of the batch that this block holds
@@ -76,8 +94,7 @@ def word_blocks(texts: pa.Array, lower: bool = False) -> Iterator[Words]:
         last = at[1:][at[:-1] < at[1:]] - 1
         finishes[last] = inside[last]
         starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
-        hashes = range_hashes(_MIX[part], starts, ends) if len(starts) else np.zeros(0, np.uint64)
-        yield Words(np.arange(i, j), part.tobytes(), starts, ends, hashes, np.searchsorted(starts, at))
+        yield Words(np.arange(i, j), part.tobytes(), starts, ends, word_hashes(part, starts, ends), np.searchsorted(starts, at))
         i = j
 
 
