@@ -45,6 +45,40 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(spare)) for b in range(256)]
 
 
+class Lookup:
+    """A fixed table from numbers (0 or more) to numbers, asked for many at once: open addressing, mostly one step a key."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, missing: int):
+        self.missing, self.bits = missing, max(4, len(keys).bit_length() + 2)
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, missing, np.int64)
+        slot = self.slots(keys)
+        while len(keys):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = keys[free]  # of several keys for a slot the last stays
+            settled = self.keys[slot] == keys
+            self.values[slot[settled]] = values[settled]
+            keys, values, slot = keys[~settled], values[~settled], (slot[~settled] + 1) & (len(self.keys) - 1)
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __getitem__(self, asked: np.ndarray) -> np.ndarray:
+        keys = asked.ravel()
+        slot = self.slots(keys)
+        there = self.keys[slot]
+        found = np.where(there == keys, self.values[slot], self.missing)
+        on = np.flatnonzero((there != keys) & (there >= 0))
+        slot = slot[on]
+        while len(on):
+            slot = (slot + 1) & (len(self.keys) - 1)
+            there = self.keys[slot]
+            same = there == keys[on]
+            found[on[same]] = self.values[slot[same]]
+            more = ~same & (there >= 0)
+            on, slot = on[more], slot[more]
+        return found.reshape(asked.shape)
+
+
 class WordBPE:
     """A tokenizer file of the tokenizers library: NFC, lower case, words, byte-level BPE with word ends."""
 
@@ -77,8 +111,9 @@ class WordBPE:
             keys[r], made[r] = x * size + y, z
             self.rank[z], self.left[z], self.right[z] = r, x, y
         self.size, self.made = size, made
-        order = np.argsort(keys)
-        self.keys, self.key_ranks = keys[order], order.astype(np.int64)
+        self.pair_ranks = Lookup(keys, np.arange(len(keys)), int(NEVER))
+        # Ids of single characters, within a word and at its end.
+        self.inner, self.final = (np.array([self.vocab.get(chr(c) + end, -1) for c in range(1024)], np.int64) for end in ("", END))
         # A token is reachable if its parts are and no earlier merge crosses their border.
         whole = self.compatible(self.left[made], self.right[made], np.arange(len(made)))
         self.reachable = np.ones(size, bool)
@@ -88,9 +123,7 @@ class WordBPE:
         self.older: dict[str, bytes] = {}
 
     def rank_of(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        key = x * self.size + y
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.key_ranks[at], NEVER)
+        return self.pair_ranks[x * self.size + y]
 
     def compatible(self, a: np.ndarray, b: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
         """Whether no merge (earlier than the ranks given) crosses the border of each pair of tokens.
@@ -114,7 +147,7 @@ class WordBPE:
         return good
 
     def grow_trie(self) -> None:
-        """Sorted (node, character) keys of a trie of all tokens; END is the last character code."""
+        """Steps (node, character) of a trie of all tokens; END is the last character code."""
         children: dict[int, int] = {}
         ends = {}
         for t, i in self.vocab.items():
@@ -122,9 +155,7 @@ class WordBPE:
             for c in t:
                 node = children.setdefault(node << 10 | min(ord(c), 1023), len(children) + 1)
             ends[node] = i
-        keys = np.fromiter(children, np.int64, len(children))
-        order = np.argsort(keys)
-        self.trie_keys, self.trie_nodes = keys[order], order + 1
+        self.steps = Lookup(np.fromiter(children, np.int64, len(children)), np.arange(1, len(children) + 1), -1)
         self.trie_tokens = np.full(len(children) + 1, -1, np.int64)
         self.trie_tokens[list(ends)] = list(ends.values())
 
@@ -139,13 +170,12 @@ class WordBPE:
             token, next_at = np.full(len(live), -1, np.int64), at.copy()
             on = np.arange(len(live))
             while len(on):
-                key = node[on] << 10 | codes[q[on]]
-                k = np.minimum(np.searchsorted(self.trie_keys, key), len(self.trie_keys) - 1)
-                hit = self.trie_keys[k] == key
-                on, k = on[hit], k[hit]
-                node[on] = self.trie_nodes[k]
+                step = self.steps[node[on] << 10 | codes[q[on]]]
+                hit = step >= 0
+                on, step = on[hit], step[hit]
+                node[on] = step
                 q[on] += 1
-                found = self.trie_tokens[node[on]]
+                found = self.trie_tokens[step]
                 full = (found >= 0) & (q[on] != stop[live[on]] - 1)
                 token[on[full]], next_at[on[full]] = found[full], q[on[full]]
                 on = on[q[on] < stop[live[on]]]
@@ -171,13 +201,12 @@ class WordBPE:
         return found
 
     def merge_matrix(self, words: list[str], short: list[int], found: list[list[int]]) -> None:
-        cut = [self.letters(words[i]) for i in short]
-        width = max(map(len, cut))
-        ids = np.full((len(cut), width + 1), -1, np.int64)
-        filled = np.arange(width + 1) < np.fromiter(map(len, cut), np.int64, len(cut))[:, None]
-        ids[filled] = np.fromiter((t for c in cut for t in c), np.int64, int(filled.sum()))
+        flat, sizes = self.all_letters([words[i] for i in short])
+        width = int(sizes.max())
+        ids = np.full((len(sizes), width + 1), -1, np.int64)
+        ids[np.arange(width + 1) < sizes[:, None]] = flat
         ranks = np.where((ids[:, :-1] >= 0) & (ids[:, 1:] >= 0), self.rank_of(ids[:, :-1], ids[:, 1:]), NEVER)
-        live = np.arange(len(cut))
+        live = np.arange(len(sizes))
         places = np.arange(width + 1)
         while len(live):
             at = ranks.argmin(axis=1)
@@ -197,8 +226,17 @@ class WordBPE:
                 x, y = ids[k, near[k]], ids[k, near[k] + 1]
                 ranks[k, near[k]] = np.where(y >= 0, self.rank_of(x, y), NEVER)
 
+    def all_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the characters of words, END taken with the one before it, and how many each word has."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        ends = np.flatnonzero(codes == ord(END))
+        plain = np.minimum(codes, 1023)
+        ids = self.inner[plain]
+        ids[ends - 1] = self.final[plain[ends - 1]]
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
     def letters(self, word: str) -> list[int]:
-        return [self.vocab[c] for c in word[:-2]] + [self.vocab[word[-2:]]]
+        return self.all_letters([word])[0].tolist()
 
     def merged_long(self, ids: list[int]) -> list[int]:
         """The same for one very long word, with a heap of pairs over a linked list."""
@@ -259,7 +297,10 @@ class WordBPE:
         as_words = self.as_words
         counts = []
         for piece, text in zip(pieces, low, strict=True):
-            if "<|" not in piece:
+            if text.isalpha() and text.isascii():
+                words.append(text + END)
+                counts.append(1)
+            elif "<|" not in piece:
                 counts.append(as_words(text, words))
             else:
                 self.remembered[piece] = self.with_special(piece)
