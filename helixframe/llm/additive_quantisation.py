@@ -5,11 +5,14 @@ approximation. Codebooks are fitted on a bounded sample: k-means on residuals, t
 for all entries together. A beam search encodes every vector, and the ratio of its norm to that of
 its approximation is stored. Queries are scored by look-up tables of their products with all
 entries, and the best candidates are ranked again by exact products of the original vectors.
+
+Queries and rows are dealt into blocks and every query block meets every row block. A block's task
+holds its vectors too, so it ranks its own candidates exactly, and only the k best of a query and
+block are shuffled.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +27,11 @@ from .common import small_batches, stored, table
 CODEBOOKS, ENTRIES, BEAM = 16, 256, 4
 #: Vectors of the fitting sample, those of least hash; the only bound on what fitting sees.
 SAMPLE = 16_384
-#: Rows and queries that are scored against each other in one task.
-ROW_BLOCK, QUERY_BLOCK = 65_536, 1_024
-#: Candidates of a query that are ranked exactly.
+#: Rows and queries that are scored against each other in one task, which holds both.
+ROW_BLOCK, QUERY_BLOCK = 65_536, 16_384
+#: Queries and rows that are scored together within a task.
+QUERY_CHUNK, ROW_CHUNK = 64, 4096
+#: Candidates of a query that are ranked exactly, in each row block.
 RERANK = 384
 
 
@@ -57,15 +62,6 @@ class Codebooks:
         self.books, self.beam = books, beam
         self.squares = (books * books).sum(2)
 
-    def __reduce__(self):
-        return Codebooks, (self.books, self.beam)  # products are many times larger: tasks that encode compute them
-
-    @functools.cached_property
-    def products(self) -> np.ndarray:
-        m, k, d = self.books.shape
-        flat = self.books.reshape(m * k, d)
-        return (flat @ flat.T).reshape(m, k, m, k)
-
     @classmethod
     def fit(cls, x: np.ndarray, codebooks: int = CODEBOOKS, entries: int = ENTRIES, beam: int = BEAM, seed: int = 7) -> Codebooks:
         rng = np.random.default_rng(seed)
@@ -77,8 +73,6 @@ class Codebooks:
             rest -= c[(rest @ c.T - 0.5 * (c * c).sum(1)).argmax(1)]
             books.append(c)
         found = cls(np.stack(books), beam)
-        if len(x) < 4 * entries:
-            return found
         # With the codes of a beam search given, the best entries of all codebooks together are a least-squares problem.
         codes, _ = found.encode(x)
         used = (codes.astype(np.int64) + entries * np.arange(codebooks)).ravel()
@@ -97,41 +91,48 @@ class Codebooks:
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes, and the ratio of each vector's norm to that of its approximation."""
         x = x.astype(np.float32)
-        m, k, _ = self.books.shape
-        codes_of, ratios = [], []
-        for at in range(0, len(x), 1024):
-            part = x[at : at + 1024]
-            n = len(part)
-            scores = np.einsum("nd,mkd->nmk", part, self.books, optimize=True)
-            codes = np.zeros((n, 1, 0), np.uint8)
-            error = np.zeros((n, 1), np.float32)
+        m, k, d = self.books.shape
+        codes_of, ratios = np.zeros((len(x), m), np.uint8), np.ones(len(x), np.float32)
+        for at in range(0, len(x), 256):
+            part = x[at : at + 256]
+            n = np.arange(len(part))
+            rest = part[:, None, :]  # of each path of the beam, what its entries leave
+            error = (part * part).sum(1, keepdims=True)
+            codes = np.zeros((len(part), 1, 0), np.uint8)
             for b in range(m):
-                # |x - sum|^2 grows by |c|^2 - 2 x.c + 2 c.(entries so far)
-                cost = error[:, :, None] + (self.squares[b] - 2 * scores[:, b])[:, None, :]
-                for a in range(b):
-                    cost += 2 * self.products[a, :, b, :][codes[:, :, a]]
-                flat = cost.reshape(n, -1)
-                keep = min(self.beam, flat.shape[1])
-                best = np.argpartition(flat, keep - 1, axis=1)[:, :keep]
-                error = np.take_along_axis(flat, best, 1)
-                codes = np.concatenate([np.take_along_axis(codes, (best // k)[:, :, None], 1), (best % k)[:, :, None].astype(np.uint8)], axis=2)
-            first = error.argmin(1)
-            chosen = codes[np.arange(n), first]
+                # |rest - c|^2 = |rest|^2 - 2 rest.c + |c|^2
+                cost = (rest.reshape(-1, d) @ (-2 * self.books[b].T)).reshape(len(part), -1, k)
+                cost += self.squares[b]
+                cost += error[:, :, None]
+                flat = cost.reshape(len(part), -1)
+                best = np.empty((len(part), min(self.beam, flat.shape[1])), np.int64)
+                error = np.empty(best.shape, np.float32)
+                for i in range(best.shape[1]):
+                    best[:, i] = flat.argmin(1)
+                    error[:, i] = flat[n, best[:, i]]
+                    flat[n, best[:, i]] = np.inf
+                path, entry = best // k, best % k
+                rest = np.take_along_axis(rest, path[:, :, None], 1) - self.books[b][entry]
+                codes = np.concatenate([np.take_along_axis(codes, path[:, :, None], 1), entry[:, :, None].astype(np.uint8)], axis=2)
+            chosen = codes[:, 0]  # the first path is the best one
             near = sum(self.books[b][chosen[:, b]] for b in range(m))
             norm = np.sqrt((near * near).sum(1))
-            codes_of.append(chosen)
-            ratios.append(np.divide(np.sqrt((part * part).sum(1)), norm, out=np.ones(n, np.float32), where=norm > 0))
-        if not codes_of:
-            return np.zeros((0, m), np.uint8), np.zeros(0, np.float32)
-        return np.concatenate(codes_of), np.concatenate(ratios)
+            codes_of[at : at + 256] = chosen
+            np.divide(np.sqrt((part * part).sum(1)), norm, out=ratios[at : at + 256], where=norm > 0)
+        return codes_of, ratios
+
+    def tables(self, queries: np.ndarray) -> np.ndarray:
+        """Products of each entry of each codebook with each query: codebooks x entries x queries."""
+        return self.books @ queries.astype(np.float32).T
 
-    def scores(self, queries: np.ndarray, codes: np.ndarray, ratios: np.ndarray) -> np.ndarray:
-        """Approximate inner products of queries and stored codes, by one look-up a codebook."""
-        tables = np.einsum("qd,mkd->mqk", queries.astype(np.float32), self.books, optimize=True)
-        total = np.zeros((len(queries), len(codes)), np.float32)
-        for b in range(len(self.books)):
-            total += np.take(tables[b], codes[:, b], axis=1)
-        return total * ratios
+    @staticmethod
+    def scores(tables: np.ndarray, codes: np.ndarray, ratios: np.ndarray) -> np.ndarray:
+        """Approximate inner products, queries x rows, by one look-up a codebook; a look-up fetches those of all queries."""
+        total = tables[0][codes[:, 0]]
+        for b in range(1, len(tables)):
+            total += tables[b][codes[:, b]]
+        total *= ratios[:, None]
+        return np.ascontiguousarray(total.T)
 
 
 def matrix(vectors: pa.Array, dims: int) -> np.ndarray:
@@ -139,19 +140,28 @@ def matrix(vectors: pa.Array, dims: int) -> np.ndarray:
 
 
 def index(vectors: DataFrame, books: Codebooks) -> DataFrame:
-    """vec_id, codes, ratio of every vector (vec_id, embedding)."""
+    """vec_id, codes, ratio and packed (the components as 32-bit floats) of every vector (vec_id, embedding)."""
     dims = books.books.shape[2]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, ratios = books.encode(matrix(batch.column(1), dims))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(ratios, pa.float32())], ["vec_id", "codes", "ratio"])
+            x = matrix(batch.column(1), dims)
+            codes, ratios = books.encode(x)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(ratios, pa.float32()), pa.array([v.tobytes() for v in x], pa.binary())], ["vec_id", "codes", "ratio", "packed"]
+            )
 
-    return vectors.select("vec_id", "embedding").mapInArrow(encode, "vec_id long, codes binary, ratio float")
+    return vectors.select("vec_id", "embedding").mapInArrow(encode, "vec_id long, codes binary, ratio float, packed binary")
+
+
+def one_each(vectors: DataFrame) -> DataFrame:
+    """One row a vec_id: of several the greatest vector, compared from the first component on."""
+    return vectors.groupBy("vec_id").agg(F.max("embedding").alias("embedding"))
 
 
 def fitted(vectors: DataFrame, sample: int = SAMPLE) -> Codebooks | None:
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("embedding").toPandas()
+    ids = vectors.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
+    rows = one_each(vectors.join(F.broadcast(ids), "vec_id")).select("embedding").toPandas()  # as many as ids at most
     if not len(rows):
         return None
     dims = rows["embedding"].map(len).mode()[0]
@@ -159,12 +169,36 @@ def fitted(vectors: DataFrame, sample: int = SAMPLE) -> Codebooks | None:
 
 
 def best_of(scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k largest scores, of equal ones the first."""
+    """Places of the k largest scores, in order of place; of equal ones the first."""
     if len(scores) <= k:
         return np.arange(len(scores))
     edge = np.partition(scores, len(scores) - k)[len(scores) - k]
     above = np.flatnonzero(scores > edge)
-    return np.concatenate([above, np.flatnonzero(scores == edge)[: k - len(above)]])
+    return np.sort(np.concatenate([above, np.flatnonzero(scores == edge)[: k - len(above)]]))
+
+
+def candidates(books: Codebooks, queries: np.ndarray, own: np.ndarray, codes: np.ndarray, ratios: np.ndarray, most: int) -> list[np.ndarray]:
+    """Places of the rows that score highest for each query, as many as most; own is the place that is none, or -1.
+
+    Rows pass in chunks; what is below a query's worst candidate so far is passed over.
+    """
+    tables = books.tables(queries)
+    places = [np.zeros(0, np.int64) for _ in queries]
+    found = [np.zeros(0, np.float32) for _ in queries]
+    least = np.full(len(queries), -np.inf, np.float32)
+    for at in range(0, len(codes), ROW_CHUNK):
+        near = books.scores(tables, codes[at : at + ROW_CHUNK], ratios[at : at + ROW_CHUNK])
+        mine = np.flatnonzero((own >= at) & (own < at + near.shape[1]))
+        near[mine, own[mine] - at] = -np.inf
+        for q in range(len(queries)):
+            more = np.flatnonzero(near[q] > least[q])
+            if len(more):
+                places[q], found[q] = np.concatenate([places[q], more + at]), np.concatenate([found[q], near[q, more]])
+                if len(found[q]) > most:
+                    keep = best_of(found[q], most)
+                    places[q], found[q] = places[q][keep], found[q][keep]
+                    least[q] = found[q].min()
+    return places
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, rerank: int = RERANK, row_block: int = ROW_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
@@ -174,52 +208,46 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, rerank: int
     no candidate. The score is the inner product of the original vectors in double precision,
     summed from the first component on; ties go to the smaller vec_id. Vectors that are null,
     zero, of another length than most, or hold null or non-finite components take no part, nor
-    do null ids. Other columns are ignored. Without vectors or queries the result is empty.
+    do null ids. Rows that repeat a vec_id are one vector, the greatest of them as arrays compare.
+    Other columns are ignored. Without vectors or queries the result is empty.
     """
     spark = vectors.sparkSession
-    small_batches(spark, 8192)
+    small_batches(spark)
     vectors, queries = (d.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull()) for d in (vectors, queries))
     books = fitted(vectors)
     if books is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dims = books.books.shape[2]
-    vectors, queries = vectors.filter(F.size("embedding") == dims), queries.filter(F.size("embedding") == dims)
-    codes = stored(index(vectors, books))
-    small_batches(spark, 8192)
-    row_blocks = -(-codes.count() // row_block) or 1
-    query_blocks = -(-queries.count() // query_block) or 1
+    rows, asked = (one_each(d.filter(F.size("embedding") == dims)) for d in (vectors, queries))
+    coded = stored(index(rows, books))
+    row_blocks = -(-coded.count() // row_block) or 1
+    query_blocks = -(-asked.count() // query_block) or 1
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = codes.withColumn("rb", F.pmod(F.xxhash64("vec_id"), F.lit(row_blocks)).cast("int")).withColumn("qb", every(query_blocks))
-    right = queries.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")).withColumn("rb", every(row_blocks))
+    left = coded.withColumn("rb", F.pmod(F.xxhash64("vec_id"), F.lit(row_blocks)).cast("int")).withColumn("qb", every(query_blocks))
+    right = asked.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")).withColumn("rb", every(row_blocks))
 
     def score(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id")
         ids = rows["vec_id"].to_numpy()
-        coded = np.frombuffer(b"".join(rows["codes"]), np.uint8).reshape(len(rows), -1)
-        ratios = rows["ratio"].to_numpy()
-        found = []
-        for at in range(0, len(asked), 64):
-            part = asked.iloc[at : at + 64]
-            totals = books.scores(np.stack(part["embedding"].to_numpy()), coded, ratios) if len(rows) else np.zeros((len(part), 0), np.float32)
-            for q, total in zip(part["vec_id"], totals, strict=True):
-                total[ids == q] = -np.inf
-                best = best_of(total, rerank)
-                best = best[ids[best] != q]
-                found.append(pd.DataFrame({"query_id": q, "vec_id": ids[best], "near": total[best]}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "near": []})
-
-    near = left.groupBy("rb", "qb").cogroup(right.groupBy("rb", "qb")).applyInPandas(score, "query_id long, vec_id long, near float")
-    if row_blocks > 1:
-        order = Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id")
-        near = near.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rerank)
-    exact = (
-        near.select("query_id", "vec_id")
-        .join(vectors, "vec_id")
-        .join(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), "query_id")
-        .select("query_id", "vec_id", F.aggregate(F.zip_with("query", "embedding", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda a, x: a + x).alias("score"))
-    )
+        whole = lambda c, kind: np.frombuffer(b"".join(rows[c]), kind).reshape(len(rows), -1)
+        codes, x, ratios = whole("codes", np.uint8), whole("packed", np.float32), rows["ratio"].to_numpy()
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for at in range(0, len(asked) if len(ids) else 0, QUERY_CHUNK):
+            part = asked.iloc[at : at + QUERY_CHUNK]
+            q = np.stack(part["embedding"].to_numpy())
+            names = part["vec_id"].to_numpy()
+            own = np.minimum(np.searchsorted(ids, names), len(ids) - 1)
+            own = np.where(ids[own] == names, own, -1)
+            for i, places in enumerate(candidates(books, q, own, codes, ratios, rerank)):
+                products = x[places].astype(np.float64) * q[i].astype(np.float64)
+                exact = np.cumsum(products, axis=1)[:, -1]  # one component after the other
+                first = np.lexsort((ids[places], -exact))[:k]
+                out.append((np.full(len(first), names[i]), ids[places[first]], exact[first]))
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+
+    found = left.groupBy("rb", "qb").cogroup(right.groupBy("rb", "qb")).applyInPandas(score, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return exact.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op1_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
