@@ -1,76 +1,74 @@
 """Exact dedup by progressive refinement: length, then prefix hash, then full hash.
 
-Only ids, lengths and hashes are ever shuffled for grouping. Documents whose normalised
-length no other has leave first, then those whose prefix no other of that length shares;
-only the rest are hashed in full and grouped.
+The normalised length needs the whole text, so one scan takes all there is to know of a row: length,
+hash of a prefix, digest. Only these narrow rows are refined. A row whose length, or whose prefix at
+that length, no other has leaves after one count; the digests of the rest alone are grouped.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, documents_of, table
+from .common import documents_of, stored, table, with_counts
 
 PREFIX_CHARS = 128
+BLANKS = " \t\n\x0b\x0c\r"
 
 
 def normalised(text: Column) -> Column:
     """The text without white space (U+0020, U+0009 to U+000D)."""
-    return F.regexp_replace(text, SPACE + "+", "")
+    return F.translate(text, BLANKS, "")
 
 
-def exact_dedup(docs: DataFrame, *, prefix_chars: int = PREFIX_CHARS, digest_all: bool = False) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, *, prefix_chars: int = PREFIX_CHARS, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, and the columns to carry.
 
     Texts are equal when they are identical after white space is deleted; null counts as
     empty, and all empty texts are equal. The row with the most code points in its original
-    text, then the smallest doc_id, stays. text_sha256 is the digest of the normalised text;
-    documents that left before the full hash have null there unless digest_all is set.
-    Rows that repeat a doc_id count as copies like any others, and
-    every row with the doc_id that stays is marked as kept. Other columns are ignored. An empty
-    table gives an empty result.
+    text, then the smallest doc_id, stays (a null doc_id comes last). Rows that repeat a doc_id
+    count as copies like any others: exactly one row of a group is marked as kept. text_sha256 is
+    the digest of the normalised text. Other columns are ignored. An empty table gives an empty result.
     """
-    docs = documents_of(docs)
-    plain = normalised(F.col("text"))
-    facts = docs.select(
-        "doc_id",
-        F.length("text").cast("long").alias("chars"),
-        plain.alias("plain"),
-    ).select("doc_id", "chars", F.octet_length("plain").alias("size"), F.xxhash64(F.substring("plain", 1, prefix_chars)).alias("prefix"))
-    # Refinement 1 and 2 count keys only; partial counts leave one row a key and task, so hot keys don't pile up.
-    same_size = facts.groupBy("size").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("size")
-    same_prefix = facts.join(same_size, "size", "left_semi").groupBy("size", "prefix").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("size", "prefix", F.lit(True).alias("alive"))
-    # Refinement 3 reads full content: of survivors only, unless every digest is wanted.
-    tagged = docs.select("doc_id", F.length("text").cast("long").alias("chars"), plain.alias("plain")).select(
-        "*", F.octet_length("plain").alias("size"), F.xxhash64(F.substring("plain", 1, prefix_chars)).alias("prefix")
-    )
-    if digest_all:
-        tagged = tagged.select("doc_id", "chars", "size", "prefix", F.sha2("plain", 256).alias("digest")).join(same_prefix, ["size", "prefix"], "left")
-    else:
-        tagged = tagged.join(same_prefix, ["size", "prefix"], "left").withColumn("digest", F.when(F.col("alive"), F.sha2("plain", 256))).drop("plain")
-    # Those that left early get a key of their own: a shared null would gather them in one task of the join.
-    tagged = tagged.select("doc_id", "digest", "chars", "alive", F.when(F.col("alive"), F.col("digest")).otherwise(F.concat(F.lit("#"), F.col("doc_id"))).alias("key"))
+    facts = stored(
+        documents_of(docs, *carry)
+        .select("doc_id", *carry, F.length("text").cast("long").alias("chars"), normalised(F.col("text")).alias("plain"))
+        .select(
+            "doc_id", *carry, "chars",
+            F.octet_length("plain").alias("size"),
+            F.xxhash64(F.substring("plain", 1, prefix_chars)).alias("prefix"),
+            F.unhex(F.sha2("plain", 256)).alias("digest"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+    )
+    total, spread = facts.count(), F.xxhash64("row")
+    # A length that one row has is also a length and prefix that one row has: both leave by this count, of which tasks first make partial ones.
+    alive = facts.groupBy("size", "prefix").agg(F.count(F.lit(1)).alias("alive")).filter("alive > 1")
+    tagged = stored(with_counts(facts, alive, ["size", "prefix"], "alive", total, spread), small=True)
+    best = F.max(F.struct("chars", (-F.col("doc_id")).alias("minus_id"), (-F.col("row")).alias("minus_row"))).alias("best")
     groups = (
-        tagged.filter("alive")
-        .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("chars", (-F.col("doc_id")).alias("minus_id"))).alias("best"))
+        tagged.filter("alive IS NOT NULL")
+        .groupBy("digest")
+        .agg(F.count(F.lit(1)).alias("group_size"), best)
         .filter("group_size > 1")
-        .select("key", "group_size", (-F.col("best.minus_id")).alias("keep_id"))
+        .select("digest", "group_size", (-F.col("best.minus_id")).alias("keep_id"), (-F.col("best.minus_row")).alias("keep_row"))
     )
-    joined = tagged.join(groups, "key", "left")
-    keep = F.coalesce("keep_id", "doc_id")
+    joined = with_counts(tagged, groups, ["digest"], "group_size", total, spread)
+    alone = F.col("keep_row").isNull()
     return joined.select(
         "doc_id",
-        keep.alias("keep_id"),
+        *carry,
+        F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        (keep == F.col("doc_id")).alias("kept"),
-        F.col("digest").alias("text_sha256"),
+        (alone | (F.col("keep_row") == F.col("row"))).alias("kept"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
+    return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 SQL = {
