@@ -71,43 +71,36 @@ def fold_events(events: DataFrame) -> DataFrame:
     return folded.withColumn("cut", last_reset).filter(F.col("cut").isNull() | F.col("opened").isNull() | (F.col("opened") > F.col("cut"))).select("conv_id", "turn", "role", "text")
 
 
+#: A text in UTF-32, of which places are found without reading what is before them.
+WIDE = "UTF-32"
+
+
 def render(messages: DataFrame) -> DataFrame:
     """One row per conversation: conv_id, formatted, and mask, the spans (start, end in code points, from 0) that a model is to learn."""
-    lead = F.concat(F.lit(OPEN + ROLE_OPEN), F.col("safe_role"), F.lit(ROLE_CLOSE))
-    turns = (
-        messages.withColumn("safe_role", escaped(F.col("role")))
-        .withColumn("body", escaped(F.col("text")))
-        .withColumn("lead", lead)
-        .groupBy("conv_id")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("turn", "lead", "body", (F.col("role") == MASKED_ROLE).alias("learn"), F.length("lead").alias("before"), (F.length("body")).alias("chars")))
-            ).alias("turns")
-        )
-    )
-    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-    spans = F.aggregate(
-        "turns",
-        nothing,
-        lambda a, t: F.struct(
-            (a["at"] + t["before"] + t["chars"] + len(CLOSE)).alias("at"),
-            F.when(t["learn"], F.concat(a["spans"], F.array(F.struct((a["at"] + t["before"]).alias("start"), (a["at"] + t["before"] + t["chars"]).alias("end"))))).otherwise(a["spans"]).alias("spans"),
-        ),
-        lambda a: a["spans"],
+    lead = F.concat(F.lit(OPEN + ROLE_OPEN), escaped(F.col("role")), F.lit(ROLE_CLOSE))
+    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        messages.select("conv_id", "turn", lead.alias("lead"), escaped(F.col("text")).alias("body"), (F.col("role") == MASKED_ROLE).alias("learn"))
+        .withColumn("chars", (F.length("lead") + F.length("body") + len(CLOSE)).cast("int"))
+        .withColumn("start", (F.coalesce(F.sum("chars").over(before), F.lit(0)) + F.length("lead")).cast("int"))
+        .select("conv_id", "turn", F.concat("lead", "body", F.lit(CLOSE)).alias("whole"), F.when(F.col("learn"), F.struct("start", (F.col("start") + F.length("body")).alias("end"))).alias("span"))
     )
-    text = F.array_join(F.transform("turns", lambda t: F.concat(t["lead"], t["body"], F.lit(CLOSE))), "")
-    return turns.select("conv_id", text.alias("formatted"), spans.alias("mask"))
+    turns = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "whole", "span"))).alias("turns"))
+    return turns.select("conv_id", F.array_join("turns.whole", "").alias("formatted"), F.array_compact("turns.span").alias("mask"))
 
 
 def read_back(rendered: DataFrame) -> DataFrame:
     """From rendered conversations their turns (role, text) and the unescaped texts under the mask."""
     turn = r"(?s)<s>\[INST\](.*?)\[/INST\](.*?)</s>"
     roles, texts = (F.regexp_extract_all("formatted", F.lit(turn), F.lit(i)) for i in (1, 2))
+    under = lambda wide, m: unescaped(F.decode(F.substring(wide, 4 * m["start"] + 1, 4 * (m["end"] - m["start"])), WIDE))
+    # The outer transform holds the wide text once for all spans.
+    learned = F.get(F.transform(F.array(F.encode("formatted", WIDE)), lambda wide: F.transform("mask", lambda m: under(wide, m))), F.lit(0))
     return rendered.select(
         "conv_id",
         "formatted",
         F.arrays_zip(F.transform(roles, unescaped).alias("role"), F.transform(texts, unescaped).alias("text")).alias("turns"),
-        F.transform("mask", lambda m: unescaped(F.substring(F.col("formatted"), m["start"] + 1, m["end"] - m["start"]))).alias("learned"),
+        learned.alias("learned"),
     )
 
 
@@ -123,16 +116,11 @@ def own_turns(conversations: DataFrame) -> DataFrame:
 
 def events_of(conversations: DataFrame, delta_chars: int = DELTA_CHARS) -> DataFrame:
     """A log as a chat server would have streamed these turns: open, then deltas. No two rows have the same conv_id and turn (see own_turns)."""
-    text = whole_text()
-    starts = F.sequence(F.lit(0), F.floor((F.length(text) - 1) / delta_chars).cast("int"))
-    pieces = F.when(
-        F.length(text) > 0,
-        F.transform(starts, lambda i: F.struct((i + 1).cast("long").alias("k"), F.lit("delta").alias("kind"), F.substring(text, i * delta_chars + 1, F.lit(delta_chars)).alias("text"))),
-    ).otherwise(F.array().cast("array<struct<k:bigint,kind:string,text:string>>"))
-    log = F.concat(F.array(F.struct(F.lit(0).cast("long").alias("k"), F.lit("open").alias("kind"), F.lit("").alias("text"))), pieces)
+    pieces = F.regexp_extract_all(whole_text(), F.lit(f"(?s).{{1,{delta_chars}}}"), F.lit(0))
+    log = F.concat(F.array(F.lit("")), pieces)  # the first entry opens the message
     width = 1 << 20
-    return conversations.select("conv_id", "turn", "role", F.explode(log).alias("e")).select(
-        "conv_id", (F.col("turn") * width + F.col("e.k")).alias("seq"), "turn", F.col("e.kind").alias("kind"), "role", F.col("e.text").alias("text")
+    return conversations.select("conv_id", "turn", "role", F.posexplode(log).alias("k", "text")).select(
+        "conv_id", (F.col("turn") * width + F.col("k")).alias("seq"), "turn", F.when(F.col("k") == 0, "open").otherwise("delta").alias("kind"), "role", "text"
     )
 
 
