@@ -4,6 +4,9 @@ A value that is found and validated (check digits, calendar, ranges) is turned i
 set of all valid values of its format, permuted there with a key, and written back with the same
 separators. The permutation has no table: equal values get equal pseudonyms in every document and
 task, different ones different ones, and who holds the key can turn them back.
+
+The key comes from the Spark option KEY_OPTION. Where that is not set, a key is drawn that only this
+process knows: its pseudonyms are linked among each other, and nobody can turn them back later.
 """
 
 from __future__ import annotations
@@ -13,21 +16,31 @@ import hashlib
 import hmac
 import math
 import re
+import secrets
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import documents_of, small_batches, table
 
-#: For tests and examples; give your own.
-EXAMPLE_KEY = b"an example key, not a secret"
+#: The Spark option that holds the key.
+KEY_OPTION = "spark.helixframe.pseudonyms.key"
 ROUNDS = 8
 
 DIGITS, LOWER, UPPER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 
 
+_drawn = secrets.token_bytes(32)
+
+
+def session_key(spark: SparkSession) -> bytes:
+    named = spark.conf.get(KEY_OPTION, None)
+    return named.encode() if named else _drawn
+
+
 class Feistel:
     """Keyed permutations of the numbers below n, or of those among them that are valid."""
 
@@ -94,13 +107,38 @@ def letters(f: Feistel, label: str, text: str, back: bool) -> str:
     return written(f.permuted(label, x, n, lambda y: as_hex or any(c not in HEX for c in written(y)), back))
 
 
-def card(f: Feistel, m: re.Match, back: bool) -> str | None:
-    digits = re.sub(r"\D", "", m[0])
-    if not luhn(digits) or digits[0] not in "23456":
-        return None
-    n = len(digits) - 2
-    payload = digits[0] + f"{f.permuted('card', int(digits[1:-1]), 10**n, back=back):0{n}d}"
-    return refill(m[0], payload + luhn_digit(payload), DIGITS)
+#: Digits of the groups in which card numbers are written, within a longer run of numbers.
+CARD_SHAPES = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3))
+
+
+def is_card(digits: str) -> bool:
+    return 13 <= len(digits) <= 19 and digits[0] in "23456" and luhn(digits)
+
+
+def card(f: Feistel, m: re.Match, back: bool) -> list[tuple[int, int, str]]:
+    """The cards of a run of digit groups: all of it if it is one, else the groups that have the shape of one."""
+
+    def changed(text: str) -> str:
+        digits = re.sub(r"\D", "", text)
+        n = len(digits) - 2
+        payload = digits[0] + f"{f.permuted('card', int(digits[1:-1]), 10**n, back=back):0{n}d}"
+        return refill(text, payload + luhn_digit(payload), DIGITS)
+
+    run = m[0]
+    if is_card(re.sub(r"\D", "", run)):
+        return [(0, len(run), changed(run))]
+    groups = [(g.start(), g.end()) for g in re.finditer("[0-9]+", run)]
+    found, i = [], 0
+    while i < len(groups):
+        sizes = [e - s for s, e in groups[i : i + 5]]
+        for shape in ((sizes[0],), *CARD_SHAPES):
+            begin, end = groups[i][0], groups[min(i + len(shape), len(groups)) - 1][1]
+            if tuple(sizes[: len(shape)]) == shape and is_card(re.sub(r"\D", "", run[begin:end])):
+                found.append((begin, end, changed(run[begin:end])))
+                i += len(shape) - 1
+                break
+        i += 1
+    return found
 
 
 def american(x: int) -> bool:
@@ -208,15 +246,19 @@ def iban_checked(country: str, rest: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
-def iban(f: Feistel, m: re.Match, back: bool) -> str | None:
-    plain = m[0].replace(" ", "")
-    country, check, rest = plain[:2], plain[2:4], plain[4:]
-    if not 15 <= len(plain) <= 34 or iban_checked(country, rest) != check:
-        return None
-    new = letters(f, "iban", rest, back) if not all(c in HEX for c in rest) or rest.isdigit() else None
-    if rest.isdigit():
-        new = f"{f.permuted('iban', int(rest), 10 ** len(rest), back=back):0{len(rest)}d}"
-    return refill(m[0], country + iban_checked(country, new) + new, DIGITS + UPPER) if new else None
+def iban(f: Feistel, m: re.Match, back: bool) -> list[tuple[int, int, str]]:
+    """The number with as many of the groups that follow as its check digits allow."""
+    ends = [g.end() for g in re.finditer(r"\S+", m[0])]
+    for end in reversed(ends):
+        plain = m[0][:end].replace(" ", "")
+        country, check, rest = plain[:2], plain[2:4], plain[4:]
+        if not 15 <= len(plain) <= 34 or iban_checked(country, rest) != check:
+            continue
+        new = letters(f, "iban", rest, back) if not all(c in HEX for c in rest) or rest.isdigit() else None
+        if rest.isdigit():
+            new = f"{f.permuted('iban', int(rest), 10 ** len(rest), back=back):0{len(rest)}d}"
+        return [(0, end, refill(m[0][:end], country + iban_checked(country, new) + new, DIGITS + UPPER))] if new else []
+    return []
 
 
 def email(f: Feistel, m: re.Match, back: bool) -> str | None:
@@ -245,15 +287,21 @@ KINDS: list[tuple[str, str, re.Pattern, Callable]] = [
     ("iban", "", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])"), iban),
     ("ip", ".", re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w-]|\.[0-9])"), ip),
     ("phone", "+", re.compile(r"(?<![\w+])(?P<country>\+1)[ .-]?(?P<number>\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4})(?![\w-])"), phone),
-    ("phone", "+", re.compile(r"(?<![\w+])(?P<country>\+[0-9]{1,3})[ .-]?(?P<number>(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){1,4})(?![\w-]| ?[0-9])"), phone),
+    ("phone", "+", re.compile(r"(?<![\w+])(?P<country>\+[0-9]{1,3})[ .-]?(?P<number>(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){1,4})(?![\w-])"), phone),
     ("phone", "", re.compile(r"(?<![\w+.-])(?P<country>(?!))?(?P<number>(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?![\w-])"), phone),
-    ("card", "", re.compile(r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"), card),
+    ("card", "", re.compile(r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,}(?![\w-])"), card),
     ("ssn", "-", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"), ssn),
     ("date", "", re.compile(r"(?<![\w./-])(?P<a>[0-9]{4}|[0-9]{1,2})(?P<s>[-/.])(?P<b>[0-9]{1,2})(?P=s)(?P<c>[0-9]{4}|[0-9]{1,2})(?:(?=[Tt][0-9]{2}:?[0-9]{2})|(?![\w/-]|\.[0-9]))"), date),
 ]
 _ANY = re.compile(r"[0-9@=]|AKIA")
 
 
+def changes(change: Callable, m: re.Match, feistel: Feistel, back: bool) -> list[tuple[int, int, str]]:
+    """Start, end and new text of the values within a match."""
+    found = change(feistel, m, back)
+    return found if isinstance(found, list) else [(0, len(m[0]), found)] if found is not None else []
+
+
 def pseudonymised(text: str, feistel: Feistel, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and kind, start and end of each there, in order."""
     if not _ANY.search(text):
@@ -269,10 +317,9 @@ def pseudonymised(text: str, feistel: Feistel, back: bool = False) -> tuple[str,
                 continue
             at = 0
             for m in pattern.finditer(piece):
-                new = change(feistel, m, back)
-                if new is not None:
-                    now += [(piece[at : m.start()], None), (new, kind)]
-                    at = m.end()
+                for start, end, new in changes(change, m, feistel, back):
+                    now += [(piece[at : m.start() + start], None), (new, kind)]
+                    at = m.start() + end
             now.append((piece[at:], None))
         pieces = now
     spans, at = [], 0
@@ -283,29 +330,65 @@ def pseudonymised(text: str, feistel: Feistel, back: bool = False) -> tuple[str,
     return "".join(p for p, _ in pieces), spans
 
 
-def pseudonyms(docs: DataFrame, *, key: bytes = EXAMPLE_KEY, back: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+def restored(text: str, spans: list[tuple[str, int, int]], feistel: Feistel) -> str:
+    """The text before: each span, where a pseudonym of this kind is known to stand, turned back."""
+    out, at = [], 0
+    for kind, start, end in spans:
+        value = text[start:end]
+        for name, _, pattern, change in KINDS:
+            m = pattern.fullmatch(value) if name == kind else None
+            new = changes(change, m, feistel, True) if m else []
+            if new and new[0][:2] == (0, len(value)):
+                value = new[0][2]
+                break
+        out += [text[at:start], value]
+        at = end
+    return "".join([*out, text[at:]])
+
+
+SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+SPANS_TYPE = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+
+
+def pseudonyms(docs: DataFrame, *, key: bytes, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, text with pseudonyms, spans (kind, start, end in code points) of each document, and the columns to carry.
 
     Values that fail their check (Luhn, modulo 97, calendar, ranges) are no personal data and stay.
-    back turns pseudonyms into the values again. Null and empty texts give an empty text; rows that
-    repeat a doc_id are treated one by one; other columns are ignored.
+    Null and empty texts give an empty text; rows that repeat a doc_id are treated one by one and a
+    null doc_id stays; other columns are ignored. An empty table gives an empty result.
     """
     docs = documents_of(docs, *carry)
     small_batches(docs.sparkSession)
-    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    schema = T.StructType([*docs.schema.fields, T.StructField("spans", T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))])
+    schema = T.StructType([*docs.schema.fields, T.StructField("spans", SPANS_TYPE)])
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         feistel = Feistel(key)
         for batch in batches:
-            found = [pseudonymised(t, feistel, back) for t in batch.column(1).to_pylist()]
+            found = [pseudonymised(t, feistel) for t in batch.column(1).to_pylist()]
             spans = [[{"kind": k, "start": i, "end": j} for k, i, j in s] for _, s in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t for t, _ in found], pa.string()), *batch.columns[2:], pa.array(spans, kind)], [*batch.schema.names, "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t for t, _ in found], pa.string()), *batch.columns[2:], pa.array(spans, SPANS)], [*batch.schema.names, "spans"])
 
     return docs.mapInArrow(change, schema)
 
 
-def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
+def originals(docs: DataFrame, *, key: bytes, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id and text as it was, of documents with pseudonyms (doc_id, text, spans), and the columns to carry.
+
+    The spans say where pseudonyms stand, so whatever stands around them cannot mislead. Null spans
+    mean none.
+    """
+    docs = documents_of(docs, F.coalesce("spans", F.array().cast(SPANS_TYPE)).alias("spans"), *carry)
+    small_batches(docs.sparkSession)
 
-    return pseudonyms(table(spark, sf_dir, "documents")).select("doc_id", "text", F.size("spans").cast("long").alias("n_values"), "spans")
+    def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        feistel = Feistel(key)
+        for batch in batches:
+            found = [restored(t, [(s["kind"], s["start"], s["end"]) for s in spans], feistel) for t, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string()), *batch.columns[3:]], [n for n in batch.schema.names if n != "spans"])
+
+    return docs.mapInArrow(change, T.StructType([f for f in docs.schema.fields if f.name != "spans"]))
+
+
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = pseudonyms(table(spark, sf_dir, "documents"), key=session_key(spark))
+    return changed.select("doc_id", "text", F.size("spans").cast("long").alias("n_values"), "spans")
