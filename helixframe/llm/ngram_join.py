@@ -167,7 +167,7 @@ def shared_only(rows: DataFrame) -> DataFrame:
             yield before
 
     spark = rows.sparkSession
-    small_batches(spark, 50_000)
+    small_batches(spark)
     return rows.repartition(partitions(spark), "token").sortWithinPartitions("token").mapInArrow(shared, "token long, doc_id long")
 
 
@@ -259,7 +259,7 @@ def leader_links(lists: DataFrame, check, percent: int, rounds: int) -> DataFram
 
 
 def ngram_jaccard_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, class_id (least doc_id with the same set), component_id.
+    """One row per document: doc_id, text_hash, n_shingles, class_id (least doc_id with the same set), component_id.
 
     The set of a document is its distinct shingles of so many words; with fewer words, the whole
     sequence is one shingle; without words, or with null text, the set is empty and the document
@@ -305,7 +305,7 @@ def ngram_jaccard_join(docs: DataFrame, *, words: int = WORDS, percent: int = PE
     return (
         keys.withColumn("k2", spread)
         .join(found, ["n", "k1", "k2"], "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component", "class_id", "doc_id").alias("component_id"))
+        .select("doc_id", F.col("th").alias("text_hash"), F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component", "class_id", "doc_id").alias("component_id"))
     )
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents_of, small_batches, table
+from .common import WORD, documents_of, small_batches, table
 from .features import byte_grams, class_sizes, distinct_words, remainder, sample_for_fitting
 from .toxicity import sigmoid, threshold
 from .words import Words, word_blocks
@@ -184,7 +184,7 @@ def quality(docs: DataFrame, labels: DataFrame, *, learn: Column | None = None)
     small_batches(docs.sparkSession)
     sample = sample_for_fitting(docs, labels, "quality", learn, rows=SAMPLE_ROWS, chars=SAMPLE_CHARS)
     if sample["label"].nunique() < 2:
-        return documents_of(docs).select("doc_id", F.when(F.trim("text") == "", 0.0).otherwise(1.0).alias("score"))
+        return documents_of(docs).select("doc_id", F.when(F.col("text").rlike(WORD), 1.0).otherwise(0.0).alias("score"))
     net = fit(sample["text"].tolist(), sample["label"].to_numpy(), class_sizes(labels, "quality", learn))
     shared = docs.sparkSession.sparkContext.broadcast(net)  # of fixed size, under a MB
 

@@ -9,12 +9,13 @@ network finds them so far.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import documents_of, small_batches, table
 from .features import byte_grams, class_sizes, distinct_words, remainder, sample_for_fitting
@@ -234,8 +235,8 @@ def threshold(logits: np.ndarray, labels: np.ndarray, priors: tuple[int, int]) -
     return float((edges[middle] + edges[middle + 1]) / 2)
 
 
-def score_documents(docs: DataFrame, net: Network) -> DataFrame:
-    """doc_id and score (0 to 1) of every whole text."""
+def score_documents(docs: DataFrame, net: Network, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id and score (0 to 1) of every whole text, and the columns to carry (text among them with null as empty)."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)  # of fixed size, a few MB
 
@@ -245,13 +246,17 @@ def score_documents(docs: DataFrame, net: Network) -> DataFrame:
             for w in word_blocks(batch.column(1), lower=True):
                 found[w.rows] = shared.value.scores(w)
             p = np.where(np.isnan(found), 0.0, 1 / (1 + np.exp(-np.clip(np.nan_to_num(found), -60, 60))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), *[batch.column(k) for k in kept]], ["doc_id", "score", *[batch.schema.names[k] for k in kept]])
 
-    return documents_of(docs).mapInArrow(score, "doc_id long, score double")
+    docs = documents_of(docs, *[c for c in carry if c != "text"])
+    kept = [1] if "text" in carry else []
+    kept += range(2, len(docs.columns))
+    fields = [docs.schema["doc_id"], T.StructField("score", T.DoubleType()), *[docs.schema.fields[k] for k in kept]]
+    return docs.mapInArrow(score, T.StructType(fields))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, *, learn: Column | None = None) -> DataFrame:
-    """One row per document: doc_id, score (0 to 1, higher: likelier toxic).
+def toxicity(docs: DataFrame, labels: DataFrame, *, learn: Column | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per document: doc_id, score (0 to 1, higher: likelier toxic), and the columns to carry.
 
     labels has doc_id and toxic (0 or 1; null: none). Only labelled documents for which learn
     holds are fitted on, at most SAMPLE_ROWS of each class. Texts without words, null ones too,
@@ -261,9 +266,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, learn: Column | None = None)
     learn = F.lit(True) if learn is None else learn
     sample = sample_for_fitting(docs, labels, "toxic", learn, rows=SAMPLE_ROWS, chars=SAMPLE_CHARS)
     if sample["label"].nunique() < 2:
-        return documents_of(docs).select("doc_id", F.lit(0.0).alias("score"))
+        return documents_of(docs, *[c for c in carry if c != "text"]).select("doc_id", F.lit(0.0).alias("score"), *carry)
     net = fit(sample["text"].tolist(), sample["label"].to_numpy(), class_sizes(labels, "toxic", learn))
-    return score_documents(docs, net)
+    return score_documents(docs, net, carry)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
