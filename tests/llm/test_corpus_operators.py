@@ -138,10 +138,10 @@ def test_substring_dedup_of_one_word_over_and_over(spark):
 
 def test_exact_dedup(spark):
     rows = [(1, "a b"), (2, "ab"), (3, "a  b"), (4, "ba"), (5, None), (6, " "), (7, "a b"), (8, "c" * 200 + "x"), (9, "c" * 200 + "y")]
-    for everything in (True, False):
-        got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(docs(spark, rows), digest_all=everything).collect()}
+    for prefix in (128, 1):
+        got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(docs(spark, rows), prefix_chars=prefix).collect()}
         assert got == {1: (3, 3, False), 2: (3, 3, False), 3: (3, 3, True), 4: (4, 1, True), 5: (6, 2, False), 6: (6, 2, True), 7: (7, 1, True), 8: (8, 1, True), 9: (9, 1, True)}
-    digests = {r.doc_id: r.text_sha256 for r in exact_dedup.exact_dedup(docs(spark, rows), digest_all=True).collect()}
+    digests = {r.doc_id: r.text_sha256 for r in exact_dedup.exact_dedup(docs(spark, rows)).collect()}
     assert digests[3] == hashlib.sha256(b"ab").hexdigest() and digests[5] == hashlib.sha256(b"").hexdigest()
     assert exact_dedup.exact_dedup(awkward(spark)).count() == 12 and exact_dedup.exact_dedup(docs(spark, [])).count() == 0
 
@@ -177,6 +177,11 @@ def test_plain_merging_agrees():
     words = [w + bpe.END for w in prose(8, 400).replace(" ", "x ").split()] + ["z" * 30 + bpe.END]
     assert b.merged(words) == [b.merged_long(b.letters(w)) for w in words]
     assert b.reachable.all()
+    keys = np.unique(np.random.default_rng(1).integers(0, 10**6, 5000))
+    asked = np.arange(10**6).reshape(1000, 1000)
+    want = np.full(10**6, -5)
+    want[keys] = keys * 2
+    assert (bpe.Lookup(keys, keys * 2, -5)[asked] == want.reshape(1000, 1000)).all() and (bpe.Lookup(keys[:0], keys[:0], 7)[asked[0]] == 7).all()
 
 
 def test_packing_is_whole(spark, corpus):
@@ -269,9 +274,9 @@ def test_pseudonyms(spark):
     cards = [out[i:j].replace(" ", "") for k, i, j in spans if k == "card"]
     assert cards[0] == cards[1] != "4111111111111111" and pseudonyms.luhn(cards[0])
     assert "4111111111111112" in out and "version 1.2.3" in out
-    got = {r.doc_id: r.text for r in pseudonyms.pseudonyms(docs(spark, [(1, text), (2, text), (3, None)]), key=b"k").collect()}
-    assert got == {1: out, 2: out, 3: ""}
-    assert pseudonyms.pseudonyms(awkward(spark)).count() == 12 and pseudonyms.pseudonyms(docs(spark, [])).count() == 0
+    got = {r.doc_id: r.text for r in pseudonyms.pseudonyms(docs(spark, [(1, text), (2, text), (3, None), (None, text)]), key=b"k").collect()}
+    assert got == {1: out, 2: out, 3: "", None: out}
+    assert pseudonyms.pseudonyms(awkward(spark), key=b"k").count() == 12 and pseudonyms.pseudonyms(docs(spark, []), key=b"k").count() == 0
 
 
 def test_pseudonyms_leave_no_rest():
@@ -357,7 +362,7 @@ def test_nearest_neighbours(spark):
     rows = [(i, v.tolist(), 1) for i, v in enumerate(x)] + [(1000, None, 1), (1001, [0.0] * 16, 1), (1002, [float("nan")] * 16, 1), (1003, [1.0, None] * 8, 1), (1004, [float("inf")] * 16, 1)]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank int")
     got = defaultdict(list)
-    for r in aq.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20, rerank=200, row_block=200, query_block=10).collect():
+    for r in aq.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20, rerank=60, row_block=200, query_block=10).collect():
         got[r.query_id].append((r.rank, r.vec_id, r.score))
     hits = 0
     for q in range(0, 600, 20):
