@@ -9,42 +9,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import stored, table
+from helixframe.llm.common import row_keys, stored, table
 from helixframe.llm.exact_dedup import exact_dedup
 from helixframe.llm.features import remainder
 from helixframe.llm.ngram_join import ngram_jaccard_join
 from helixframe.llm.packing import pack
-from helixframe.llm.pseudonyms import pseudonyms
+from helixframe.llm.pseudonyms import pseudonyms, session_key
 from helixframe.llm.toxicity import toxicity
 
 #: Documents from this toxicity score on go.
 TOXIC = 0.5
 
 
+def bundled(docs: DataFrame) -> DataFrame:
+    """doc_id, text and all else in one column, so that no name can clash with one that an operator uses."""
+    return docs.select("doc_id", "text", F.struct(F.col("text").isNotNull().alias("text_was_there"), *[c for c in docs.columns if c not in ("doc_id", "text")]).alias("bundle"))
+
+
+def unbundled(found: DataFrame, columns: list[str]) -> DataFrame:
+    text = F.when(F.col("bundle.text_was_there"), F.col("text")).alias("text")
+    return found.select(*[text if c == "text" else F.col(c) if c == "doc_id" else F.col(f"bundle.{c}") for c in columns])
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below TOXIC. Fitted on the labelled ones outside fold 0, scored all alike; empty texts stay."""
-    scored = toxicity(docs, table(spark, sf_dir, "labels"), learn=remainder(F.col("doc_id"), 5) != 0)
-    toxic = scored.filter(F.col("score") >= TOXIC).select("doc_id").distinct()
-    return docs.join(toxic, "doc_id", "left_anti").select(docs.columns)
+    """Rows that score below TOXIC. Fitted on the labelled ones outside fold 0, scored all alike; empty texts stay."""
+    scored = toxicity(bundled(docs), table(spark, sf_dir, "labels"), learn=remainder(F.col("doc_id"), 5) != 0, carry=["text", "bundle"])
+    return unbundled(scored.filter(F.col("score") < TOXIC), docs.columns)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (white space aside) the longest stays, then the smallest doc_id."""
-    gone = exact_dedup(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Of equal texts (white space aside) the longest stays, then the smallest doc_id; of rows alike in doc_id and text, one."""
+    keyed = row_keys(bundled(docs))
+    kept = exact_dedup(keyed, carry=["k1", "k2"]).filter("kept").select("k1", "k2")
+    return unbundled(keyed.dropDuplicates(["k1", "k2"]).join(kept, ["k1", "k2"], "left_semi"), docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that links of Jaccard 0.75 connect, the document of smallest doc_id stays; those without words stay."""
-    gone = ngram_jaccard_join(docs).filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Of each group that links of Jaccard 0.75 connect, the document of smallest doc_id stays; those without words or doc_id stay."""
+    gone = ngram_jaccard_join(docs).filter("component_id <> doc_id").select("doc_id", "text_hash").distinct()
+    marked = bundled(docs).withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return unbundled(marked.join(gone, ["doc_id", "text_hash"], "left_anti"), docs.columns)
 
 
 def with_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms in their texts; n_chars follows the text."""
-    plain = docs.select("doc_id", "text", *[F.col(c) for c in docs.columns if c not in ("doc_id", "text", "n_chars")])
-    changed = pseudonyms(plain, carry=[c for c in plain.columns if c not in ("doc_id", "text")])
-    return changed.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    changed = unbundled(pseudonyms(bundled(docs), key=session_key(spark), carry=["bundle"]), docs.columns)
+    return changed.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
