@@ -102,7 +102,8 @@ def with_counts(rows: DataFrame, groups: DataFrame, key: list[str], n: str, tota
     limit = max(total // 1000, 1000)
     rest = [c for c in groups.columns if c not in key]
     hot = F.broadcast(groups.filter(F.col(n) > limit).select(*key, *[F.col(c).alias(f"hot_{c}") for c in rest]))
-    cold = groups.filter(F.col(n) <= limit).withColumn("deal", F.lit(0).cast("long"))
+    # Always 0, but not a constant: Spark would take a constant out of the keys that rows are dealt by.
+    cold = groups.filter(F.col(n) <= limit).withColumn("deal", F.pmod(F.col(n), F.lit(1)).cast("long"))
     marked = rows.join(hot, key, "left").withColumn("deal", F.when(F.col(f"hot_{n}").isNull(), F.lit(0).cast("long")).otherwise(spread.bitwiseOR(F.lit(1).cast("long"))))
     joined = marked.join(cold, [*key, "deal"], "left")
     return joined.select(*rows.columns, *[F.coalesce(c, f"hot_{c}").alias(c) for c in rest])
