@@ -22,13 +22,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import small_batches, stored, table
+from .common import partitions, small_batches, stored, table
 
 CODEBOOKS, ENTRIES, BEAM = 16, 256, 4
 #: Vectors of the fitting sample, those of least hash; the only bound on what fitting sees.
 SAMPLE = 16_384
 #: Rows and queries that are scored against each other in one task, which holds both.
-ROW_BLOCK, QUERY_BLOCK = 65_536, 16_384
+ROW_BLOCK, QUERY_BLOCK = 16_384, 16_384
 #: Queries and rows that are scored together within a task.
 QUERY_CHUNK, ROW_CHUNK = 64, 4096
 #: Candidates of a query that are ranked exactly, in each row block.
@@ -245,6 +245,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, rerank: int
                 out.append((np.full(len(first), names[i]), ids[places[first]], exact[first]))
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
 
+    # As many tasks as there are pairs of blocks: by bytes they look small, and Spark would put them together.
+    tasks = min(row_blocks * query_blocks, partitions(spark))
+    left, right = (d.repartition(tasks, "rb", "qb") for d in (left, right))
     found = left.groupBy("rb", "qb").cogroup(right.groupBy("rb", "qb")).applyInPandas(score, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
