@@ -38,6 +38,16 @@ def unambiguous(counts: dict[str, Column]) -> Column:
     return F.size(seen) == F.size(F.array_distinct(seen))
 
 
+def packed_counts(counts: dict[str, Column]) -> Column:
+    """The four counts as text, A, C, G, T with commas between."""
+    return F.concat_ws(",", *[counts[b].cast("string") for b in BASES])
+
+
+def unpacked_counts(text: Column) -> dict[str, Column]:
+    parts = F.split(text, ",")
+    return {b: parts[i].cast("long") for i, b in enumerate(BASES)}
+
+
 def site_id(*parts: Column) -> Column:
     return F.concat_ws("|", *parts)
 

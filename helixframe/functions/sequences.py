@@ -38,19 +38,30 @@ def codon_table() -> dict[str, str]:
     return {"".join(c): a for c, a in zip(product(CODE_ORDER, repeat=3), CODE, strict=True)}
 
 
-def codon_with(codon: Column, within: Column, base: Column) -> Column:
-    """The codon with another base at place within (0 to 2)."""
-    return F.overlay(codon, base, within + 1, F.lit(1))
-
-
-def degeneracy(codon: Column, within: Column, strand: Column) -> Column:
-    """Struct of site_type (1D to 4D) and amino_acids of A, C, G, T of the forward strand; null for codons with other bases."""
-    bases = F.when(strand == "+", F.array(*map(F.lit, "ACGT"))).otherwise(F.array(*map(F.lit, "TGCA")))
-    amino = F.transform(bases, lambda b: translate_codon(codon_with(codon, within, b)))
-    return F.when(
-        codon.rlike("^[ACGT]{3}$"),
-        F.struct(F.concat((5 - F.size(F.array_distinct(amino))).cast("string"), F.lit("D")).alias("site_type"), F.array_join(amino, ",").alias("amino_acids")),
-    )
+def degeneracy_table() -> list[tuple[str, int, str, str, str]]:
+    """codon, place within (0 to 2), strand, site_type (1D to 4D) and amino_acids of A, C, G, T of the forward strand: 384 rows."""
+    table = codon_table()
+    rows = []
+    for codon, within, (strand, bases) in product(table, range(3), (("+", "ACGT"), ("-", "TGCA"))):
+        amino = [table[codon[:within] + b + codon[within + 1 :]] for b in bases]
+        rows.append((codon, within, strand, f"{5 - len(set(amino))}D", ",".join(amino)))
+    return rows
+
+
+def renamed_prefixes(name: Column) -> Column:
+    """Contig and genome ids without the annotator's prefix, and with short accession prefixes."""
+    # The prefixes of the formats.
+    return F.replace(F.replace(name, F.lit("gnl|Prokka|"), F.lit("")), F.lit("UHGGGC"), F.lit("GC"))
+
+
+def sorted_map(entries: Column) -> Column:
+    """A map with its entries in order of key."""
+    return F.map_from_entries(F.array_sort(F.map_entries(entries)))
+
+
+def reordered_map(entries: Column, keys: Column) -> Column:
+    """A map of these keys, in their order; a key that is missing has null."""
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(entries, k)))
 
 
 def hamming(a: Column, b: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def run_chunks(contigs: DataFrame, *, chunk_size: int) -> DataFrame:
@@ -50,6 +51,20 @@ def pack_contigs(pieces: DataFrame, *, chunk_size: int) -> DataFrame:
     return pieces.select("species_id", "contig_id", "length").groupBy("species_id").applyInPandas(pack, "species_id string, contig_id string, length long, chunk_id long")
 
 
+def contig_summary(contigs: DataFrame, *, chunk_size: int) -> DataFrame:
+    """Per species: contigs, the longest one's length, and how many chunks run_chunks and its pooled rest begin with."""
+    full = F.floor(F.col("length") / chunk_size)
+    return contigs.groupBy("species_id").agg(F.count(F.lit(1)).alias("contigs"), F.max("length").alias("max_contig_length"), F.sum(full).alias("full_chunks"), F.count_if(F.col("length") % chunk_size > 0).alias("pooled_pieces"))
+
+
+def slices(species: DataFrame, column: str = "species_id", *, size: int) -> DataFrame:
+    """Adds slice, the number of a run of so many species in order of id.
+
+    The list of species is a dimension table of some ten thousand rows: one task numbers it.
+    """
+    return species.withColumn("slice", F.floor((F.row_number().over(Window.orderBy(column)) - 1) / size).cast("long"))
+
+
 def adaptive_chunk_size(samples: Column, *, default: int) -> Column:
     """A chunk size for the number of samples: more samples, smaller chunks; 0 stands for whole species."""
     # Upper bounds of the number of samples, and the sizes.

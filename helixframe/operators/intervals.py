@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.sequences import degeneracy
+from ..functions.sequences import degeneracy_table
 
 BIN = 2048
 
@@ -60,13 +60,21 @@ def annotate_sites(placed: DataFrame, sequences: DataFrame) -> DataFrame:
 
     A site outside genes is IGR; other than in a CDS, or where the codon has other letters than
     A, C, G, T, there is no site_type. Codons follow the feature's own start and end, not the trimmed.
+
+    The sites of a gene meet its sequence once, as one array (a gene has no more sites than bases);
+    what a codon gives is looked up in a table of all 384 codons, places and strands.
     """
-    joined = placed.join(sequences.select("gene_id", "sequence"), "gene_id", "left")
+    rest = [c for c in placed.columns if c != "gene_id"]
     within_gene = F.when(F.col("strand") == "+", F.col("ref_pos") - F.col("start_pos")).otherwise(F.col("end_pos") - F.col("ref_pos"))
-    within = F.pmod(within_gene, F.lit(3)).cast("int")
-    codon = F.substring("sequence", (within_gene - within + 1).cast("int"), F.lit(3))
-    call: Column = F.when(F.col("gene_type") == "CDS", degeneracy(codon, within, F.col("strand")))
-    return joined.withColumn("locus_type", F.coalesce("gene_type", F.lit("IGR"))).withColumn("site_type", call["site_type"]).withColumn("amino_acids", call["amino_acids"]).drop("sequence")
+    coding = (F.col("gene_type") == "CDS") & F.col("gene_id").isNotNull()
+    per_gene = placed.filter(coding).groupBy("gene_id").agg(F.collect_list(F.struct(*rest, within_gene.cast("int").alias("within_gene"))).alias("sites"))
+    codon_of = lambda s: F.struct(s.alias("site"), F.substring(F.col("sequence"), s["within_gene"] - s["within_gene"] % 3 + 1, F.lit(3)).alias("codon"))
+    codons = per_gene.join(sequences.select("gene_id", "sequence"), "gene_id", "left").select("gene_id", F.explode(F.transform("sites", codon_of)).alias("s"))
+    flat = codons.select("gene_id", *[F.col(f"s.site.{c}").alias(c) for c in rest], F.col("s.codon").alias("codon"), (F.col("s.site.within_gene") % 3).alias("within"))
+    table = placed.sparkSession.createDataFrame(degeneracy_table(), "codon string, within int, codon_strand string, site_type string, amino_acids string")
+    called = flat.join(F.broadcast(table), (flat["codon"] == table["codon"]) & (flat["within"] == table["within"]) & (flat["strand"] == table["codon_strand"]), "left").select(*placed.columns, "site_type", "amino_acids")
+    others = placed.filter(~F.coalesce(coding, F.lit(False))).withColumns({"site_type": F.lit(None).cast("string"), "amino_acids": F.lit(None).cast("string")})
+    return called.unionByName(others).withColumn("locus_type", F.coalesce("gene_type", F.lit("IGR")))
 
 
 def overlap_length(start_a: Column, end_a: Column, start_b: Column, end_b: Column) -> Column:

@@ -124,6 +124,95 @@ def marker_hits(hits: DataFrame, *, evalue: float = 1e-5, coverage: float = 0.0)
     return best_per_key(good, ["marker_id"], ["evalue", "row_no"])
 
 
+#: The column that each kind of annotation fills. The last two are named the other way round than their contents suggest, and so are the files that others read.
+FLAG_OF = {"genomad_virus": "phage", "genomad_plasmid": "plasmid", "mefinder": "amr", "resfinder": "me"}
+#: What is kept of functional annotation. Column names of the file.
+ORTHOLOG_COLUMNS = ("COG_category", "EC", "KEGG_Pathway", "Description", "PFAMs")
+
+
+def annotation_column(kind: str, by: str = "gene") -> str:
+    if kind not in FLAG_OF:
+        raise ValueError(f"no annotation of kind {kind}")
+    return f"{by}_is_{FLAG_OF[kind]}"
+
+
+def gene_info(genes: DataFrame, lengths: DataFrame, gene_map: DataFrame) -> DataFrame:
+    """Genes with gene_length and marker_id; a gene without marker has an empty one, a gene without length is an error.
+
+    lengths: gene_id, gene_length; gene_map: gene_id, marker_id. A gene counts once in either.
+    """
+    known = lengths.groupBy("gene_id").agg(F.max("gene_length").alias("gene_length"))
+    marker = gene_map.groupBy("gene_id").agg(F.max("marker_id").alias("marker_id"))
+    joined = genes.join(known, "gene_id", "left").join(marker, "gene_id", "left")
+    length = F.coalesce("gene_length", F.raise_error(F.concat(F.lit("no length of gene "), "gene_id")).cast("int"))
+    return joined.withColumn("gene_length", length).withColumn("marker_id", F.coalesce("marker_id", F.lit("")))
+
+
+def with_orthologs(clusters: DataFrame, level: str, orthologs: DataFrame) -> DataFrame:
+    """Clusters with the functional annotation of their centroid, null without one; repeated rows of it count once."""
+    rows = orthologs.select(F.col("query").alias(level), *ORTHOLOG_COLUMNS).distinct()
+    return clusters.join(rows, level, "left")
+
+
+def joined_one_to_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """left with the columns of right; it is an error if a key is missing on either side or occurs twice."""
+    both = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).union(right.select(key, F.lit(0), F.lit(1)))
+    odd = both.groupBy(key).agg(F.sum("l").alias("l"), F.sum("r").alias("r")).filter("l <> 1 OR r <> 1")
+    if not odd.isEmpty():
+        raise ValueError(f"tables differ in {key}")
+    return left.join(right, key)
+
+
+def genes_on_contigs(features: DataFrame, contig_lengths: DataFrame) -> DataFrame:
+    """Gene features with the length of their contig; features of unknown contigs are left out."""
+    return features.join(contig_lengths.select("contig_id", "contig_length"), "contig_id")
+
+
+def orthologs_on_contigs(orthologs: DataFrame, centroids: DataFrame, features: DataFrame, contig_lengths: DataFrame) -> DataFrame:
+    """Functional annotation of centroids (centroid_99) with their place on a contig."""
+    placed = genes_on_contigs(features.join(centroids.select(F.col("centroid_99").alias("gene_id")).distinct(), "gene_id", "left_semi"), contig_lengths)
+    return orthologs.join(placed.withColumnRenamed("gene_id", "query"), "query")
+
+
+def members_of(genes: DataFrame, level: str, centroid: str) -> DataFrame:
+    """Genes of a cluster other than its centroid."""
+    return genes.filter((F.col(level) == centroid) & (F.col("gene_id") != centroid))
+
+
+def sequences_of(sequences: DataFrame, ids: DataFrame, key: str = "gene_id") -> DataFrame:
+    return sequences.join(ids.select(key), key, "left_semi")
+
+
+def marker_genes(hits: DataFrame, sequences: DataFrame) -> DataFrame:
+    """The map of best marker hits (gene_id, marker_id): gene_id, gene_length, marker_id and marker_gene, its bases in capitals. A hit without sequence is an error."""
+    joined = hits.select("gene_id", "marker_id").join(sequences.select("gene_id", "sequence"), "gene_id", "left")
+    gene = F.upper(F.coalesce("sequence", F.raise_error(F.concat(F.lit("no sequence of gene "), "gene_id")).cast("string")))
+    return joined.select("gene_id", F.length(gene).alias("gene_length"), "marker_id", gene.alias("marker_gene"))
+
+
+def composed(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Members (gene_id, centroid_id) under the centroids of their centroids, which second has (gene_id, centroid_id)."""
+    return first.join(second.select(F.col("gene_id").alias("centroid_id"), F.col("centroid_id").alias("new_id")), "centroid_id").select("gene_id", F.col("new_id").alias("centroid_id"))
+
+
+def original_names(rows: DataFrame, names: DataFrame, column: str) -> DataFrame:
+    """A column of short names replaced by the original ones (names: short, original); a name without original stays."""
+    return rows.join(names.select(F.col("short").alias(column), "original"), column, "left").withColumn(column, F.coalesce("original", column)).drop("original")
+
+
+def species_of_genes(genes: DataFrame, toc: DataFrame, species: DataFrame | None = None) -> DataFrame:
+    """Genes with the species of their genome (toc: genome, species); only of the species given, if any are."""
+    known = toc.select(F.col("genome").alias("genome_id"), F.col("species").alias("species_id"))
+    if species is not None:
+        known = known.join(species.select("species_id").distinct(), "species_id", "left_semi")
+    return genes.withColumn("genome_id", genome_of(F.col("gene_id"))).join(known, "genome_id")
+
+
+def representatives(toc: DataFrame) -> DataFrame:
+    """species, representative and the number of genomes of each species."""
+    return toc.groupBy("species").agg(F.max(F.when(F.col("genome_is_representative") == 1, F.col("genome"))).alias("representative"), F.count(F.lit(1)).alias("genomes"))
+
+
 def replace_centroids(members: DataFrame, renamed: DataFrame) -> DataFrame:
     """Members (gene_id, centroid_id) with new centroids where renamed (centroid_id, new_id) has one."""
     return members.join(renamed, "centroid_id", "left").withColumn("centroid_id", F.coalesce("new_id", "centroid_id")).drop("new_id")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.alleles import BASES, call_alleles, count_of, unambiguous
 
 SITE = ("sample_name", "species_id", "ref_id", "ref_pos", "ref_allele")
+#: Bases of a contig that travel together when reference alleles are looked up.
+BLOCK = 2048
 COUNTS = tuple(f"count_{b.lower()}" for b in BASES)
 
 
@@ -30,16 +32,35 @@ def explode_alignments(reads: DataFrame) -> DataFrame:
     )
 
 
-def with_reference(observed: DataFrame, genome: DataFrame) -> DataFrame:
-    """Adds ref_allele from contig sequences (ref_id, sequence); Spark broadcasts the genome only where its size allows."""
-    return observed.join(genome.select("ref_id", "sequence"), "ref_id").withColumn("ref_allele", F.substring("sequence", F.col("ref_pos").cast("int"), F.lit(1))).drop("sequence")
+def genome_blocks(genome: DataFrame, *, block: int = BLOCK) -> DataFrame:
+    """ref_id, block (from 0) and its bases, of contigs (ref_id, sequence); one pass over each sequence."""
+    pieces = F.regexp_extract_all("sequence", F.lit(f".{{1,{block}}}"), F.lit(0))
+    return genome.select("ref_id", F.posexplode(pieces).alias("block", "bases"))
+
+
+def with_reference(sites: DataFrame, genome: DataFrame, *, block: int = BLOCK) -> DataFrame:
+    """Adds ref_allele to sites (ref_id, ref_pos from 1) from contigs (ref_id, sequence); sites beyond a contig are left out.
+
+    Look alleles up after counting: a row is a site then, not an observed base. Only the block that
+    a site lies in comes to it, so no row carries a contig and no contig is one key.
+    """
+    placed = sites.withColumn("block", F.floor((F.col("ref_pos") - 1) / block).cast("int"))
+    return placed.join(genome_blocks(genome, block=block), ["ref_id", "block"]).withColumn("ref_allele", F.substring("bases", ((F.col("ref_pos") - 1) % block + 1).cast("int"), F.lit(1))).drop("block", "bases")
+
+
+def region(rows: DataFrame, ref_id: str, start: int, end: int) -> DataFrame:
+    """Rows of a contig within a slice that is 0-based and half open; ref_pos counts from 1. The conditions reach the scan."""
+    return rows.filter((F.col("ref_id") == ref_id) & (F.col("ref_pos") > start) & (F.col("ref_pos") <= end))
 
 
 def pileup(observed: DataFrame, *, base_quality: int = 30) -> DataFrame:
-    """Counts of A, C, G, T and depth of every site; bases of lower quality and other letters add nothing."""
+    """Counts of A, C, G, T and depth of every site; bases of lower quality and other letters add nothing.
+
+    Where observed has no ref_allele yet, sites have none either (see with_reference).
+    """
     good = observed.filter(F.col("base_qual") >= base_quality)
     each = [F.count_if(F.col("base") == b).alias(c) for b, c in zip(BASES, COUNTS, strict=True)]
-    return good.groupBy(*SITE).agg(*each).withColumn("depth", sum((F.col(c) for c in COUNTS[1:]), F.col(COUNTS[0])))
+    return good.groupBy(*[c for c in SITE if c in observed.columns]).agg(*each).withColumn("depth", sum((F.col(c) for c in COUNTS[1:]), F.col(COUNTS[0])))
 
 
 def deep_sites(sites: DataFrame, *, site_depth: int = 2, ignore_ambiguous: bool = False) -> DataFrame:

@@ -30,11 +30,16 @@ def keep_read(*, aln_mapid: float = 94.0, aln_readq: float = 20.0, aln_mapq: int
     )
 
 
+def owner(reads: DataFrame) -> list[str]:
+    return [c for c in ("sample_name", "species_id") if c in reads.columns]
+
+
 def single_reads(reads: DataFrame, *, analysis_ready: bool = False, ordinal: str = "row_no", **limits) -> DataFrame:
-    """Reads that pass, the last one of each read and mate; all of them if they are ready for analysis."""
+    """Reads that pass, the last one of each read and mate (of a sample and species, if those are columns); all of them if they are ready for analysis."""
     kept = reads if analysis_ready else reads.filter(keep_read(**limits))
-    rest = [c for c in reads.columns if c not in ("query_name", "is_read1")]
-    return kept.groupBy("query_name", "is_read1").agg(F.max_by(F.struct(*rest), ordinal).alias("row")).select("query_name", "is_read1", "row.*")
+    key = [*owner(reads), "query_name", "is_read1"]
+    rest = [c for c in reads.columns if c not in key]
+    return kept.groupBy(*key).agg(F.max_by(F.struct(*rest), ordinal).alias("row")).select(*key, "row.*")
 
 
 def walk(read: str, overlap: Column, forward: bool) -> Column:
@@ -62,11 +67,15 @@ def arbitrated(fwd: Column, rev: Column) -> Column:
 def proper_pairs(
     reads: DataFrame, *, aln_mapid: float = 94.0, aln_mapq: int = 10, aln_readq: float = 20.0, aln_cov: float = 0.75, fragment_length: int = 1000, fragment_ratio: float = 3.0, ordinal: str = "row_no"
 ) -> DataFrame:
-    """Pairs of mates on a contig that pass together: ref_id, query_name, fwd, rev (structs), overlap, identity, and fwd_qualities and rev_qualities, settled where the mates overlap."""
-    row = F.struct(*[c for c in reads.columns if c not in ("ref_id", "query_name")])
+    """Pairs of mates on a contig that pass together: ref_id, query_name, fwd, rev (structs), overlap, identity, and fwd_qualities and rev_qualities, settled where the mates overlap.
+
+    Where reads have a sample and species, pairs are theirs.
+    """
+    key = [*owner(reads), "ref_id", "query_name"]
+    row = F.struct(*[c for c in reads.columns if c not in key])
     pairs = (
         reads.filter(~F.col("is_secondary") & F.col("is_proper_pair"))
-        .groupBy("ref_id", "query_name")
+        .groupBy(*key)
         .agg(F.max_by(row, F.when(~F.col("is_reverse"), F.col(ordinal))).alias("fwd"), F.max_by(row, F.when(F.col("is_reverse"), F.col(ordinal))).alias("rev"))
         .filter("fwd IS NOT NULL AND rev IS NOT NULL")
     )
@@ -95,9 +104,23 @@ def proper_pairs(
     settled = arbitrated(F.slice(tail, F.lit(1), n), F.slice(head, F.lit(1), n))
     fwd_new = F.concat(F.slice(fq, F.lit(1), b1), settled["fwd"], F.slice(tail, n + 1, F.size(tail)))
     rev_new = F.concat(settled["rev"], F.slice(rq, n + 1, F.size(rq)))
-    return kept.select("ref_id", "query_name", "fwd", "rev", "overlap", "identity", F.when(meets, fwd_new).otherwise(fq).alias("fwd_qualities"), F.when(meets, rev_new).otherwise(rq).alias("rev_qualities"))
+    return kept.select(*key, "fwd", "rev", "overlap", "identity", F.when(meets, fwd_new).otherwise(fq).alias("fwd_qualities"), F.when(meets, rev_new).otherwise(rq).alias("rev_qualities"))
+
+
+def mates(pairs: DataFrame) -> DataFrame:
+    """The reads of pairs that passed, one row each, with the qualities settled between mates."""
+    side = lambda s, q: F.struct(F.col(f"{s}.*"), F.col(q).alias("settled"))
+    key = [*owner(pairs), "ref_id", "query_name"]
+    both = pairs.select(*key, F.explode(F.array(side("fwd", "fwd_qualities"), side("rev", "rev_qualities"))).alias("read"))
+    flat = both.select(*key, "read.*")
+    return flat.withColumn("query_qualities", F.col("settled")).drop("settled")
+
+
+def mapped_targets(reads: DataFrame, target: str = "ref_id") -> DataFrame:
+    """Targets that any read is aligned to, with how many."""
+    return reads.filter(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("reads"))
 
 
 def contig_reads(reads: DataFrame, keep: Column) -> DataFrame:
-    """Aligned and mapped reads of each contig."""
-    return reads.groupBy("ref_id").agg(F.count(F.lit(1)).alias("aligned_reads"), F.count_if(keep).alias("mapped_reads"))
+    """Aligned and mapped reads of each contig (of a sample and species, if those are columns)."""
+    return reads.groupBy(*owner(reads), "ref_id").agg(F.count(F.lit(1)).alias("aligned_reads"), F.count_if(keep).alias("mapped_reads"))

@@ -58,13 +58,20 @@ def population(sites: DataFrame, *, method: str = "prevalence", snp_maf: float =
     return found if "any" in snp_types else found.filter(F.col("snp_type").isin(wanted))
 
 
+def of_locus(annotated: DataFrame, *, locus_types: Sequence[str] = ("any",)) -> DataFrame:
+    """Sites of the locus types wanted (CDS, IGR, tRNA, ...); "any" keeps all."""
+    return annotated if "any" in locus_types else annotated.filter(F.col("locus_type").isin(list(locus_types)))
+
+
 def sample_frequencies(called: DataFrame, sites: DataFrame, samples: DataFrame) -> DataFrame:
     """Depth of major and minor allele and minor frequency of every called site in every relevant sample.
 
     A sample without the site, or with neither allele, has depth 0 and frequency -1.
     """
     key = ["species_id", "ref_id", "ref_pos", "ref_allele"]
-    every = called.select(*key, "major_allele", "minor_allele").join(samples.select("species_id", "sample_name"), "species_id")
+    # One row a species with all its samples: sites meet one row each, and where a species has very many sites, its partition can be split.
+    names = samples.groupBy("species_id").agg(F.collect_set("sample_name").alias("sample_names"))
+    every = called.select(*key, "major_allele", "minor_allele").join(names, "species_id").withColumn("sample_name", F.explode("sample_names")).drop("sample_names")
     have = every.join(sites.select("sample_name", *key, *COUNTS), ["sample_name", *key], "left")
     major, minor = (F.coalesce(count_of(F.col(c), counts()), F.lit(0)) for c in ("major_allele", "minor_allele"))
     alone = F.col("major_allele") == F.col("minor_allele")

@@ -63,6 +63,24 @@ def drawn(shares: DataFrame) -> DataFrame:
     return ahead.withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place", "up_to", "u")
 
 
+def markers_info(gene_map: DataFrame, gene_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the marker map (species_id, gene_id, gene_length, marker_id, ...) whose gene is in the sequence file, and per species and marker marker_length and gene_ids.
+
+    Every copy of a marker adds to its length. gene_ids are joined with commas, in order of id.
+    """
+    genes = gene_map.join(gene_ids.select("gene_id").distinct(), "gene_id", "left_semi")
+    markers = genes.groupBy("species_id", "marker_id").agg(F.sum("gene_length").alias("marker_length"), F.array_join(F.array_sort(F.collect_list("gene_id")), ",").alias("gene_ids"))
+    return genes, markers
+
+
+def covered_markers(matrix: DataFrame) -> DataFrame:
+    """Per species: markers with unique, with ambiguous and with any reads, and all there are."""
+    has = lambda c: F.col(f"{c}_reads") > 0
+    return matrix.groupBy("species_id").agg(
+        F.count_if(has("uniq") | has("ambi")).alias("total_covered"), F.count_if(has("uniq")).alias("unique_covered"), F.count_if(has("ambi")).alias("ambiguous_covered"), F.count(F.lit(1)).alias("total_marker_counts")
+    )
+
+
 def marker_matrix(markers: DataFrame, unique: DataFrame, ambiguous: DataFrame) -> DataFrame:
     """All markers (species_id, marker_id, marker_length) of the species found, with reads and bases of both kinds, 0 where none."""
     found = unique.select("species_id").union(ambiguous.select("species_id")).distinct()

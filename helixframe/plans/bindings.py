@@ -7,6 +7,7 @@ that an operator and its oracle start from equal rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: view -> (table, expressions)
 VIEWS: dict[str, tuple[str, list[str]]] = {
@@ -76,3 +77,85 @@ def bind(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
 def with_views(*names: str) -> str:
     """The head of an oracle's SQL: WITH and these views, each followed by a comma."""
     return "WITH " + "".join(f"{v} AS (SELECT {', '.join(VIEWS[v][1]).replace('90.0 + round', 'CAST(90 AS DOUBLE) + round')} FROM {VIEWS[v][0]}), " for v in names)
+
+
+# ---------------------------------------------------------------- alignments
+
+#: Bases that contigs repeat, each from another place on.
+GENOME = "ACGTTGCAAGCTCATGCCGATTTAGGCAC"
+#: Contigs of the made-up genome and their length.
+CONTIGS, CONTIG_LENGTH = 6, 480
+#: Every order is a fragment with a forward (k = 0) and a reverse read (k = 1) of 20 bases. Some have
+#: a deletion (forward), an insertion (reverse), clipped ends, or are secondary, improper or orphans.
+#: Expressions over o (order), c (contig), k (mate) and i (column of the alignment).
+GAP, EXTRA, CLIP = "k = 0 AND o % 9 = 4", "k = 1 AND o % 8 = 5", "k = 0 AND o % 7 = 3"
+COLUMN = {
+    "qpos": f"CASE WHEN {GAP} THEN CASE WHEN i < 10 THEN i WHEN i > 10 THEN i - 1 END ELSE i END",
+    "rpos": f"CASE WHEN {CLIP} AND i < 2 THEN NULL WHEN {EXTRA} THEN CASE WHEN i < 5 THEN s + i WHEN i > 5 THEN s + i - 1 END ELSE s + i END",
+}
+START = "o * 7 % 400 + k * (o % 24)"
+RBASE = f"substr('{GENOME}', cast((rpos + c * 3) % {len(GENOME)} + 1 AS int), 1)"
+QBASE = f"CASE WHEN rpos IS NULL THEN 'A' WHEN (o * 31 + rpos * 17 + k * 13) % 29 = 0 THEN translate({RBASE}, 'ACGT', 'CGTA') ELSE {RBASE} END"
+QUAL = "cast((o * 5 + qpos * 7 + k * 11) % 38 + 4 AS int)"
+READ = {
+    "sample_name": "concat('s', o % 3)",
+    "species_id": "concat('sp', c % 2)",
+    "ref_id": "concat('k', c)",
+    "query_name": "concat('q', o - CASE WHEN o % 10 = 7 THEN 1 ELSE 0 END)",
+    "is_read1": "k = 0",
+    "is_reverse": "k = 1",
+    "is_secondary": "o % 13 = 0",
+    "is_proper_pair": "o % 17 <> 0",
+    "mapping_quality": "cast(CASE WHEN o % 11 = 0 THEN 3 ELSE 42 END AS int)",
+    "template_length": "cast(CASE WHEN o % 23 = 0 THEN 5000 ELSE 20 + o % 24 END AS int)",
+    "row_no": "o * 2 + k",
+}
+
+
+def columns_of_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row an alignment column: o, c, k, i, qpos, rpos, qbase, rbase, qual."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey AS o", f"o_custkey % {CONTIGS} AS c", "explode(array(0, 1)) AS k").filter("NOT (k = 1 AND o % 19 = 0)")
+    each = orders.selectExpr("*", f"{START} AS s", f"explode(sequence(0, CASE WHEN {GAP} THEN 20 ELSE 19 END)) AS i")
+    return each.selectExpr("o", "c", "k", "i", *[f"{e} AS {n}" for n, e in COLUMN.items()]).selectExpr("*", f"CASE WHEN qpos IS NOT NULL THEN {QBASE} END AS qbase", f"CASE WHEN rpos IS NOT NULL THEN {RBASE} END AS rbase", f"{QUAL} AS qual")
+
+
+#: The same in DuckDB, as views cols and reads; the latter has all that a read is asked for but arrays.
+COLS_SQL = f"""WITH cols AS (
+  SELECT *, CASE WHEN qpos IS NOT NULL THEN {QBASE} END AS qbase, CASE WHEN rpos IS NOT NULL THEN {RBASE} END AS rbase, {QUAL} AS qual FROM (
+    SELECT o, c, k, i, {', '.join(f'{e} AS {n}' for n, e in COLUMN.items())} FROM (
+      SELECT o, c, k, i, {START} AS s FROM (SELECT o_orderkey AS o, o_custkey % {CONTIGS} AS c FROM orders) x, (SELECT unnest([0, 1]) AS k) y, (SELECT unnest(range(0, 21)) AS i) z
+      WHERE NOT (k = 1 AND o % 19 = 0) AND (i < 20 OR ({GAP})))) w),
+reads AS (
+  SELECT o, c, k, {', '.join(f'{e} AS {n}' for n, e in READ.items())}, min(rpos) AS reference_start, max(rpos) + 1 AS reference_end,
+    count(qpos) AS query_length, CASE WHEN {CLIP} THEN 2 ELSE 0 END AS query_alignment_start, 20 AS query_alignment_end,
+    count(*) FILTER (rpos IS NOT NULL AND (qpos IS NULL OR qbase <> rbase)) + count(*) FILTER (rpos IS NULL AND i >= 2) AS nm, avg(qual) FILTER (qpos IS NOT NULL) AS mean_quality
+  FROM cols GROUP BY o, c, k),
+"""
+
+
+def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignments with the columns of readqc, sample_name, species_id and row_no."""
+    cols = columns_of_reads(spark, sf_dir)
+    at = lambda c: F.array_sort(F.collect_list(F.struct("i", c)))
+    gaps = F.when(F.col("rpos").isNotNull(), F.col("qpos").isNull() | (F.col("qbase") != F.col("rbase"))).otherwise(F.col("i") >= 2)
+    rows = cols.groupBy("o", "c", "k").agg(
+        at(F.struct("qpos", "rpos")).alias("pairs"),
+        F.filter(at("qbase")["qbase"], lambda x: x.isNotNull()).alias("bases"),
+        F.filter(at("rbase")["rbase"], lambda x: x.isNotNull()).alias("ref_bases"),
+        F.filter(at(F.when(F.col("qpos").isNotNull(), F.col("qual")).alias("q"))["q"], lambda x: x.isNotNull()).alias("query_qualities"),
+        F.min("rpos").alias("reference_start"),
+        (F.max("rpos") + 1).alias("reference_end"),
+        F.count_if(gaps).alias("nm"),
+    )
+    pairs = F.transform("pairs", lambda p: F.struct(p["col2"]["qpos"].cast("int").alias("qpos"), p["col2"]["rpos"].cast("int").alias("rpos")))
+    return rows.selectExpr("*", *[f"{e} AS {n}" for n, e in READ.items()]).select(
+        *READ, pairs.alias("aligned_pairs"), F.array_join("bases", "").alias("query_sequence"), F.array_join("ref_bases", "").alias("reference_sequence"), "query_qualities",
+        F.col("reference_start").cast("int"), F.col("reference_end").cast("int"), F.col("nm").cast("int"), F.size("query_qualities").alias("query_length"),
+        F.expr(f"cast(CASE WHEN {CLIP} THEN 2 ELSE 0 END AS int)").alias("query_alignment_start"), F.lit(20).alias("query_alignment_end"),
+    )
+
+
+def genome(spark: SparkSession) -> DataFrame:
+    """species_id, ref_id, sequence of the contigs that these reads are aligned to."""
+    long = GENOME * (CONTIG_LENGTH // len(GENOME) + 2)
+    return spark.createDataFrame([(f"sp{c % 2}", f"k{c}", long[c * 3 % len(GENOME) :][:CONTIG_LENGTH]) for c in range(CONTIGS)], "species_id string, ref_id string, sequence string")

@@ -2,29 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import alleles, sequences
 from ..operators import chunks, cnv, intervals, pangenome, pileup, readqc, selectors, snv, species
 from .bindings import bind, with_views
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
+from .registry import query, rounded
 
 SAMPLES = [f"s{i}" for i in range(8)]
 BASE_QUALITY = 22
@@ -265,10 +249,6 @@ PROFILE = MATRIX + """,
 prof AS (SELECT species_id, sum(uniq_reads + ambi_reads) AS n, median(coverage) AS med, sum(uniq_alnbps + ambi_alnbps) / sum(marker_length) AS cov, count(*) FILTER (uniq_reads > 0) / count(*) AS frac FROM mat GROUP BY 1)"""
 
 
-def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in columns})
-
-
 @query(HITS + " SELECT * FROM passed")
 def hit_filter(spark, sf_dir):
     return passed(spark, sf_dir)
@@ -764,7 +744,20 @@ def merge_chunks(spark, sf_dir):
     return chunks.merge_chunks(contigs(spark, sf_dir), chunk_size=1000)
 
 
-@query()
+PACKED = """WITH RECURSIVE piece AS (
+  SELECT species_id, contig_id, length, row_number() OVER (PARTITION BY species_id ORDER BY length DESC, contig_id) AS at, count(*) OVER (PARTITION BY species_id) AS n
+  FROM (SELECT concat('sp', o_orderkey % 40) AS species_id, CAST(o_orderkey AS VARCHAR) AS contig_id, o_orderkey * 37 % 5000 + 1 AS length FROM orders) c WHERE length < 1000
+), step(species_id, taken, high, low, room, chunk_id) AS (
+  SELECT species_id, CAST(1 AS BIGINT), CAST(2 AS BIGINT), n, 1000 - length, CAST(0 AS BIGINT) FROM piece WHERE at = 1
+  UNION ALL
+  SELECT s.species_id, CASE WHEN l.length <= room THEN low ELSE high END, CASE WHEN l.length <= room THEN high ELSE high + 1 END, CASE WHEN l.length <= room THEN low - 1 ELSE low END,
+         CASE WHEN l.length <= room THEN room - l.length ELSE 1000 - h.length END, CASE WHEN l.length <= room THEN chunk_id ELSE chunk_id + 1 END
+  FROM step s JOIN piece l ON l.species_id = s.species_id AND l.at = s.low JOIN piece h ON h.species_id = s.species_id AND h.at = s.high WHERE s.high <= s.low
+)
+SELECT p.species_id, p.contig_id, p.length, s.chunk_id FROM piece p JOIN step s ON s.species_id = p.species_id AND s.taken = p.at"""
+
+
+@query(PACKED)
 def pack_contigs(spark, sf_dir):
     short = contigs(spark, sf_dir).filter("length < 1000").withColumn("species_id", F.concat(F.lit("sp"), F.col("contig_id") % 40)).withColumn("contig_id", F.col("contig_id").cast("string"))
     return chunks.pack_contigs(short, chunk_size=1000)
