@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,13 +33,16 @@ def m8(spark: SparkSession, path: Paths) -> DataFrame:
     return tsv(spark, path, schemas.M8, header=False).withColumn("qlen", F.element_at(F.split("query", "_"), -1).cast("int"))
 
 
-def fastx(spark: SparkSession, path: Paths) -> DataFrame:
-    """id, seq, qual, length of FASTA and FASTQ records; sequences may span lines in FASTA, a FASTQ record has four lines.
+def fastx(spark: SparkSession, path: Paths, *, multiline: bool = False) -> DataFrame:
+    """id, seq, qual, length of FASTA and FASTQ records; the file's ending tells which.
 
-    Files are split at record marks by Spark, so that large ones are read in parallel.
+    FASTA records may span lines. A FASTQ record has four lines, which are numbered within their
+    file from what each split holds, so that splits are read in parallel and none is held whole.
+    With multiline its sequence and qualities may span lines too; where a record ends then depends
+    on all before it, so the lines of a file pass through one task in order, a record at a time.
     """
     files = [path] if isinstance(path, str) else list(path)
-    fasta = [p for p in files if not any(p.removesuffix(".gz").removesuffix(".bz2").endswith(e) for e in (".fastq", ".fq"))]
+    fasta = [p for p in files if not any(p.rstrip("/*").removesuffix(".gz").removesuffix(".bz2").endswith(e) for e in (".fastq", ".fq"))]
     fastq = [p for p in files if p not in fasta]
     parts = []
     if fasta:
@@ -46,14 +50,46 @@ def fastx(spark: SparkSession, path: Paths) -> DataFrame:
         records = spark.read.option("lineSep", "\n>").text(fasta).filter(F.length(F.trim("value")) > 0).select(body.alias("b"))
         parts.append(records.select(F.split(F.get("b", F.lit(0)), r"\s+")[0].alias("id"), F.regexp_replace(F.coalesce(F.get("b", F.lit(1)), F.lit("")), r"\s", "").alias("seq"), F.lit(None).cast("string").alias("qual")))
     if fastq:
-        # Four lines a record; a quality line may begin with @, so marks alone can't part records: a file is one row.
-        whole = spark.read.text(fastq, wholetext=True).select(F.filter(F.split("value", "\r?\n"), lambda x: x != "").alias("l"))
-        each = whole.select("l", F.explode(F.sequence(F.lit(0), F.floor(F.size("l") / 4).cast("int") - 1)).alias("k"))
-        parts.append(each.select(F.regexp_extract(F.get("l", F.col("k") * 4), r"^@(\S*)", 1).alias("id"), F.get("l", F.col("k") * 4 + 1).alias("seq"), F.get("l", F.col("k") * 4 + 3).alias("qual")))
+        parts.append(fastq_in_order(numbered_lines(spark, fastq)) if multiline else fastq_records(numbered_lines(spark, fastq)))
     df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return df.withColumn("length", F.length("seq"))
 
 
+def fastq_records(lines_: DataFrame) -> DataFrame:
+    """id, seq, qual of records of four lines (path, line_no from 0, value); an empty read is a record too, an incomplete one at the end is none."""
+    at = lambda k: F.max(F.when(F.col("line_no") % 4 == k, F.col("value")))
+    records = lines_.groupBy("path", F.floor(F.col("line_no") / 4).alias("record")).agg(at(0).alias("head"), at(1).alias("seq"), at(3).alias("qual"))
+    return records.filter(F.col("head").startswith("@") & F.col("qual").isNotNull()).select(F.regexp_extract("head", r"^@(\S*)", 1).alias("id"), "seq", "qual")
+
+
+def fastq_in_order(lines_: DataFrame) -> DataFrame:
+    """id, seq, qual of records of any number of lines: qualities end where they are as long as the sequence."""
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, head, seq, qual, in_qual = None, None, [], [], False
+        for batch in batches:
+            found = []
+            for p, line in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                if p != path:
+                    path, head, seq, qual, in_qual = p, None, [], [], False
+                if head is None:
+                    head = line[1:].split()[0] if line.startswith("@") and line[1:].split() else None
+                elif in_qual:
+                    qual.append(line)
+                elif line.startswith("+"):
+                    in_qual = True
+                else:
+                    seq.append(line)
+                if in_qual and sum(map(len, qual)) >= sum(map(len, seq)) and (qual or not any(seq)):
+                    found.append((head, "".join(seq), "".join(qual)))
+                    head, seq, qual, in_qual = None, [], [], False
+            columns = list(zip(*found, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["id", "seq", "qual"])
+
+    ordered = lines_.repartition("path").sortWithinPartitions("path", "line_no").select("path", "value")
+    return ordered.mapInArrow(parse, "id string, seq string, qual string")
+
+
 def read_names(records: DataFrame) -> DataFrame:
     """Adds query: the id and the length of the read."""
     return records.withColumn("query", F.concat_ws("_", "id", "length"))
@@ -96,7 +132,7 @@ def samples(spark: SparkSession, manifest: Paths, file: str, schema: str) -> Dat
     # The manifest's columns go by position: the name of the second varies.
     listed = spark.read.options(sep="\t", header=True, enforceSchema=True).schema(schemas.SAMPLES).csv(manifest if isinstance(manifest, str) else list(manifest))
     paths = [f"{r.outdir}/{r.sample_name}/{file}" for r in listed.toLocalIterator()]  # one short line a sample
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+)/" + file.replace(".", r"\.") + "$", 1)
+    name = F.regexp_extract(F.input_file_name(), r"([^/]+)/" + file.replace(".", r"\.") + "(?:/[^/]*)?$", 1)
     return tsv(spark, paths, schema).withColumn("sample_name", name)
 
 
@@ -126,11 +162,17 @@ def annotation(spark: SparkSession, path: Paths, kind: str) -> DataFrame:
 
 
 def orthologs(spark: SparkSession, path: Paths) -> DataFrame:
-    """Functional annotation: lines that begin with ## are comments, the one with a single # has the names."""
-    rows = lines(spark, path).filter(~F.col("value").startswith("##"))
-    head = rows.filter(F.col("value").startswith("#")).first()["value"].lstrip("#").split("\t")
+    """Functional annotation: lines that begin with ## are comments, those with a single # repeat the names, which are the format's."""
+    rows = lines(spark, path).filter(~F.col("value").startswith("#"))
     cells = F.split("value", "\t")
-    return rows.filter(~F.col("value").startswith("#")).select(*[F.get(cells, F.lit(i)).alias(c) for i, c in enumerate(head)])
+    return rows.select(*[F.get(cells, F.lit(i)).alias(c) for i, c in enumerate(schemas.ORTHOLOGS)])
+
+
+def id_list(spark: SparkSession, ids: str) -> DataFrame:
+    """species_id of a list: ids with commas between, or a file with one a line."""
+    if "," in ids or "/" not in ids:
+        return spark.createDataFrame([(i.strip(),) for i in ids.split(",") if i.strip()], "species_id string").distinct()
+    return lines(spark, ids).select(F.trim(F.split("value", "\t")[0]).alias("species_id")).filter("species_id <> ''").distinct()
 
 
 def chunk_plan(spark: SparkSession, path: str) -> DataFrame:
@@ -144,9 +186,19 @@ def digests(spark: SparkSession, path: Paths) -> DataFrame:
     return spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path)).select("path", F.md5("content").alias("md5sum"))
 
 
-def ordered_lines(df: DataFrame) -> DataFrame:
-    """Adds row_no, the order within each file's partition; Spark keeps none otherwise."""
-    return df.withColumn("row_no", F.monotonically_increasing_id())
+def numbered_lines(spark: SparkSession, path: Paths) -> DataFrame:
+    """path, line_no (from 0, in the file's own order) and value of text files.
+
+    Spark deals splits out by size, so ids that rise within a task say nothing across splits. Each
+    split's first id and number of lines are counted first (a row a split); a line's number is its
+    place in the split behind all lines of the splits before it.
+    """
+    read = spark.read.text(path if isinstance(path, str) else list(path))
+    rows = read.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id"), "value")
+    splits = rows.groupBy("path", "split").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("path", "split", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return rows.join(offsets, ["path", "split"]).select("path", (F.col("id") + F.col("shift")).alias("line_no"), "value")
 
 
 def carried_forward(df: DataFrame, column: str, by: list[str], ordinal: str) -> DataFrame:

@@ -25,6 +25,11 @@ def write_tsv(df: DataFrame, path: str, *, decimals: int = 3, mode: str = "error
     (out.coalesce(1) if single else out).write.mode(mode).options(sep="\t", header=True, compression=compression).csv(path)
 
 
+def write_gene_info(genes: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
+    """Gene info in order of gene over all its files: a range shuffle, no single task."""
+    write_tsv(genes.orderBy("gene_id"), path, mode=mode)
+
+
 def write_fasta(df: DataFrame, path: str, *, id_column: str = "id", seq_column: str = "seq", mode: str = "errorifexists") -> None:
     df.select(F.concat(F.lit(">"), F.col(id_column), F.lit("\n"), F.col(seq_column)).alias("value")).write.mode(mode).text(path)
 
