@@ -2,16 +2,20 @@
 
 import hashlib
 import random
+import re
+import tempfile
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from helpers import awkward, docs, prose
 from pyspark.sql import functions as F
 
 from helixframe.llm import additive_quantisation as aq
-from helixframe.llm import bpe, chat, exact_dedup, graph, ngram_join, packing, pseudonyms, quality, substring_dedup, toxicity
+from helixframe.llm import bpe, chat, common, exact_dedup, features, graph, ngram_join, packing, pseudonyms, quality, substring_dedup, toxicity, words
 
 
 def variant(text, rng, edits):
@@ -146,6 +150,22 @@ def test_exact_dedup(spark):
     assert exact_dedup.exact_dedup(awkward(spark)).count() == 12 and exact_dedup.exact_dedup(docs(spark, [])).count() == 0
 
 
+def test_exact_dedup_of_repeated_rows_and_hot_groups(spark, monkeypatch):
+    """Exactly one row of a group stays, also of rows alike in id and text, and where groups are so large that their key is broadcast."""
+    rows = [(3, "a b")] * 4 + [(3, "ab")] * 2 + [(None, "a  b"), (5, "z"), (5, "z"), (6, "q")] + [(100 + i, "hot text") for i in range(1500)] + [(2000 + i, f"t{i % 900}") for i in range(1800)]
+    got = exact_dedup.exact_dedup(docs(spark, rows)).collect()
+    assert len(got) == len(rows) and Counter((r.keep_id, r.group_size) for r in got if r.kept) == Counter([(None, 7), (5, 2), (6, 1), (100, 1500)] + [(2000 + i, 2) for i in range(900)])
+    assert {r.keep_id for r in got if r.text_sha256 == hashlib.sha256(b"hottext").hexdigest()} == {100}
+
+
+def test_joins_with_counts_of_hot_keys(spark):
+    rows = spark.range(5000).select(F.col("id"), F.when(F.col("id") < 3000, 0).otherwise(F.col("id") % 700).alias("k"))
+    groups = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("most")).filter("n > 3")
+    found = common.with_counts(rows, groups, ["k"], "n", 5000, F.xxhash64("id")).collect()
+    n = Counter(0 if i < 3000 else i % 700 for i in range(5000))
+    assert len(found) == 5000 and all(r.n == (n[r.k] if n[r.k] > 3 else None) for r in found)
+
+
 def library():
     from tokenizers import Tokenizer
 
@@ -302,6 +322,52 @@ def test_pseudonyms_leave_no_rest():
     assert pseudonyms.pseudonymised("token=abcdefg. token == abcdefghijk", f)[1] == []
 
 
+def test_values_beside_other_numbers():
+    """Cards and account numbers next to other numbers are found; all values planted change, and the spans turn them back."""
+    f = pseudonyms.Feistel(b"k")
+    card, iban = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00"
+    for text in (f"{card} 12/26", f"{card} 2", f"{card} 123 45", f"2024 {card}", f"12 {card} 5500 0000 0000 0004", "3782 822463 10005 12/25", "6011-1111-1111-1117 99", "4111111111111111 12", f"{iban} 1234", f"{iban} THIS 99 ABCD", "BE68 5390 0754 7034 WITH", "+49 30 1234567 2 rooms"):
+        out, spans = pseudonyms.pseudonymised(text, f)
+        value = max(re.findall(r"[0-9][0-9 -]{10,}[0-9]", text), key=len)
+        assert spans and out != text and len(out) == len(text), text
+        assert pseudonyms.restored(out, spans, f) == text
+        assert (card not in text or card not in out) and (iban not in text or iban not in out), value
+    one = pseudonyms.pseudonymised(f"{card} 12/26", f)[0][:19]
+    assert one in pseudonyms.pseudonymised(f"2024 {card} 7", f)[0] and one == pseudonyms.pseudonymised(card, f)[0]  # linked wherever it stands
+
+
+def test_every_planted_value_changes_and_returns(spark):
+    """A plain scan over the planted values: none is left, each is linked over documents, and all return."""
+    rng = random.Random(11)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    token = lambda n: "".join(rng.choice("ABCDEFGHJKabcdefghjk0123456789") for _ in range(n))
+
+    def a_card():
+        payload = rng.choice("3456") + digits(14)
+        d = payload + pseudonyms.luhn_digit(payload)
+        return rng.choice([d, " ".join(d[i : i + 4] for i in range(0, 16, 4)), "-".join(d[i : i + 4] for i in range(0, 16, 4))])
+
+    def an_iban():
+        rest = digits(18)
+        return "DE" + pseudonyms.iban_checked("DE", rest) + rest
+
+    makers = [a_card, an_iban, lambda: f"{rng.randrange(1, 600):03d}-{rng.randrange(1, 99):02d}-{rng.randrange(1, 9999):04d}", lambda: f"{token(9)}@mail.example.com", lambda: f"93.184.{rng.randrange(256)}.{rng.randrange(256)}", lambda: f"19{rng.randrange(10, 99)}-0{rng.randrange(1, 9)}-1{rng.randrange(9)}", lambda: f"+49 30 {digits(7)}", lambda: "token=" + token(rng.choice((8, 70, 300, 2000)))]
+    values = [make() for make in makers for _ in range(25)]
+    rows = [(i, f"{prose(i, 5)} {v} {prose(i + 1, 5)}") for i, v in enumerate(values)] + [(1000 + i, f"again {v}, said {prose(i, 3)}") for i, v in enumerate(values)]
+    changed = pseudonyms.pseudonyms(docs(spark, rows), key=b"k", carry=["lang"])
+    got = {r.doc_id: r for r in changed.collect()}
+    bare = [v.removeprefix("token=") for v in values]
+    for i, v in enumerate(bare):
+        name = v.split("@")[0]
+        assert name not in got[i].text and name not in got[1000 + i].text, v
+        before, after = rows[i][1].split(values[i])
+        written = got[i].text[len(before) : len(got[i].text) - len(after)]
+        assert written in got[1000 + i].text, v
+    back = {r.doc_id: r.text for r in pseudonyms.originals(changed, key=b"k").collect()}
+    assert back == dict(rows)
+    assert pseudonyms.session_key(spark) == pseudonyms.session_key(spark) != b""
+
+
 def test_feistel_is_a_permutation():
     f = pseudonyms.Feistel(b"k")
     for n in (1, 2, 7, 100, 366):
@@ -355,6 +421,135 @@ def test_quality(spark):
     assert quality.quality(docs(spark, []), labels).count() == 0
 
 
+def plain_hash(word, size=None):
+    """The hash of a word, byte by byte; an n-gram's holds n, also where the word is shorter."""
+    total = 0
+    for k, byte in enumerate(word):
+        total = (total + int(words._MIX[byte]) * pow(words._BASE, k, 2**64)) % 2**64
+    return int(words.mixed(np.array([(total + (size or len(word))) % 2**64], np.uint64))[0])
+
+
+def plain_grams(word, sizes):
+    marked = b"\0" + word + b"\0"
+    return [plain_hash(marked[i : i + n], n) for n in sizes for i in range(max(1, len(marked) - n + 1))]
+
+
+def test_toxicity_equals_a_plain_network():
+    """Scores again, window by window and step by step, from the trained weights."""
+    texts = [prose(i, 20 + 7 * i) + (" scum idiot" if i % 2 else "") + " Ünï" for i in range(12)]
+    net = toxicity.fit(texts, np.array([i % 2 for i in range(12)]), (6, 6), epochs=1)
+    found = np.concatenate([net.scores(w) for w in words.word_blocks(pa.array(texts), lower=True)])
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    p = {k: v.astype(float) for k, v in net.p.items()}
+
+    def vector(word):
+        return np.concatenate([p["words"][plain_hash(word) % toxicity.WORD_ROWS], 4 * np.mean([p["grams"][g % toxicity.GRAM_ROWS] for g in plain_grams(word, toxicity.GRAMS)], axis=0)])
+
+    def one_way(xs, side):
+        h, states = np.zeros(toxicity.HIDDEN), []
+        for x in xs:
+            g = x @ p[f"in_{side}"] + p[f"in_bias_{side}"]
+            z, r = np.split(sig(g[: 2 * toxicity.HIDDEN] + h @ p[f"zr_{side}"]), 2)
+            h = h + z * (np.tanh(g[2 * toxicity.HIDDEN :] + (r * h) @ p[f"c_{side}"]) - h)
+            states.append(h)
+        return states
+
+    for text, score in zip(texts, found, strict=True):
+        ws = [bytes(b + 32 if 65 <= b <= 90 else b for b in w) for w in text.encode().split()]
+        logits = []
+        for start in range(0, max(1, len(ws) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE):
+            xs = [vector(w) for w in ws[start : start + toxicity.WINDOW]]
+            states = np.concatenate([one_way(xs, "f"), one_way(xs[::-1], "b")[::-1]], axis=1)
+            e = np.exp(np.tanh(states @ p["att"]) @ p["att_v"])
+            logits.append((e / e.sum()) @ states @ p["out"] + p["bias"][0])
+        assert abs(max(logits) - net.shift - score) < 1e-3
+
+
+def test_quality_equals_plain_attention():
+    """Scores again, passage by passage, from the trained weights."""
+    texts = [prose(i, 30 + 40 * i) if i % 2 else (prose(i, 9).upper() + "!! 42\n") * (2 + i) for i in range(10)]
+    net = quality.fit(texts, np.array([i % 2 for i in range(10)]), (5, 5), epochs=1)
+    found = np.concatenate([net.scores(w) for w in words.word_blocks(pa.array(texts))])
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    kinds = [range(65, 91), range(48, 58), [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)], b".,;:?'\"", range(128, 256)]
+    for text, score in zip(texts, found, strict=True):
+        data = text.encode()
+        spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+        seen, codes, weights = set(), [], []
+        for at in range(0, len(spans), quality.PASSAGE):
+            part = spans[at : at + quality.PASSAGE]
+            ws = [data[i:j] for i, j in part]
+            n, whole = len(ws), data[part[0][0] : part[-1][1]]
+            following = [data[i:j] for i, j in spans[at + 1 : at + n + 1]]
+            plain = [
+                np.log1p(n) - 3, sum(map(len, ws)) / n / 8, *[sum(b in k for b in whole) / len(whole) for k in kinds],
+                len(set(ws)) / n, len(set(ws) - seen) / n, sum(a == b for a, b in zip(ws, following, strict=False)) / n,
+                sum(w[-1] in kinds[2] and w[-1] not in kinds[3] for w in ws) / n, sum(data[min(j, len(data) - 1)] == 10 for _, j in part) / n,
+            ]
+            seen |= set(ws)
+            grams = np.mean([np.mean([p["grams"][g % quality.GRAM_ROWS] for g in plain_grams(w, quality.GRAMS)], axis=0) for w in ws], axis=0)
+            x = np.concatenate([np.clip((np.array(plain) - net.mean) / net.scale, -6, 6), 4 * grams])
+            codes.append(np.tanh(x @ p["enc"] + p["enc_b"]))
+            weights.append(np.exp((np.tanh(codes[-1] @ p["v"]) / (1 + np.exp(-codes[-1] @ p["u"]))) @ p["a"]))
+        logit = np.array(weights) / sum(weights) @ np.array(codes) @ p["out"] + p["bias"][0]
+        assert abs(logit - net.shift - score) < 2e-3
+
+
+def test_classifiers_without_labels_or_with_one_class(spark):
+    texts = docs(spark, [(1, "words"), (2, "\t\n"), (3, None), (4, "")])
+    schema = "doc_id long, toxic int, quality int"
+    for rows, good in (([], 1.0), ([(1, 1, 1), (9, 1, 1)], 1.0), ([(1, None, None), (None, 1, 0)], 1.0)):
+        labels = spark.createDataFrame(rows, schema)
+        assert {r.doc_id: r.score for r in toxicity.toxicity(texts, labels).collect()} == {1: 0.0, 2: 0.0, 3: 0.0, 4: 0.0}
+        assert {r.doc_id: r.score for r in quality.quality(texts, labels).collect()} == {1: good, 2: 0.0, 3: 0.0, 4: 0.0}
+
+
+def test_a_sample_of_repeated_rows_is_bounded(spark):
+    texts = docs(spark, [(1, "a")] * 500 + [(1, "b")] * 3 + [(2, "c")])
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id long, toxic int")
+    found = features.sample_for_fitting(texts, labels, "toxic", F.lit(True), rows=5, chars=10)
+    assert sorted(zip(found["text"], found["label"], strict=True)) == [("b", 1), ("c", 0)]
+
+
+def test_long_texts_are_hashed_in_blocks(monkeypatch):
+    text = " ".join([prose(3, 400), "x" * 700, prose(4, 300)])
+    whole = next(words.word_blocks(pa.array([text, "y z"])))
+    monkeypatch.setattr(words, "BLOCK", 256)
+    cut = list(words.word_blocks(pa.array([text, "y z"])))
+    assert np.concatenate([w.hashes for w in cut]).tolist() == whole.hashes.tolist() == [plain_hash(w) for w in (text + " y z").encode().split()]
+
+
+def test_nearest_neighbours_of_repeated_ids(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 8)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(0, x[0].tolist()), (1, x[1].tolist()), (1, (x[1] - 9).tolist()), (None, x[2].tolist())] + [(7, x[7].tolist())] * 200
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = defaultdict(list)
+    for r in aq.nearest(vectors, vectors.filter("vec_id % 20 = 0"), rerank=300, row_block=100, query_block=7).collect():
+        got[r.query_id].append((r.rank, r.vec_id))
+    assert set(got) == set(range(0, 300, 20))
+    for q, found in got.items():
+        s = x.astype(float) @ x[q].astype(float)
+        s[q] = -np.inf
+        assert [v for _, v in sorted(found)] == np.lexsort((np.arange(300), -s))[:20].tolist()
+
+
+def test_recall_with_the_parameters_of_the_query(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(20_000, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    path = tempfile.mkdtemp()
+    pq.write_table(pa.table({"vec_id": pa.array(range(len(x))), "embedding": pa.array(list(x))}), f"{path}/v.parquet")
+    vectors = spark.read.parquet(f"{path}/v.parquet")
+    hits, asked = 0, list(range(0, len(x), 200))
+    found = aq.nearest(vectors, vectors.filter("vec_id % 200 = 0")).select("query_id", "vec_id").toPandas().groupby("query_id")["vec_id"].apply(set)
+    for q in asked:
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-s)[:20].tolist()))
+    assert hits >= 0.9 * 20 * len(asked)
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 16)).astype(np.float32)
