@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents_of, small_batches, table
+from .words import _SPACE as SPACE_BYTES
+from .words import word_blocks
 
 #: Text pieces a worker remembers, with their ids, before only those in use are carried over.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Stands for the end-of-word suffix while words are cut; a private-use character.
 END = ""
 NEVER = np.int64(1) << 40
@@ -46,11 +48,14 @@ def byte_characters() -> list[str]:
 
 
 class Lookup:
-    """A fixed table from numbers (0 or more) to numbers, asked for many at once: open addressing, mostly one step a key."""
+    """A table from numbers (0 or more) to numbers, asked for many at once: open addressing, mostly one step a key."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray, missing: int):
-        self.missing, self.bits = missing, max(4, len(keys).bit_length() + 2)
+    def __init__(self, keys: np.ndarray, values: np.ndarray, missing: int, room: int = 0):
+        self.missing, self.bits = missing, max(4, max(len(keys), room).bit_length() + 2)
         self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, missing, np.int64)
+        self.add(keys, values)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
         slot = self.slots(keys)
         while len(keys):
             free = self.keys[slot] < 0
@@ -79,6 +84,54 @@ class Lookup:
         return found.reshape(asked.shape)
 
 
+class Grown:
+    """A numpy array that is appended to."""
+
+    def __init__(self, kind: type):
+        self.room, self.size = np.empty(1024, kind), 0
+
+    def append(self, more: np.ndarray) -> None:
+        if self.size + len(more) > len(self.room):
+            self.room = np.concatenate([self.room[: self.size], np.empty(max(self.size, len(more)) + 1024, self.room.dtype)])
+        self.room[self.size : self.size + len(more)] = more
+        self.size += len(more)
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each run of a size, one run after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+class Memory:
+    """Pieces of text with their ids: the bytes of all one after the other, the ids likewise, found by hash and compared in full."""
+
+    def __init__(self, pieces: int = 0):
+        self.number = Lookup(np.zeros(0, np.int64), np.zeros(0, np.int64), -1, room=max(REMEMBERED, pieces))
+        self.text, self.ids = Grown(np.uint8), Grown(np.uint32)
+        self.columns = [Grown(np.int64) for _ in range(4)]  # of each piece start and size of its text, then of its ids
+
+    def add(self, keys: np.ndarray, text: np.ndarray, text_sizes: np.ndarray, ids: np.ndarray, id_sizes: np.ndarray) -> None:
+        first = self.columns[0].size
+        starts = [self.text.size + np.cumsum(text_sizes) - text_sizes, text_sizes, self.ids.size + np.cumsum(id_sizes) - id_sizes, id_sizes]
+        for column, more in zip(self.columns, starts, strict=True):
+            column.append(more)
+        self.text.append(text)
+        self.ids.append(ids)
+        self.number.add(keys, np.arange(first, first + len(keys)))
+
+    def find(self, keys: np.ndarray, text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The number of each piece, -1 where it is not known."""
+        found = self.number[keys]
+        ours, our_sizes = self.columns[0].room, self.columns[1].room
+        found[(found >= 0) & (our_sizes[found] != sizes)] = -1
+        some = np.flatnonzero(found >= 0)
+        if len(some):
+            same = text[spread(starts[some], sizes[some])] == self.text.room[spread(ours[found[some]], sizes[some])]
+            equal = np.logical_and.reduceat(same, np.cumsum(sizes[some]) - sizes[some])
+            found[some[~equal]] = -1
+        return found
+
+
 class WordBPE:
     """A tokenizer file of the tokenizers library: NFC, lower case, words, byte-level BPE with word ends."""
 
@@ -93,8 +146,7 @@ class WordBPE:
         # White space never belongs to a word; the class is spelt out because libraries differ on it.
         blank = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
         self.words = regex.compile(split.replace("[^\\s", "[^" + blank))
-        self.blanks = regex.compile(f"[{blank}]+")
-        self.bytes = byte_characters()
+        self.of_bytes = {b: c for b, c in enumerate(byte_characters()) if chr(b) != c}
         mark = lambda t: t[: -len(self.suffix)] + END if t.endswith(self.suffix) else t
         self.vocab = {mark(t): i for t, i in model["vocab"].items()}
         self.names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
@@ -119,8 +171,7 @@ class WordBPE:
         self.reachable = np.ones(size, bool)
         for r, z in enumerate(made):
             self.reachable[z] = whole[r] and self.reachable[self.left[z]] and self.reachable[self.right[z]]
-        self.remembered: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.memory, self.older = Memory(), Memory()
 
     def rank_of(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return self.pair_ranks[x * self.size + y]
@@ -281,38 +332,35 @@ class WordBPE:
 
     def as_words(self, text: str, found: list[str]) -> int:
         """Appends the words of a normalised text; how many there are."""
-        if text.isalpha():
-            found.append((text if text.isascii() else "".join([self.bytes[b] for b in text.encode()])) + END)
-            return 1
-        words = self.words.findall(text)
+        words = [text] if text.isalpha() else self.words.findall(text)
         for w in words:
-            found.append((w if w.isascii() and w.isprintable() else "".join([self.bytes[b] for b in w.encode()])) + END)
+            found.append((w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.of_bytes)) + END)
         return len(words)
 
-    def learn(self, pieces: list[str]) -> None:
-        """Remembers the ids of pieces (runs of text without white space)."""
+    def ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces (runs of text without white space), one after the other, and how many each has."""
         # One character at a time, as the library lower-cases: no final sigma.
         low = unicodedata.normalize("NFC", " ".join(pieces)).replace("Σ", "σ").lower().split(" ")
         words: list[str] = []
-        as_words = self.as_words
-        counts = []
-        for piece, text in zip(pieces, low, strict=True):
-            if text.isalpha() and text.isascii():
+        counts: list[int] = []
+        special: dict[int, np.ndarray] = {}
+        for k, (piece, text) in enumerate(zip(pieces, low, strict=True)):
+            if text.isascii() and text.isalpha():
                 words.append(text + END)
                 counts.append(1)
-            elif "<|" not in piece:
-                counts.append(as_words(text, words))
+            elif "<|" in piece:
+                special[k] = np.frombuffer(self.with_special(piece), "<u4")
+                counts.append(0)
             else:
-                self.remembered[piece] = self.with_special(piece)
-                counts.append(-1)
+                counts.append(self.as_words(text, words))
         flat, sizes = self.segment(words) if words else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        blob = flat.astype("<u4").tobytes()
-        ends = [0, *(4 * np.cumsum(sizes)).tolist()]
-        at, remembered = 0, self.remembered
-        for piece, n in zip(pieces, counts, strict=True):
-            if n >= 0:
-                remembered[piece] = blob[ends[at] : ends[at + n]]
-                at += n
+        flat = flat.astype(np.uint32)
+        ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(counts)]
+        of_piece = np.diff(ends, prepend=0)
+        if special:
+            parts = [special.get(k, flat[e - n : e]) for k, (e, n) in enumerate(zip(ends.tolist(), of_piece.tolist(), strict=True))]
+            return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+        return flat, of_piece
 
     def with_special(self, piece: str) -> bytes:
         """Ids of a piece in which special tokens may stand."""
@@ -327,23 +375,40 @@ class WordBPE:
                     ids += self.segment(words)[0].astype("<u4").tobytes()
         return ids
 
-    def pieces(self, text: str) -> list[str]:
-        # str.split() also cuts at U+001C to U+001F, which are not white space here.
-        return [p for p in self.blanks.split(text) if p] if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
+    def numbers(self, keys: np.ndarray, data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The number of each distinct piece in memory; those not there are taken from the older memory or encoded."""
+        text = np.frombuffer(data, np.uint8)
+        found = self.memory.find(keys, text, starts, sizes)
+        new = np.flatnonzero(found < 0)
+        if not len(new):
+            return found
+        if self.memory.columns[0].size + len(new) > REMEMBERED:
+            self.older, self.memory = self.memory, Memory(len(keys))
+            new = np.arange(len(keys))
+        old = self.older.find(keys[new], text, starts[new], sizes[new])
+        again, fresh = new[old >= 0], new[old < 0]
+        _, _, id_starts, id_sizes = (c.room for c in self.older.columns)
+        parts = [(again, self.older.ids.room[spread(id_starts[old[old >= 0]], id_sizes[old[old >= 0]])], id_sizes[old[old >= 0]])]
+        if len(fresh):
+            parts.append((fresh, *self.ids_of([data[a:b].decode() for a, b in zip(starts[fresh].tolist(), (starts + sizes)[fresh].tolist(), strict=True)])))
+        for which, ids, n in parts:
+            first = self.memory.columns[0].size
+            self.memory.add(keys[which], text[spread(starts[which], sizes[which])], sizes[which], ids, n)
+            found[which] = first + np.arange(len(which))
+        return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text, little-endian unsigned 32-bit."""
-        cut = [self.pieces(t) for t in texts]
-        if len(self.remembered) > REMEMBERED:
-            self.older, self.remembered = self.remembered, {}
-        known, older = self.remembered, self.older
-        new = set().union(*cut).difference(known)
-        again = {p for p in new if p in older}
-        known.update({p: older[p] for p in again})
-        if len(new) > len(again):
-            self.learn(list(new - again))
-        get = known.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+        encoded: list[bytes] = []
+        for w in word_blocks(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), blank=blank_bytes):
+            keys, at, of = np.unique((w.hashes >> np.uint64(1)).view(np.int64), return_index=True, return_inverse=True)
+            numbers = self.numbers(keys, w.data, w.starts[at], (w.ends - w.starts)[at])
+            _, _, starts, sizes = (c.room for c in self.memory.columns)
+            n = sizes[numbers][of]
+            ids = self.memory.ids.room[spread(starts[numbers][of], n)].astype("<u4").tobytes()
+            ends = (4 * np.concatenate(([0], np.cumsum(n)))[w.first]).tolist()
+            encoded += [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        return encoded
 
     def decode(self, ids: np.ndarray | list[int]) -> str:
         """Tokens with a blank between them, as the library decodes where a file names no decoder."""
@@ -351,6 +416,28 @@ class WordBPE:
         return " ".join([t for t in map(get, ids if isinstance(ids, list) else ids.tolist()) if t is not None])
 
 
+#: White space of more than one byte, in UTF-8: U+0085, U+00A0, U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
+WIDE_BLANKS = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+_LEADS = np.zeros(256, bool)
+_LEADS[[b[0] for b in WIDE_BLANKS]] = True
+
+
+def blank_bytes(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 text are white space."""
+    blank = SPACE_BYTES[data]
+    leads = np.flatnonzero(_LEADS[data])
+    if len(leads):
+        padded = np.append(data, np.zeros(2, np.uint8))
+        seconds, thirds = padded[leads + 1], padded[leads + 2]
+        for b in WIDE_BLANKS:
+            hit = (data[leads] == b[0]) & (seconds == b[1])
+            if len(b) == 3:
+                hit &= thirds == b[2]
+            for k in range(len(b)):
+                blank[leads[hit] + k] = True
+    return blank
+
+
 @functools.lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordBPE:
     return WordBPE(path)
@@ -376,7 +463,7 @@ def bpe_encode(docs: DataFrame, *, path: str | None = None) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
         for batch in batches:
-            found = bpe.encode(batch.column(1).to_pylist())
+            found = bpe.encode(batch.column(1))
             decoded = [bpe.decode(np.frombuffer(ids, "<u4")) for ids in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), id_lists(found), pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
 

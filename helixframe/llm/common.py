@@ -38,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 #: Bounds of an Arrow batch that a Python task holds at once; a single longer text is a batch of its own.
-BATCH_ROWS, BATCH_BYTES = 4096, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 16_384, 1 << 20
 
 
 def small_batches(spark: SparkSession) -> None:

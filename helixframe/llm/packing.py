@@ -159,7 +159,7 @@ def pack(docs: DataFrame, *, path: str | None = None, capacity: int = CAPACITY,
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             closed = []
-            for doc, ids in zip(batch.column(0).to_pylist(), bpe.encode(batch.column(1).to_pylist()), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), bpe.encode(batch.column(1)), strict=True):
                 for pieces in packer.add((doc, 0, ids + tail, len(ids) // 4 + 1)):
                     closed.append((number, pieces))
                     number += 1

@@ -6,7 +6,7 @@ and never part of another character.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -74,8 +74,8 @@ class Words:
     first: np.ndarray  # of each row, its first word; one more at the end
 
 
-def word_blocks(texts: pa.Array, lower: bool = False) -> Iterator[Words]:
-    """Words of a string column, some rows at a time."""
+def word_blocks(texts: pa.Array, lower: bool = False, blank: Callable[[np.ndarray], np.ndarray] = _SPACE.__getitem__) -> Iterator[Words]:
+    """Words of a string column, some rows at a time; blank marks the bytes that are white space."""
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8) if len(texts) else np.zeros(1, np.int64)
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8) if len(texts) else np.zeros(0, np.uint8)
@@ -85,7 +85,7 @@ def word_blocks(texts: pa.Array, lower: bool = False) -> Iterator[Words]:
         part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         if lower:
             part = _LOWER[part]
-        inside = ~_SPACE[part]
+        inside = ~blank(part)
         begins, finishes = inside.copy(), inside.copy()
         begins[1:] &= ~inside[:-1]
         finishes[:-1] &= ~inside[1:]
