@@ -45,7 +45,8 @@ def with_reference(sites: DataFrame, genome: DataFrame, *, block: int = BLOCK) -
     a site lies in comes to it, so no row carries a contig and no contig is one key.
     """
     placed = sites.withColumn("block", F.floor((F.col("ref_pos") - 1) / block).cast("int"))
-    return placed.join(genome_blocks(genome, block=block), ["ref_id", "block"]).withColumn("ref_allele", F.substring("bases", ((F.col("ref_pos") - 1) % block + 1).cast("int"), F.lit(1))).drop("block", "bases")
+    allele = F.substring("bases", ((F.col("ref_pos") - 1) % block + 1).cast("int"), F.lit(1))
+    return placed.join(genome_blocks(genome, block=block), ["ref_id", "block"]).withColumn("ref_allele", allele).filter("ref_allele <> ''").drop("block", "bases")
 
 
 def region(rows: DataFrame, ref_id: str, start: int, end: int) -> DataFrame:

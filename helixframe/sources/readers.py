@@ -162,10 +162,17 @@ def annotation(spark: SparkSession, path: Paths, kind: str) -> DataFrame:
 
 
 def orthologs(spark: SparkSession, path: Paths) -> DataFrame:
-    """Functional annotation: lines that begin with ## are comments, those with a single # repeat the names, which are the format's."""
-    rows = lines(spark, path).filter(~F.col("value").startswith("#"))
+    """Functional annotation: lines that begin with ## are comments, the one with a single # has the names.
+
+    All files must have the same names; where none has any (empty files), they are the format's own.
+    """
+    rows = lines(spark, path).filter(~F.col("value").startswith("##"))
+    heads = [r.value for r in rows.filter(F.col("value").startswith("#")).distinct().limit(2).collect()]
+    if len(heads) > 1:
+        raise ValueError("files of functional annotation differ in their columns")
+    names = heads[0].lstrip("#").split("\t") if heads else schemas.ORTHOLOGS
     cells = F.split("value", "\t")
-    return rows.select(*[F.get(cells, F.lit(i)).alias(c) for i, c in enumerate(schemas.ORTHOLOGS)])
+    return rows.filter(~F.col("value").startswith("#")).select(*[F.get(cells, F.lit(i)).alias(c) for i, c in enumerate(names)])
 
 
 def id_list(spark: SparkSession, ids: str) -> DataFrame:

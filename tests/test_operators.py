@@ -54,8 +54,16 @@ def test_pileup_from_alignments(spark):
     pairs = [(0, 4), (1, 5), (None, 6), (2, 7), (3, None)]
     reads = spark.createDataFrame([("s", "sp", "c", "ACGT", [30, 10, 40, 40], "r", pairs)], "sample_name string, species_id string, ref_id string, query_sequence string, query_qualities array<int>, query_name string, aligned_pairs array<struct<qpos:int,rpos:int>>")
     genome = spark.createDataFrame([("c", "TTTTACAGT")], "ref_id string, sequence string")
-    got = pileup.pileup(pileup.with_reference(pileup.explode_alignments(reads), genome), base_quality=20).orderBy("ref_pos").collect()
-    assert [(r.ref_pos, r.ref_allele, r.count_a, r.count_g, r.depth) for r in got] == [(5, "A", 1, 0, 1), (8, "G", 0, 1, 1)]
+    for block in (2, 3, 2048):
+        counted = pileup.pileup(pileup.explode_alignments(reads), base_quality=20)
+        got = pileup.with_reference(counted, genome, block=block).orderBy("ref_pos").collect()
+        assert [(r.ref_pos, r.ref_allele, r.count_a, r.count_g, r.depth) for r in got] == [(5, "A", 1, 0, 1), (8, "G", 0, 1, 1)]
+    assert pileup.with_reference(counted.withColumn("ref_pos", F.col("ref_pos") + 100), genome).count() == 0
+
+
+def test_region_is_half_open(spark):
+    rows = spark.createDataFrame([("c", p) for p in (10, 11, 20, 21)] + [("d", 15)], "ref_id string, ref_pos long")
+    assert sorted(r.ref_pos for r in pileup.region(rows, "c", 10, 20).collect()) == [11, 20]
 
 
 HIT = "query string, aln_no int, target long, species_id string, marker_id string, pid double, aln int, qlen int, score double"
@@ -121,12 +129,16 @@ def test_nested_gene_holds_nothing(spark):
 
 
 def test_codons(spark):
-    df = spark.createDataFrame([("GCT", 2, "+"), ("ATG", 0, "+"), ("GCN", 1, "+"), ("GCT", 2, "-")], "codon string, within int, strand string")
-    got = df.select(sequences.degeneracy(F.col("codon"), F.col("within"), F.col("strand")).alias("d"), sequences.translate_codon(F.col("codon")).alias("aa")).collect()
-    assert (got[0].d.site_type, got[0].d.amino_acids, got[0].aa) == ("4D", "A,A,A,A", "A")
-    assert (got[1].d.site_type, got[1].d.amino_acids) == ("2D", "M,L,V,L")
-    assert got[2].d is None and got[2].aa is None
-    assert got[3].d.site_type == "4D"
+    table = {r[:3]: r[3:] for r in sequences.degeneracy_table()}
+    assert len(table) == 384
+    assert table["GCT", 2, "+"] == ("4D", "A,A,A,A") and table["ATG", 0, "+"] == ("2D", "M,L,V,L") and table["GCT", 2, "-"][0] == "4D"
+    df = spark.createDataFrame([("GCT",), ("ATG",), ("GCN",)], "codon string")
+    assert [r.aa for r in df.select(sequences.translate_codon(F.col("codon")).alias("aa")).collect()] == ["A", "M", None]
+    placed = spark.createDataFrame([("g", "c", 5, "+", 3, 11, "CDS"), ("g", "c", 11, "+", 3, 11, "CDS"), ("h", "c", 20, "-", 12, 20, "CDS"), ("t", "c", 30, "+", 30, 40, "tRNA"), (None, "c", 99, None, None, None, None)], "gene_id string, contig_id string, ref_pos long, strand string, start_pos long, end_pos long, gene_type string")
+    genes = spark.createDataFrame([("g", "GCTNNNATG"), ("h", "ATGAAATAG")], "gene_id string, sequence string")
+    got = {r.ref_pos: (r.locus_type, r.site_type, r.amino_acids) for r in intervals.annotate_sites(placed, genes).collect()}
+    # The base at 11 is the last of the third codon, ATG; that at 20 the first of the minus strand's ATG.
+    assert got == {5: ("CDS", "4D", "A,A,A,A"), 11: ("CDS", "3D", "I,I,M,I"), 20: ("CDS", "2D", "L,V,L,M"), 30: ("tRNA", None, None), 99: ("IGR", None, None)}
 
 
 def test_site_ids_are_parsed_from_the_right(spark):
@@ -232,3 +244,68 @@ def test_typed_tsv(spark, tmp_path):
     (tmp_path / "t.tsv").write_text("name\tage\theight\ntommy\t9\t120\nmasha\t7\t122\n")
     rows = readers.tsv(spark, str(tmp_path / "t.tsv"), "name string, age int, height double", columns=["height", "name"]).collect()
     assert {tuple(r) for r in rows} == {(120.0, "tommy"), (122.0, "masha")}
+
+
+def test_lines_are_numbered_across_splits(spark, tmp_path):
+    """Splits are dealt out by size: the number of a line is its place in its file all the same."""
+    files = {"a.txt": 3000, "b.txt": 11, "c.txt": 900, "empty.txt": 0}
+    for name, n in files.items():
+        (tmp_path / name).write_text("".join(f"{name} {i} {'x' * (i % 37)}\n" for i in range(n)))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = readers.numbered_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert len(got) == sum(files.values())
+    assert all(r.value.startswith(f"{r.path.rsplit('/', 1)[1]} {r.line_no} ") for r in got)
+
+
+def test_fastq_with_empty_reads_and_marks_in_qualities(spark, tmp_path):
+    plain = [("r1", "ACGT", "@+>I"), ("r2", "", ""), ("r3", "GG", "++"), ("r4", "T", "@")]
+    (tmp_path / "p.fastq").write_text("".join(f"@{n} c\n{s}\n+{n}\n{q}\n" for n, s, q in plain) + "@cut\nAC\n")
+    for multiline in (False, True):
+        got = readers.fastx(spark, str(tmp_path / "p.fastq"), multiline=multiline).collect()
+        assert sorted((r.id, r.seq, r.qual, r.length) for r in got) == sorted((*r, len(r[1])) for r in plain)
+    (tmp_path / "m.fastq").write_text("@a\nACG\nTT\n+\n@+I\nII\n@b\nC\n+\n@\n")
+    assert sorted((r.id, r.seq, r.qual) for r in readers.fastx(spark, str(tmp_path / "m.fastq"), multiline=True).collect()) == [("a", "ACGTT", "@+III"), ("b", "C", "@")]
+
+
+def test_orthologs_of_empty_files(spark, tmp_path):
+    (tmp_path / "none.annotations").write_text("")
+    (tmp_path / "some.annotations").write_text("## x\n#query\tPFAMs\ng1\tq\n")
+    assert readers.orthologs(spark, str(tmp_path / "none.annotations")).columns[-1] == "PFAMs"
+    got = readers.orthologs(spark, str(tmp_path)).collect()
+    assert len(got) == 1 and got[0]["query"] == "g1" and got[0]["PFAMs"] == "q"
+
+
+def test_checked_joins(spark):
+    import pytest
+
+    rows = lambda *ids: spark.createDataFrame([(i, 1) for i in ids], "k string, n int")
+    assert pangenome.joined_one_to_one(rows("a", "b"), rows("b", "a").withColumnRenamed("n", "m"), "k").count() == 2
+    for left, right in ((("a",), ("a", "b")), (("a", "b"), ("a",)), (("a", "a"), ("a",))):
+        with pytest.raises(ValueError):
+            pangenome.joined_one_to_one(rows(*left), rows(*right).withColumnRenamed("n", "m"), "k")
+    genes = spark.createDataFrame([("g",)], "gene_id string")
+    with pytest.raises(Exception, match="no length of gene g"):
+        pangenome.gene_info(genes, spark.createDataFrame([], "gene_id string, gene_length int"), spark.createDataFrame([], "gene_id string, marker_id string")).collect()
+    with pytest.raises(ValueError):
+        pangenome.annotation_column("other")
+
+
+def test_mates_settle_where_they_overlap(spark):
+    """Two mates of four bases over the same three: the better base counts once; a tie is the forward read's."""
+    read = "query_name string, ref_id string, is_read1 boolean, is_reverse boolean, is_secondary boolean, is_proper_pair boolean, mapping_quality int, template_length int, reference_start int, reference_end int, query_length int, query_alignment_start int, query_alignment_end int, query_sequence string, query_qualities array<int>, nm int, aligned_pairs array<struct<qpos:int,rpos:int>>, reference_sequence string, row_no long"
+    mate = lambda k, start, seq, quals: ("q", "c", k == 0, k == 1, False, True, 40, 5, start, start + 4, 4, 0, 4, seq, quals, 0, [(i, start + i) for i in range(4)], seq, k)
+    reads = spark.createDataFrame([mate(0, 0, "ACGT", [40, 30, 30, 20]), mate(1, 1, "CGTA", [30, 20, 35, 40])], read)
+    pair = readqc.proper_pairs(reads).first()
+    assert (pair.overlap, pair.identity) == (3, 100.0) and list(pair.fwd_qualities) == [40, 30, 30, 0] and list(pair.rev_qualities) == [0, 0, 35, 40]
+    assert readqc.proper_pairs(reads.filter("row_no = 0")).count() == 0
+    got = {(r.query_name, r.is_reverse): list(r.query_qualities) for r in readqc.mates(readqc.proper_pairs(reads)).collect()}
+    assert got == {("q", False): [40, 30, 30, 0], ("q", True): [0, 0, 35, 40]}
+
+
+def test_frequencies_of_locus_types(spark):
+    rows = spark.createDataFrame([(1, "CDS"), (2, "IGR"), (3, "tRNA")], "ref_pos int, locus_type string")
+    assert {r.ref_pos for r in snv.of_locus(rows, locus_types=("CDS", "tRNA")).collect()} == {1, 3} and snv.of_locus(rows).count() == 3
