@@ -240,7 +240,7 @@ def leader_links(lists: DataFrame, check, percent: int, rounds: int) -> DataFram
         if links is not None:
             now = lists.join(components(links).withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
         order = F.struct("central", "doc_id") if k == 0 else F.struct(F.xxhash64("doc_id", F.lit(k)), "doc_id")
-        open_lists = stored(now.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max_by(F.struct("doc_id", "n", "left", "component"), order).alias("lead")).filter("least < most"))
+        open_lists = stored(now.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max_by(F.struct("doc_id", "n", "left", "component"), order).alias("lead")).filter("least < most"), small=True)
         if open_lists.isEmpty():
             break
         if k < rounds:
@@ -269,16 +269,16 @@ def ngram_jaccard_join(docs: DataFrame, *, words: int = WORDS, percent: int = PE
     spark = docs.sparkSession
     small_batches(spark)
     docs = documents_of(docs).withColumn("th", F.xxhash64("text"))
-    keys = stored(class_keys(docs, words))
+    keys = stored(class_keys(docs, words), small=True)
     real = keys.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = stored(real.groupBy("n", "k1", "k2").agg(F.min(F.struct("doc_id", "th")).alias("rep")).select("n", "k1", "k2", F.col("rep.doc_id").alias("class_id"), F.col("rep.th").alias("th")))
+    classes = stored(real.groupBy("n", "k1", "k2").agg(F.min(F.struct("doc_id", "th")).alias("rep")).select("n", "k1", "k2", F.col("rep.doc_id").alias("class_id"), F.col("rep.th").alias("th")), small=True)
     histogram = {r.n: r.k for r in classes.filter(F.col("n") <= 2 * SMALL_MOST).groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()}
     boundary = cheapest_boundary(histogram, percent)
     # Small sets.
     subsets = subset_keys(docs, words, boundary, percent).join(classes.filter(F.col("n") <= boundary).select("n", "k1", "k2", "class_id"), ["n", "k1", "k2"]).select("key", "side", "class_id")
     # Sets of one side alone need not link: the subset is of a size that the other side asks for. With both sides there, all are connected.
     leaders = subsets.groupBy("key").agg(F.min("class_id").alias("a"), F.count(F.lit(1)).alias("k"), F.min("side").alias("least"), F.max("side").alias("most")).filter("k > 1 AND (least = 0 OR least < most)").select("key", "a")
-    light = stored(subsets.join(leaders, "key").filter("a < class_id").select("a", F.col("class_id").alias("b")).distinct())
+    light = stored(subsets.join(leaders, "key").filter("a < class_id").select("a", F.col("class_id").alias("b")).distinct(), small=True)
 
     # Large sets, and the small ones that such a set may link with.
     large = classes.filter(F.col("n") >= own_overlap(boundary + 1, percent)).select(F.col("class_id").alias("doc_id"), "th", "n")
