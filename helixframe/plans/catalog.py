@@ -745,16 +745,16 @@ def merge_chunks(spark, sf_dir):
 
 
 PACKED = """WITH RECURSIVE piece AS (
-  SELECT species_id, contig_id, length, row_number() OVER (PARTITION BY species_id ORDER BY length DESC, contig_id) AS at, count(*) OVER (PARTITION BY species_id) AS n
+  SELECT species_id, contig_id, length, row_number() OVER (PARTITION BY species_id ORDER BY length DESC, contig_id) AS pos, count(*) OVER (PARTITION BY species_id) AS n
   FROM (SELECT concat('sp', o_orderkey % 40) AS species_id, CAST(o_orderkey AS VARCHAR) AS contig_id, o_orderkey * 37 % 5000 + 1 AS length FROM orders) c WHERE length < 1000
 ), step(species_id, taken, high, low, room, chunk_id) AS (
-  SELECT species_id, CAST(1 AS BIGINT), CAST(2 AS BIGINT), n, 1000 - length, CAST(0 AS BIGINT) FROM piece WHERE at = 1
+  SELECT species_id, CAST(1 AS BIGINT), CAST(2 AS BIGINT), n, 1000 - length, CAST(0 AS BIGINT) FROM piece WHERE pos = 1
   UNION ALL
   SELECT s.species_id, CASE WHEN l.length <= room THEN low ELSE high END, CASE WHEN l.length <= room THEN high ELSE high + 1 END, CASE WHEN l.length <= room THEN low - 1 ELSE low END,
          CASE WHEN l.length <= room THEN room - l.length ELSE 1000 - h.length END, CASE WHEN l.length <= room THEN chunk_id ELSE chunk_id + 1 END
-  FROM step s JOIN piece l ON l.species_id = s.species_id AND l.at = s.low JOIN piece h ON h.species_id = s.species_id AND h.at = s.high WHERE s.high <= s.low
+  FROM step s JOIN piece l ON l.species_id = s.species_id AND l.pos = s.low JOIN piece h ON h.species_id = s.species_id AND h.pos = s.high WHERE s.high <= s.low
 )
-SELECT p.species_id, p.contig_id, p.length, s.chunk_id FROM piece p JOIN step s ON s.species_id = p.species_id AND s.taken = p.at"""
+SELECT p.species_id, p.contig_id, p.length, s.chunk_id FROM piece p JOIN step s ON s.species_id = p.species_id AND s.taken = p.pos"""
 
 
 @query(PACKED)

@@ -67,7 +67,7 @@ SNP_SUMMARY = SNP_SITES + f""",
 summary AS (SELECT *, covered_bases / genome_length AS fraction_covered, total_depth / covered_bases AS mean_depth FROM
   (SELECT sample_name, species_id, count(*) AS covered_bases, CAST(sum(depth) AS BIGINT) AS total_depth FROM pile GROUP BY 1, 2) c
   JOIN (SELECT sample_name, species_id, count(*) AS aligned_reads, count(*) FILTER (keep) AS mapped_reads FROM kept GROUP BY 1, 2) r USING (sample_name, species_id)
-  CROSS JOIN (SELECT {CONTIG_LENGTH * CONTIGS // 2} AS genome_length) g)"""
+  CROSS JOIN (SELECT CAST({CONTIG_LENGTH * CONTIGS // 2} AS BIGINT) AS genome_length) g)"""
 
 
 @query(SNP_SITES + calls("pile", SITE_KEYS, "count_", "depth", 0.1) + f""",
