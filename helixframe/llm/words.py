@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text hashed together; one longer text is taken alone.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
