@@ -50,8 +50,11 @@ def walk(read: str, overlap: Column, forward: bool) -> Column:
     ref = lambda p: F.upper(F.substring(c("reference_sequence"), p["rpos"] - c("reference_start") + 1, F.lit(1)))
     base = lambda p: F.upper(F.substring(c("query_sequence"), p["qpos"] + 1, F.lit(1)))
     same = lambda p: F.coalesce((ref(p) == base(p)) & ref(p).isin("A", "C", "G", "T"), F.lit(False))
-    n = lambda keep: F.size(F.filter(c("aligned_pairs"), keep))
-    return F.struct(n(lambda p: inside(p) & ~same(p)).alias("inside"), n(lambda p: ~inside(p) & ~same(p)).alias("outside"), n(lambda p: inside(p) & p["rpos"].isNull()).alias("gaps"))
+    # One pass over the pairs: 1 differs inside, 2 outside, 3 inside where the reference has a gap.
+    mark = lambda p: F.when(same(p), 0).when(~inside(p), 2).when(p["rpos"].isNull(), 3).otherwise(1)
+    n = lambda marks, *kinds: F.size(F.filter(marks, lambda m: m.isin(*kinds)))
+    counted = F.transform(F.array(F.transform(c("aligned_pairs"), mark)), lambda marks: F.struct(n(marks, 1, 3).alias("inside"), n(marks, 2).alias("outside"), n(marks, 3).alias("gaps")))
+    return F.get(counted, F.lit(0))
 
 
 def arbitrated(fwd: Column, rev: Column) -> Column:
