@@ -68,6 +68,9 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_written: list[str] = []
+
+
 def stored(df: DataFrame, *, small: bool = False) -> DataFrame:
     """df, written once as Parquet to the shared folder and read from there: a step that survives lost executors.
 
@@ -78,6 +81,7 @@ def stored(df: DataFrame, *, small: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     found = spark.read.schema(df.schema).parquet(path)
     del df
     if not small:
@@ -107,3 +111,11 @@ def with_counts(rows: DataFrame, groups: DataFrame, key: list[str], n: str, tota
     marked = rows.join(hot, key, "left").withColumn("deal", F.when(F.col(f"hot_{n}").isNull(), F.lit(0).cast("long")).otherwise(spread.bitwiseOR(F.lit(1).cast("long"))))
     joined = marked.join(cold, [*key, "deal"], "left")
     return joined.select(*rows.columns, *[F.coalesce(c, f"hot_{c}").alias(c) for c in rest])
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Deletes what stored() wrote in this process. Write the results that read it first."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
