@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequences import contig_name
-from . import cnv, intervals, pangenome, pileup, readqc, selectors, snv, species
+from . import chunks, cnv, intervals, pangenome, pileup, readqc, selectors, snv, species
 
 Tables = dict[str, DataFrame]
 
@@ -124,6 +124,24 @@ def merge_genes(genes: DataFrame, summaries: DataFrame, mapping: DataFrame, *, g
     return cnv.presence(cnv.cluster_sums(cnv.remap(genes, mapping), samples), min_copy=min_copy)
 
 
+def compute_chunks(contigs: DataFrame, kind: str, *, chunk_size: int) -> DataFrame:
+    """The plan of chunks of contigs (species_id, contig_id, length) that each have their own windows: contig_id, start, end, pooled.
+
+    For run_snps, tails and short contigs are pooled (pack them with chunks.pack_contigs); for merge_snps, a tail goes to the window before it.
+    """
+    if kind == "run_snps":
+        return chunks.run_chunks(contigs, chunk_size=chunk_size).select("contig_id", "start", "end", "pooled")
+    if kind == "merge_snps":
+        return chunks.merge_chunks(contigs, chunk_size=chunk_size).withColumn("pooled", F.lit(False))
+    raise ValueError(f"no plan of kind {kind}")
+
+
+def recluster_centroids(members: DataFrame, centroids: DataFrame, coarser: dict[str, DataFrame], lengths: DataFrame, gene_map: DataFrame) -> DataFrame:
+    """Gene info after a second clustering of the centroids: genes (gene_id, centroid_id) under the new centroids of theirs, with the coarser levels, length and marker."""
+    first = pangenome.composed(members, centroids).withColumnRenamed("centroid_id", "centroid_99")
+    return pangenome.gene_info(pangenome.xref_clusters(first, coarser), lengths, gene_map)
+
+
 def import_genome(contigs: DataFrame, *, length: int = 1000) -> DataFrame:
     """Contigs (genome, contig_no, sequence) that are long enough, with the ids they get, numbered in order."""
     kept = selectors.numbered(pangenome.clean_contigs(contigs, length=length), ["genome"], ["contig_no"])

@@ -48,6 +48,15 @@ def read_tsv(spark, sf_dir):
     return readers.tsv(spark, path, schemas.GENE_FEATURES, columns=["end", "gene_id", "contig_id"]).select("gene_id", "contig_id", F.col("end").cast("int").alias("end"))
 
 
+@query("SELECT p_partkey AS id, p_brand AS brand, p_retailprice AS price, CASE WHEN p_size % 5 > 0 THEN p_size END AS size FROM part WHERE p_size % 2 = 0")
+def read_inferred(spark, sf_dir):
+    """Types inferred from the text; an empty cell is null."""
+    path = scratch(spark)
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("price"), F.when(F.col("p_size") % 5 > 0, F.col("p_size")).alias("size"), F.col("p_size").alias("all"))
+    rows.write.options(sep="\t", header=True).csv(path)
+    return readers.tsv(spark, path, None).filter(F.col("all") % 2 == 0).select(F.col("id").cast("long").alias("id"), "brand", "price", "size")
+
+
 @query("SELECT p_partkey AS id, printf('%.3f', p_retailprice / 7) AS price, printf('%.3f', -p_retailprice) AS negative, CASE WHEN p_partkey % 3 = 0 THEN 'None' ELSE printf('%.3f', p_size / 8) END AS size FROM part")
 def write_decimals(spark, sf_dir):
     """Fixed decimals and None as the writer puts them, read as text."""

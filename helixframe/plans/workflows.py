@@ -10,7 +10,8 @@ from ..operators import workflows
 from . import bindings
 from .alignments import BOTH, LIMITS, PAIR_LIMITS, SINGLE, piled
 from .bindings import CONTIG_LENGTH, CONTIGS, bind, reads, with_views
-from .catalog import AMBI, HITS, PAN, PREV, SAMPLES, VOTE, calls, cutoffs, genes, hit_genes, markers, picked, pivot_sql, positions
+from .catalog import AMBI, PAN, PREV, PROFILES, VOTE, calls, contigs, cutoffs, genes, hit_genes, picked, profiles
+from .catalog import CONTIGS as CONTIG_SQL
 from .curation import toc
 from .registry import query, rounded
 
@@ -236,3 +237,36 @@ def import_genome(spark, sf_dir):
 
     rows = seqs(spark, sf_dir).select(F.concat(F.lit("GC_"), F.col("doc_id") % 7).alias("genome"), F.col("doc_id").alias("contig_no"), "sequence")
     return workflows.import_genome(rows)
+
+
+@query(PROFILES + """, grid AS (SELECT sp.species_id, s.sample_name, coalesce(p.median_marker_coverage, 0) AS c
+  FROM (SELECT DISTINCT species_id FROM profiles) sp CROSS JOIN (SELECT DISTINCT sample_name FROM profiles) s LEFT JOIN profiles p USING (species_id, sample_name))
+SELECT species_id, count(*) FILTER (c >= 1) AS sample_counts FROM grid GROUP BY 1 HAVING count(*) FILTER (c >= 1) > 6""")
+def species_to_build(spark, sf_dir):
+    """Species that more than six samples have: the choice for an index."""
+    merged = workflows.merge_species(profiles(spark, sf_dir))
+    return workflows.species_to_build(merged, select_threshold=(6,)).select("species_id", "sample_counts")
+
+
+@query(CONTIG_SQL + """ SELECT 'run_snps' AS kind, contig_id, k * 1000 AS start, least(k * 1000 + 1000, length) AS "end", k * 1000 + 1000 > length AS pooled FROM c, range(0, 6) r(k) WHERE k * 1000 < length
+UNION ALL SELECT 'merge_snps', contig_id, k * 1000, CASE WHEN k = greatest(length // 1000, 1) - 1 THEN length ELSE k * 1000 + 1000 END, false FROM c, range(0, 6) r(k) WHERE k < greatest(length // 1000, 1)""")
+def compute_chunks(spark, sf_dir):
+    plan = lambda kind: workflows.compute_chunks(contigs(spark, sf_dir), kind, chunk_size=1000).select(F.lit(kind).alias("kind"), "contig_id", "start", "end", "pooled")
+    return plan("run_snps").union(plan("merge_snps"))
+
+
+@query(PAN + """, m AS (SELECT gene_id, max(marker_id) AS marker_id FROM g WHERE marker_id IS NOT NULL GROUP BY 1)
+SELECT a.gene_id, b.centroid_95 AS centroid_99, c.centroid_75, a.gene_length, coalesce(m.marker_id, '') AS marker_id FROM g a JOIN g b ON b.gene_id = a.centroid_99 JOIN g c ON c.gene_id = b.centroid_95 LEFT JOIN m ON m.gene_id = a.gene_id""")
+def recluster_centroids(spark, sf_dir):
+    """Centroids of the finest level clustered again: the next level takes its place."""
+    g = genes(spark, sf_dir)
+    members, again = g.select("gene_id", F.col("centroid_99").alias("centroid_id")), g.select("gene_id", F.col("centroid_95").alias("centroid_id"))
+    return workflows.recluster_centroids(members, again, {"centroid_75": g.select("gene_id", F.col("centroid_75").alias("centroid_id"))}, g.select("gene_id", "gene_length"), g.filter("marker_id IS NOT NULL").select("gene_id", "marker_id"))
+
+
+@query("WITH s AS (SELECT concat('g_', doc_id) AS gene_id, regexp_replace(upper(text), '[^ACGTN]', '', 'g') AS sequence FROM documents), h AS (SELECT concat('B', l_partkey % 40) AS marker_id, l_orderkey % 100 AS doc, l_discount / 10000 AS evalue, (l_orderkey * 10 + l_linenumber) * 100000 + l_partkey AS row_no FROM lineitem), best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY marker_id ORDER BY evalue, row_no) AS k FROM h WHERE evalue <= 1e-5) x WHERE k = 1) SELECT s.gene_id, b.marker_id, CAST(length(s.sequence) AS INT) AS gene_length, s.sequence AS marker_gene FROM best b JOIN s ON s.gene_id = concat('g_', b.doc)")
+def infer_markers(spark, sf_dir):
+    from .catalog import seqs
+
+    hits = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("concat('B', l_partkey % 40) AS marker_id", "concat('g_', l_orderkey % 100) AS gene_id", "l_discount / 10000 AS evalue", "1.0 AS qcov", "1.0 AS tcov", "(l_orderkey * 10 + l_linenumber) * 100000 + l_partkey AS row_no")
+    return workflows.infer_markers(hits, seqs(spark, sf_dir))

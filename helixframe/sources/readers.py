@@ -14,10 +14,14 @@ from . import schemas
 Paths = str | Sequence[str]
 
 
-def tsv(spark: SparkSession, path: Paths, schema: str, *, header: bool = True, columns: Sequence[str] | None = None, comment: str | None = None) -> DataFrame:
-    """A tab-separated table of a declared schema; a header that differs, or a value of another type, is an error."""
+def tsv(spark: SparkSession, path: Paths, schema: str | None, *, header: bool = True, columns: Sequence[str] | None = None, comment: str | None = None) -> DataFrame:
+    """A tab-separated table of a declared schema; a header that differs, or a value of another type, is an error.
+
+    Without a schema, types are inferred, which reads the files once more.
+    """
     options = {"sep": "\t", "header": header, "mode": "FAILFAST", "enforceSchema": not header, "nullValue": "", "emptyValue": ""}
-    reader = spark.read.schema(schema).options(**options)
+    reader = spark.read.options(**options)
+    reader = reader.schema(schema) if schema else reader.options(inferSchema=True, enforceSchema=True)
     if comment:
         reader = reader.option("comment", comment)
     df = reader.csv(path if isinstance(path, str) else list(path))
