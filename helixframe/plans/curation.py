@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import alleles, sequences
-from ..operators import chunks, pangenome, species
+from ..operators import chunks, intervals, pangenome, snv, species
 from .bindings import bind
 from .catalog import MATRIX, PAN, PILE, PLACED, SEQS, filled, genes, positions, seqs, sites
 from .registry import query
@@ -210,7 +210,5 @@ def species_slices(spark, sf_dir):
 
 @query(PLACED + " SELECT contig_id, ref_pos, coalesce(gene_type, 'IGR') AS locus_type FROM placed WHERE coalesce(gene_type, 'IGR') IN ('IGR', 'tRNA')")
 def locus_filter(spark, sf_dir):
-    from ..operators import intervals, snv
-
     placed = intervals.sites_in_genes(positions(spark, sf_dir), bind(spark, sf_dir, "v_feat"))
     return snv.of_locus(placed.withColumn("locus_type", F.coalesce("gene_type", F.lit("IGR"))), locus_types=("IGR", "tRNA")).select("contig_id", "ref_pos", "locus_type")

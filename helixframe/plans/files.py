@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators import selectors
+from ..operators import pangenome, selectors
 from ..sources import readers, schemas, writers
 from ..sources.scratch import scratch
 from .bindings import bind, with_views
@@ -133,9 +133,7 @@ def read_genomes(spark, sf_dir):
     path = scratch(spark)
     writers.write_tsv(rows, path)
     toc = readers.genomes(spark, path)
-    from ..operators.pangenome import representatives
-
-    return toc.select("genome", "species").join(representatives(toc).select("species", "representative"), "species")
+    return toc.select("genome", "species").join(pangenome.representatives(toc).select("species", "representative"), "species")
 
 
 # ---------------------------------------------------------------- sequences
@@ -229,9 +227,7 @@ def read_uclust(spark, sf_dir):
     centre = "concat('G', c95 % 9, '_', c95)"
     line = f"concat_ws('\t', CASE WHEN gene_id = {centre} THEN 'S' ELSE 'H' END, c95, gene_length, '99.1', '+', '0', '0', '*', gene_id, CASE WHEN gene_id = {centre} THEN '*' ELSE {centre} END)"
     total = f"concat_ws('\t', 'C', c95, '3', '*', '*', '*', '*', '*', {centre}, '*')"
-    from ..operators.pangenome import uclust_members
-
-    return uclust_members(readers.uclust(spark, text(bind(spark, sf_dir, "v_genes"), line, total)))
+    return pangenome.uclust_members(readers.uclust(spark, text(bind(spark, sf_dir, "v_genes"), line, total)))
 
 
 @query(GENES + ", m AS (SELECT c75, gene_id, gene_length, row_number() OVER (PARTITION BY c75 ORDER BY gene_id) - 1 AS n FROM v_genes) SELECT CAST(c75 AS INT) AS cluster, CAST(n AS INT) AS member_no, CAST(gene_length AS INT) AS length, gene_id, n = 0 AS is_representative FROM m".replace("SELECT 1) , m", "SELECT 1), m"))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sequences import codon_table
+from ..functions.sequences import codon_table, subsequence
 from ..operators import workflows
 from . import bindings
 from .alignments import BOTH, LIMITS, PAIR_LIMITS, SINGLE, piled
 from .bindings import CONTIG_LENGTH, CONTIGS, bind, reads, with_views
-from .catalog import AMBI, PAN, PREV, PROFILES, VOTE, calls, contigs, cutoffs, genes, hit_genes, picked, profiles
+from .catalog import AMBI, PAN, PREV, PROFILES, VOTE, calls, contigs, cutoffs, genes, hit_genes, picked, profiles, seqs
 from .catalog import CONTIGS as CONTIG_SQL
-from .curation import toc
+from .curation import orthologs, toc
 from .registry import query, rounded
 
 # ---------------------------------------------------------------- species
@@ -51,7 +51,7 @@ def run_species_markers(spark, sf_dir):
 
 # ---------------------------------------------------------------- variants
 
-SNPS = {**{k: v for k, v in LIMITS.items()}, "aln_baseq": 20}
+SNPS = {**LIMITS, "aln_baseq": 20}
 SITE_KEYS = "sample_name, species_id, ref_id, ref_pos, ref_allele"
 
 
@@ -99,8 +99,6 @@ def gene_table(spark) -> DataFrame:
 
 def gene_sequences(spark) -> DataFrame:
     """Bases of each gene from its start to its stop."""
-    from ..functions.sequences import subsequence
-
     on = gene_table(spark).join(bindings.genome(spark).withColumnRenamed("ref_id", "contig_id"), "contig_id")
     return on.select("gene_id", subsequence(F.col("sequence"), F.col("start_pos").cast("int"), F.col("end_pos").cast("int"), F.col("strand")).alias("sequence"))
 
@@ -223,8 +221,6 @@ ratio AS (SELECT centroid_95, avg(is_phage) AS phage_ratio, avg(is_plasmid) AS p
 SELECT g.centroid_95, p.genome_counts, c.gene_counts, c.cluster_length, v.marker_density, v.marker_id, r.phage_ratio, r.plasmid_ratio, r.amr_ratio, r.me_ratio, CASE WHEN g.gene_length % 3 <> 0 THEN concat('C', g.gene_length % 7) END AS "COG_category"
 FROM g JOIN {PREV} p USING (centroid_95) JOIN (SELECT centroid_95, count(*) AS gene_counts, max(gene_length) AS cluster_length FROM g GROUP BY 1) c USING (centroid_95) JOIN vote v USING (centroid_95) JOIN ratio r USING (centroid_95) WHERE g.gene_id = g.centroid_95""")
 def enhance_pangenome(spark, sf_dir):
-    from .curation import orthologs
-
     hits = hit_genes(spark, sf_dir)
     annotated = {"genomad_virus": hits["phage"], "genomad_plasmid": hits["plasmid"], "mefinder": hits["amr"], "resfinder": hits["me"]}
     wide = workflows.enhance_pangenome(genes(spark, sf_dir), "centroid_95", annotated, orthologs(spark, sf_dir))
@@ -233,8 +229,6 @@ def enhance_pangenome(spark, sf_dir):
 
 @query("WITH s AS (SELECT doc_id, regexp_replace(upper(text), '[^ACGTN]', '', 'g') AS sequence FROM documents), k AS (SELECT *, concat('GC_', doc_id % 7) AS genome FROM s WHERE length(sequence) >= 1000) SELECT genome, concat(genome, '_C', row_number() OVER (PARTITION BY genome ORDER BY doc_id), '_L', printf('%.1f', length(sequence) / 1000), 'k_H', right(md5(sequence), 6)) AS contig_id, sequence FROM k")
 def import_genome(spark, sf_dir):
-    from .catalog import seqs
-
     rows = seqs(spark, sf_dir).select(F.concat(F.lit("GC_"), F.col("doc_id") % 7).alias("genome"), F.col("doc_id").alias("contig_no"), "sequence")
     return workflows.import_genome(rows)
 
@@ -266,7 +260,5 @@ def recluster_centroids(spark, sf_dir):
 
 @query("WITH s AS (SELECT concat('g_', doc_id) AS gene_id, regexp_replace(upper(text), '[^ACGTN]', '', 'g') AS sequence FROM documents), h AS (SELECT concat('B', l_partkey % 40) AS marker_id, l_orderkey % 100 AS doc, l_discount / 10000 AS evalue, (l_orderkey * 10 + l_linenumber) * 100000 + l_partkey AS row_no FROM lineitem), best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY marker_id ORDER BY evalue, row_no) AS k FROM h WHERE evalue <= 1e-5) x WHERE k = 1) SELECT s.gene_id, b.marker_id, CAST(length(s.sequence) AS INT) AS gene_length, s.sequence AS marker_gene FROM best b JOIN s ON s.gene_id = concat('g_', b.doc)")
 def infer_markers(spark, sf_dir):
-    from .catalog import seqs
-
     hits = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("concat('B', l_partkey % 40) AS marker_id", "concat('g_', l_orderkey % 100) AS gene_id", "l_discount / 10000 AS evalue", "1.0 AS qcov", "1.0 AS tcov", "(l_orderkey * 10 + l_linenumber) * 100000 + l_partkey AS row_no")
     return workflows.infer_markers(hits, seqs(spark, sf_dir))
