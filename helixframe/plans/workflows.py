@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sequences import codon_table, subsequence
 from ..operators import workflows
+from ..sources.scratch import scratch
 from . import bindings
 from .alignments import BOTH, LIMITS, PAIR_LIMITS, SINGLE, piled
 from .bindings import CONTIG_LENGTH, CONTIGS, bind, reads, with_views
@@ -128,8 +129,12 @@ MERGE = {"sample_counts": 2, "genome_depth": 1.0, "genome_coverage": 0.1, "site_
 
 
 def merged_snps(spark, sf_dir) -> workflows.Tables:
-    found = snps(spark, sf_dir)
-    return workflows.merge_snps(long_pos(found["pileup"]), found["summary"], gene_table(spark), gene_sequences(spark), **MERGE)
+    """The tables of all samples are written once, as they would be, and read by the merge."""
+    path = scratch(spark)
+    for name, rows in snps(spark, sf_dir).items():
+        rows.write.parquet(f"{path}/{name}")
+    sites, summaries = (spark.read.parquet(f"{path}/{name}") for name in ("pileup", "summary"))
+    return workflows.merge_snps(long_pos(sites), summaries, gene_table(spark), gene_sequences(spark), **MERGE)
 
 
 @query(CALLED + " SELECT h.* EXCLUDE (strand, wg, start_pos, end_pos), ann.site_type, ann.amino_acids FROM held h LEFT JOIN ann USING (species_id, ref_id, ref_pos) WHERE locus_type IN ('CDS', 'IGR')")
