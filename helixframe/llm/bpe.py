@@ -27,6 +27,8 @@ from .words import word_blocks
 
 #: Text pieces a worker remembers, with their ids, before only those in use are carried over.
 REMEMBERED = 400_000
+#: Bytes of text encoded together: more would only cost memory.
+BLOCK = 1 << 19
 #: Stands for the end-of-word suffix while words are cut; a private-use character.
 END = ""
 NEVER = np.int64(1) << 40
@@ -105,8 +107,8 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class Memory:
     """Pieces of text with their ids: the bytes of all one after the other, the ids likewise, found by hash and compared in full."""
 
-    def __init__(self, pieces: int = 0):
-        self.number = Lookup(np.zeros(0, np.int64), np.zeros(0, np.int64), -1, room=max(REMEMBERED, pieces))
+    def __init__(self, pieces: int):
+        self.number = Lookup(np.zeros(0, np.int64), np.zeros(0, np.int64), -1, room=pieces // 2)
         self.text, self.ids = Grown(np.uint8), Grown(np.uint32)
         self.columns = [Grown(np.int64) for _ in range(4)]  # of each piece start and size of its text, then of its ids
 
@@ -171,7 +173,7 @@ class WordBPE:
         self.reachable = np.ones(size, bool)
         for r, z in enumerate(made):
             self.reachable[z] = whole[r] and self.reachable[self.left[z]] and self.reachable[self.right[z]]
-        self.memory, self.older = Memory(), Memory()
+        self.memory, self.older = Memory(REMEMBERED), Memory(0)
 
     def rank_of(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return self.pair_ranks[x * self.size + y]
@@ -383,7 +385,7 @@ class WordBPE:
         if not len(new):
             return found
         if self.memory.columns[0].size + len(new) > REMEMBERED:
-            self.older, self.memory = self.memory, Memory(len(keys))
+            self.older, self.memory = self.memory, Memory(max(REMEMBERED, len(keys)))
             new = np.arange(len(keys))
         old = self.older.find(keys[new], text, starts[new], sizes[new])
         again, fresh = new[old >= 0], new[old < 0]
@@ -400,7 +402,7 @@ class WordBPE:
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text, little-endian unsigned 32-bit."""
         encoded: list[bytes] = []
-        for w in word_blocks(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), blank=blank_bytes):
+        for w in word_blocks(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), blank=blank_bytes, block=BLOCK):
             keys, at, of = np.unique((w.hashes >> np.uint64(1)).view(np.int64), return_index=True, return_inverse=True)
             numbers = self.numbers(keys, w.data, w.starts[at], (w.ends - w.starts)[at])
             _, _, starts, sizes = (c.room for c in self.memory.columns)

@@ -74,14 +74,14 @@ class Words:
     first: np.ndarray  # of each row, its first word; one more at the end
 
 
-def word_blocks(texts: pa.Array, lower: bool = False, blank: Callable[[np.ndarray], np.ndarray] = _SPACE.__getitem__) -> Iterator[Words]:
-    """Words of a string column, some rows at a time; blank marks the bytes that are white space."""
+def word_blocks(texts: pa.Array, lower: bool = False, blank: Callable[[np.ndarray], np.ndarray] = _SPACE.__getitem__, block: int = BLOCK) -> Iterator[Words]:
+    """Words of a string column, some rows (a block of bytes, or one longer text) at a time; blank marks the bytes that are white space."""
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8) if len(texts) else np.zeros(1, np.int64)
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8) if len(texts) else np.zeros(0, np.uint8)
     i = 0
     while i < len(texts):
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + BLOCK, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + block, "right")) - 1)
         part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         if lower:
             part = _LOWER[part]
