@@ -40,8 +40,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (white space aside) the longest stays, then the smallest doc_id; of rows alike in doc_id and text, one."""
     keyed = row_keys(bundled(docs))
-    kept = exact_dedup(keyed, carry=["k1", "k2"]).filter("kept").select("k1", "k2")
-    return unbundled(keyed.dropDuplicates(["k1", "k2"]).join(kept, ["k1", "k2"], "left_semi"), docs.columns)
+    rows = exact_dedup(keyed, carry=["k1", "k2"]).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("stays")).filter("stays")
+    alone, alike = (keyed.join(rows.filter(which).select("k1", "k2"), ["k1", "k2"], "left_semi") for which in ("n = 1", "n > 1"))
+    return unbundled(alone.unionByName(alike.dropDuplicates(["k1", "k2"])), docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
