@@ -41,7 +41,7 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
+def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 5) -> np.ndarray:
     centres = x[rng.permutation(len(x))[:k]].copy()
     for _ in range(rounds):
         of = (x @ centres.T - 0.5 * (centres * centres).sum(1)).argmax(1)
