@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import additive_quantisation, bpe, chat, exact_dedup, ngram_join, packing, pseudonyms, quality, substring_dedup, toxicity
+from . import additive_quantisation, bpe, chat, exact_dedup, filter_audit, merkle, ngram_join, packing, pseudonyms, quality, substring_dedup, toxicity
 
 QUERIES = {
     "op10_quality": quality.op10_quality,
@@ -15,6 +15,8 @@ QUERIES = {
     "op5_bpe": bpe.op5_bpe,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
-ORACLES = {**chat.SQL, **exact_dedup.SQL, **ngram_join.SQL, **substring_dedup.SQL}
+ORACLES = {**chat.SQL, **exact_dedup.SQL, **filter_audit.SQL, **merkle.SQL, **ngram_join.SQL, **substring_dedup.SQL}
