@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import additive_quantisation, bpe, chat, exact_dedup, filter_audit, merkle, ngram_join, packing, pseudonyms, quality, substring_dedup, toxicity
+from . import additive_quantisation, bpe, chat, exact_dedup, filter_audit, merkle, ngram_join, packing, pseudonyms, quality, quality_rules, substring_dedup, toxicity
 
 QUERIES = {
     "op10_quality": quality.op10_quality,
@@ -16,6 +16,7 @@ QUERIES = {
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_quality_rules": quality_rules.op12_quality_rules,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 

@@ -96,6 +96,18 @@ def row_keys(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"k1": F.xxhash64(*parts), "k2": F.xxhash64(*parts, F.lit("again"))})
 
 
+def one_row_each(docs: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
+    """docs with one row for each key, and copies: how many rows have it. rows are the keys of all rows, without texts.
+
+    Only rows whose key repeats are shuffled for it, of which each task first keeps one a key.
+    """
+    repeated = stored(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"), small=True)
+    if repeated.isEmpty():
+        return docs.withColumn("copies", F.lit(1).cast("long"))
+    alike = stored(docs.join(repeated.select(*key), key, "left_semi").dropDuplicates(key).join(repeated, key))
+    return docs.join(repeated.select(*key), key, "left_anti").withColumn("copies", F.lit(1).cast("long")).unionByName(alike)
+
+
 def with_counts(rows: DataFrame, groups: DataFrame, key: list[str], n: str, total: int, spread: Column) -> DataFrame:
     """rows left-joined with groups (one row a key, n: how many of the rows have it), also where one key has very many rows.
 

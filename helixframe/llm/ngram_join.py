@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import documents_of, partitions, small_batches, stored, table
+from .common import documents_of, one_row_each, partitions, small_batches, stored, table
 from .graph import components
 from .words import gram_hashes, mixed, range_hashes, word_blocks
 
@@ -282,7 +282,9 @@ def ngram_jaccard_join(docs: DataFrame, *, words: int = WORDS, percent: int = PE
 
     # Large sets, and the small ones that such a set may link with.
     large = classes.filter(F.col("n") >= own_overlap(boundary + 1, percent)).select(F.col("class_id").alias("doc_id"), "th", "n")
-    shared = stored(shared_only(postings(docs.join(large.drop("n"), ["doc_id", "th"]), words, percent)))
+    # Rows that repeat an id and text are one member of a list, and one set.
+    one = one_row_each(docs, real.select("doc_id", "th"), ["doc_id", "th"])
+    shared = stored(shared_only(postings(one.join(large.drop("n"), ["doc_id", "th"]), words, percent)))
     smallest = F.ceil(percent * F.col("n") / 100)  # partner
     enough = F.greatest(1 + F.floor(smallest / 8), F.ceil(percent * (F.col("n") + smallest) / (100 + percent)) - (F.ceil(percent * F.col("n") / 100) - 1 - F.floor(F.col("n") / 8)) - 1)
     sketches = stored(shared.groupBy("doc_id").agg(F.collect_list("token").alias("posted")).join(large.select("doc_id", "n"), "doc_id").filter(F.size("posted") >= enough))
@@ -290,7 +292,7 @@ def ngram_jaccard_join(docs: DataFrame, *, words: int = WORDS, percent: int = PE
     counts = alive.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     lists = stored(alive.join(counts, "token"))
     small_batches(spark)
-    sets = stored(set_table(docs.join(large.join(sketches, "doc_id", "left_semi").select("doc_id", "th"), ["doc_id", "th"]), words))
+    sets = stored(set_table(one.join(large.join(sketches, "doc_id", "left_semi").select("doc_id", "th"), ["doc_id", "th"]), words))
     check = lambda pairs: verified(pairs, sketches, sets, percent)
     cold = stored(check(pairs_within(lists.filter(F.col("k") <= SHORT).select("token", "doc_id", "n"), percent)))
     hot = lists.filter(F.col("k") > SHORT).groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= enough).select("doc_id")

@@ -88,9 +88,14 @@ def refill(pattern: str, characters: str, of: str) -> str:
     return "".join(next(fresh) if c in of else c for c in pattern)
 
 
+def is_hex(text: str) -> bool:
+    """Hex digits alone, letters among them: digits alone are a number."""
+    return all(c in HEX for c in text) and not text.isdigit()
+
+
 def letters(f: Feistel, label: str, text: str, back: bool) -> str:
-    """Each digit, small and capital letter becomes one of its kind (hex digits, if all are); the rest stays."""
-    as_hex = all(c in HEX for c in text)
+    """Each digit, small and capital letter becomes one of its kind (hex digits, if the text is hex); the rest stays."""
+    as_hex = is_hex(text)
     kinds = [HEX] * len(text) if as_hex else [next((k for k in (DIGITS, LOWER, UPPER) if c in k), c) for c in text]
     n, x = math.prod(map(len, kinds)), 0
     for c, k in zip(text, kinds, strict=True):
@@ -104,7 +109,7 @@ def letters(f: Feistel, label: str, text: str, back: bool) -> str:
         return "".join(reversed(out))
 
     label += "/" + ",".join(k[0] + str(len(k)) for k in kinds)
-    return written(f.permuted(label, x, n, lambda y: as_hex or any(c not in HEX for c in written(y)), back))
+    return written(f.permuted(label, x, n, lambda y: is_hex(written(y)) == as_hex, back))
 
 
 #: Digits of the groups in which card numbers are written, within a longer run of numbers.
@@ -269,21 +274,32 @@ def email(f: Feistel, m: re.Match, back: bool) -> str | None:
 SECRET_CHARS = 64
 
 
+def like_a_token(value: str) -> bool:
+    """Long, or with digits, or hex: not a word of prose. Its pseudonym is like a token too."""
+    return len(value) >= 16 or any(c in DIGITS for c in value) or is_hex(value)
+
+
 def secret(f: Feistel, m: re.Match, back: bool) -> str | None:
+    """The value after a name; behind a colon or a scheme, where prose may follow, only what is quoted or like a token."""
     at = m.start("secret") - m.start()
     value = m["secret"]
-    if len(value) < 8:
+    if len(value) < 8 or not (m["sure"] or like_a_token(value)):
         return None
     new = "".join(letters(f, "secret", value[i : i + SECRET_CHARS], back) for i in range(0, len(value), SECRET_CHARS))
     return m[0][:at] + new + m[0][at + len(value) :]
 
 
-#: A secret is the whole run of the characters that tokens have, up to a full stop that ends it.
+#: Names that stand before a secret, and the secret: the whole run of the characters that tokens have, up to a full stop that ends it.
+_NAME = r"(?i:password|passwd|pwd|token|secret|api[_-]?key|(?:secret|access|private)[_-]?key)[\"']?"
+_TOKEN = r"(?!=)[A-Za-z0-9_~+/=-]+(?:\.+[A-Za-z0-9_~+/=-]+)*"
 #: In this order; what one has taken is out of reach of the next. The character must occur in the text.
 KINDS: list[tuple[str, str, re.Pattern, Callable]] = [
     ("email", "@", re.compile(r"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9._%+-]{1,64})@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])"), email),
-    ("secret", "=", re.compile(r"(?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}=\s{0,3}[\"']?(?P<secret>(?!=)[A-Za-z0-9_~+/=-]+(?:\.+[A-Za-z0-9_~+/=-]+)*)"), secret),
-    ("secret", "AKIA", re.compile(r"(?<![A-Za-z0-9])AKIA(?P<secret>[0-9A-Z]{16})(?![A-Za-z0-9])"), secret),
+    ("secret", "=", re.compile(_NAME + r"\s{0,3}(?P<sure>=)\s{0,3}[\"']?(?P<secret>" + _TOKEN + ")"), secret),
+    ("secret", ":", re.compile(_NAME + r"\s{0,3}:\s{0,3}(?P<sure>[\"'])(?P<secret>[^\"'\s]+)[\"']"), secret),
+    ("secret", ":", re.compile(_NAME + r"\s{0,3}:(?P<sure>(?!))?\s{0,3}(?P<secret>" + _TOKEN + ")"), secret),
+    ("secret", "earer ", re.compile(r"(?<![A-Za-z0-9])[Bb]earer(?P<sure>(?!))? {1,3}(?P<secret>" + _TOKEN + ")"), secret),
+    ("secret", "AKIA", re.compile(r"(?<![A-Za-z0-9])(?P<sure>AKIA)(?P<secret>[0-9A-Z]{16})(?![A-Za-z0-9])"), secret),
     ("iban", "", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])"), iban),
     ("ip", ".", re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w-]|\.[0-9])"), ip),
     ("phone", "+", re.compile(r"(?<![\w+])(?P<country>\+1)[ .-]?(?P<number>\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4})(?![\w-])"), phone),
@@ -293,7 +309,7 @@ KINDS: list[tuple[str, str, re.Pattern, Callable]] = [
     ("ssn", "-", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"), ssn),
     ("date", "", re.compile(r"(?<![\w./-])(?P<a>[0-9]{4}|[0-9]{1,2})(?P<s>[-/.])(?P<b>[0-9]{1,2})(?P=s)(?P<c>[0-9]{4}|[0-9]{1,2})(?:(?=[Tt][0-9]{2}:?[0-9]{2})|(?![\w/-]|\.[0-9]))"), date),
 ]
-_ANY = re.compile(r"[0-9@=]|AKIA")
+_ANY = re.compile(r"[0-9@=:]|AKIA|earer ")
 
 
 def changes(change: Callable, m: re.Match, feistel: Feistel, back: bool) -> list[tuple[int, int, str]]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents_of, partitions, small_batches, stored, table
+from .common import documents_of, one_row_each, partitions, small_batches, stored, table
 from .words import gram_hashes, range_hashes, sliding_min, word_blocks
 
 WINDOW = 50
@@ -151,13 +151,15 @@ def substring_dedup(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
 
     A word goes if a window covers it whose words also start in a document of a smaller doc_id;
     windows are those of the input. Texts shorter than a window keep all words, null and empty
-    texts have none. Rows that repeat a doc_id never remove each other's words. A null doc_id
-    counts as larger than any other. Other columns are ignored.
+    texts have none. Rows that repeat a doc_id never remove each other's words; rows alike in doc_id and text
+    are cut once and given out as often as they occur. A null doc_id counts as larger than any other. Other
+    columns are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
     last = F.lit(2**63 - 1)
     docs = documents_of(docs).select(F.coalesce("doc_id", last).alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    docs = one_row_each(docs, docs.select("doc_id", "th"), ["doc_id", "th"])
     runs = stored(super_kmers(docs, window, gram))
     pids = runs.groupBy("mini", "pid").agg(F.min(F.struct("doc_id", "th", "start", "n")).alias("first"), F.max("doc_id").alias("last"))
     minis = pids.groupBy("mini").agg(F.count(F.lit(1)).alias("strings"), F.min("first.doc_id").alias("least"), F.max("last").alias("most")).filter("least < most").select("mini", "strings")
@@ -193,13 +195,14 @@ def substring_dedup(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
                     gone[-1] = len(words) - int(stays.sum())
                     words = [words[k] for k in np.flatnonzero(stays)]
                 texts.append(b" ".join(words).decode())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(totals, pa.int64()), pa.array(gone, pa.int64())], ["doc_id", "text", "n_words", "n_removed"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(totals, pa.int64()), pa.array(gone, pa.int64()), batch.column(3)], ["doc_id", "text", "n_words", "n_removed", "copies"])
 
     return (
         by_row.join(lost, ["doc_id", "th"], "left")
-        .select("doc_id", "text", "runs")
-        .mapInArrow(cut, "doc_id long, text string, n_words long, n_removed long")
-        .withColumn("doc_id", F.nullif("doc_id", last))
+        .select("doc_id", "text", "runs", "copies")
+        .mapInArrow(cut, "doc_id long, text string, n_words long, n_removed long, copies long")
+        .withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        .select(F.nullif("doc_id", last).alias("doc_id"), "text", "n_words", "n_removed")
     )
 
 

@@ -72,6 +72,7 @@ class Words:
     ends: np.ndarray
     hashes: np.ndarray
     first: np.ndarray  # of each row, its first word; one more at the end
+    at: np.ndarray  # of each row, where its text begins in data; one more at the end
 
 
 def word_blocks(texts: pa.Array, lower: bool = False, blank: Callable[[np.ndarray], np.ndarray] = _SPACE.__getitem__, block: int = BLOCK) -> Iterator[Words]:
@@ -94,7 +95,7 @@ def word_blocks(texts: pa.Array, lower: bool = False, blank: Callable[[np.ndarra
         last = at[1:][at[:-1] < at[1:]] - 1
         finishes[last] = inside[last]
         starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
-        yield Words(np.arange(i, j), part.tobytes(), starts, ends, word_hashes(part, starts, ends), np.searchsorted(starts, at))
+        yield Words(np.arange(i, j), part.tobytes(), starts, ends, word_hashes(part, starts, ends), np.searchsorted(starts, at), at)
         i = j
 
 
