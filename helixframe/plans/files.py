@@ -113,7 +113,7 @@ def read_samples(spark, sf_dir):
     for k in range(4):
         writers.write_tsv(rows.filter(F.col("k") == k).select("site", "depth"), f"{base}/s{k}/summary")
     manifest = scratch(spark)
-    spark.createDataFrame([(f"s{k}", base) for k in range(4)], "sample_name string, midas_outdir string").write.options(sep="\t", header=True).csv(manifest)
+    spark.createDataFrame([(f"s{k}", base) for k in range(4)], "sample_name string, outdir string").write.options(sep="\t", header=True).csv(manifest)
     return readers.samples(spark, manifest, "summary", "site long, depth long").select("sample_name", "site", "depth")
 
 
