@@ -5,7 +5,9 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from ..sources.session import workers_import
+from .ranks import ranked
 
 
 def run_chunks(contigs: DataFrame, *, chunk_size: int) -> DataFrame:
@@ -27,28 +29,115 @@ def merge_chunks(contigs: DataFrame, *, chunk_size: int) -> DataFrame:
     return each.select("contig_id", (F.col("k") * chunk_size).alias("start"), F.when(F.col("k") == F.col("n") - 1, F.col("length")).otherwise((F.col("k") + 1) * chunk_size).alias("end"))
 
 
+def packed_runs(lengths: list[int], counts: list[int], chunk_size: int) -> list[tuple[int, int, int, int, int, bool]]:
+    """How chunks take pieces of which there are counts of each length (longest first).
+
+    Each chunk begins with the longest piece left and is filled up with the shortest. Chunks that
+    begin with one length and are filled up from another are alike but for the last ones, so they are
+    counted, not made: length, first and last (of the pieces of a length, from the front or, where the flag
+    says so, from the back, half open), the chunk that takes the first, and how many each chunk takes.
+    """
+    left, front, back = list(counts), [0] * len(counts), [0] * len(counts)
+    out, high, low, chunk = [], 0, len(counts) - 1, 0
+
+    def take(run: int, n: int, at: int, each: int, behind: bool) -> None:
+        place = back if behind else front
+        out.append((lengths[run], place[run], place[run] + n, at, each, behind))
+        place[run] += n
+        left[run] -= n
+
+    while True:
+        while high < len(left) and not left[high]:
+            high += 1
+        if high == len(left):
+            return out
+        room = chunk_size - lengths[high]
+        while low > high and not left[low]:
+            low -= 1
+        each = room // lengths[low] if room >= 0 else 0
+        if low == high:  # one length is left: the first of a chunk from the front, the others from the back
+            n = left[high]
+            chunks_ = -(-n // (each + 1))
+            take(high, chunks_, chunk, 1, False)
+            if n > chunks_:
+                take(high, n - chunks_, chunk, each, True)
+            return out
+        # Chunks that this length fills up alone; then one that needs the next length as well.
+        alike = left[high] if each == 0 else min(left[high], left[low] // each)
+        if alike:
+            take(high, alike, chunk, 1, False)
+            if each:
+                take(low, alike * each, chunk, each, True)
+            chunk += alike
+            continue
+        take(high, 1, chunk, 1, False)
+        k = low
+        while room > 0 and k >= high:
+            n = min(left[k], room // lengths[k])
+            if n:
+                take(k, n, chunk, n, True)
+                room -= n * lengths[k]
+            if left[k]:
+                break
+            k -= 1
+        chunk += 1
+
+
+#: Ranks that share a key when pieces meet the run they belong to.
+RANKS = 256
+
+
 def pack_contigs(pieces: DataFrame, *, chunk_size: int) -> DataFrame:
     """Short pieces (species_id, contig_id, length) in chunks of at most chunk_size: the longest left, filled up with the shortest.
 
-    Each choice depends on those before, so a species is one task's work; its pieces are short by construction.
+    Adds chunk_id, from 0 in each species. Pieces of one length go by contig_id, from the front where they begin a chunk and from the back
+    where they fill one up. What chunks take of each length follows from how many pieces have it: a species'
+    histogram, of chunk_size rows at most, is all that one task sees of it.
     """
+    pieces = pieces.select("species_id", "contig_id", F.col("length").cast("long").alias("length"))
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "contig_id"], ascending=[False, True]).reset_index(drop=True)
-        chunk, low, number = [0] * len(rows), len(rows) - 1, 0
-        high = 0
-        while high <= low:
-            room = chunk_size - rows["length"][high]
-            chunk[high] = number
-            high += 1
-            while low >= high and rows["length"][low] <= room:
-                room -= rows["length"][low]
-                chunk[low] = number
-                low -= 1
-            number += 1
-        return rows.assign(chunk_id=chunk)
+    workers_import(pieces.sparkSession)
 
-    return pieces.select("species_id", "contig_id", "length").groupBy("species_id").applyInPandas(pack, "species_id string, contig_id string, length long, chunk_id long")
+    def walk(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("length", ascending=False)
+        found = packed_runs(rows["length"].tolist(), rows["n"].tolist(), chunk_size)
+        return pd.DataFrame(found, columns=["length", "first", "last", "chunk", "each", "behind"]).assign(species_id=rows["species_id"].iloc[0])
+
+    histogram = pieces.groupBy("species_id", "length").agg(F.count(F.lit(1)).alias("n"))
+    runs = histogram.groupBy("species_id").applyInPandas(walk, "length long, first long, last long, chunk long, each long, behind boolean, species_id string")
+    # From the front and from the back, a piece has two ranks; runs cover each piece in one of them.
+    runs = runs.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("first") / RANKS), F.floor((F.col("last") - 1) / RANKS))))
+    places = ranked(pieces, ["species_id", "length"], ["contig_id"])
+    both = F.explode(F.array(F.struct(F.lit(False).alias("behind"), F.col("rank").alias("place")), F.struct(F.lit(True).alias("behind"), (F.col("rank_of") - 1 - F.col("rank")).alias("place"))))
+    each = places.select("species_id", "contig_id", "length", both.alias("side")).select("species_id", "contig_id", "length", "side.*", F.floor(F.col("side.place") / RANKS).alias("bucket"))
+    taken = each.join(runs, ["species_id", "length", "behind", "bucket"]).filter((F.col("place") >= F.col("first")) & (F.col("place") < F.col("last")))
+    return taken.select("species_id", "contig_id", "length", (F.col("chunk") + F.floor((F.col("place") - F.col("first")) / F.col("each"))).alias("chunk_id"))
+
+
+def whole_plan(contigs: DataFrame, kind: str, *, chunk_size: int, order: str = "contig_id") -> DataFrame:
+    """Every chunk of every species of contigs (species_id, contig_id, length, and the column of the order, if that is another): chunk_id, contig_id, start, end, counts_reads, pooled.
+
+    Full windows come first, numbered by contig and place; what is shorter than a chunk is packed
+    behind them. For run_snps a tail is packed too, and reads count with a contig's first window; for merge_snps a tail goes to the last full window.
+    """
+    if kind not in ("run_snps", "merge_snps"):
+        raise ValueError(f"no plan of kind {kind}")
+    keys = list(dict.fromkeys(["species_id", "contig_id", order]))
+    n = F.floor(F.col("length") / chunk_size)
+    last = n if kind == "run_snps" else F.greatest(n - 1, F.lit(0))
+    each = contigs.filter("length > 0").select(*keys, "length", n.alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("k")).filter(F.col("k") * chunk_size < F.col("length"))
+    start = F.col("k") * chunk_size
+    end = F.least(start + chunk_size, "length") if kind == "run_snps" else F.when(F.col("k") >= F.col("n") - 1, F.col("length")).otherwise(start + chunk_size)
+    windows = each.select(*keys, start.alias("start"), end.alias("end"), (F.col("k") == 0).alias("counts_reads"))
+    pooled = F.col("end") - F.col("start") < chunk_size
+    full = ranked(windows.filter(~pooled), ["species_id"], list(dict.fromkeys([order, "start"])), "chunk_id")
+    before = contigs.groupBy("species_id").agg(F.sum(n).cast("long").alias("full"))
+    # A contig has one piece at most; it is packed by its place in the order.
+    short = windows.filter(pooled).withColumn("piece", F.col(order))
+    packed = pack_contigs(short.select("species_id", F.col("piece").alias("contig_id"), (F.col("end") - F.col("start")).alias("length")), chunk_size=chunk_size).select("species_id", F.col("contig_id").alias("piece"), "chunk_id")
+    rest = short.join(packed, ["species_id", "piece"]).join(before, "species_id").withColumn("chunk_id", F.col("chunk_id") + F.col("full"))
+    columns = ["species_id", "chunk_id", "contig_id", "start", "end", "counts_reads"]
+    return full.select(*columns, F.lit(False).alias("pooled")).unionByName(rest.select(*columns, F.lit(True).alias("pooled")))
 
 
 def contig_summary(contigs: DataFrame, *, chunk_size: int) -> DataFrame:
@@ -58,11 +147,8 @@ def contig_summary(contigs: DataFrame, *, chunk_size: int) -> DataFrame:
 
 
 def slices(species: DataFrame, column: str = "species_id", *, size: int) -> DataFrame:
-    """Adds slice, the number of a run of so many species in order of id.
-
-    The list of species is a dimension table of some ten thousand rows: one task numbers it.
-    """
-    return species.withColumn("slice", F.floor((F.row_number().over(Window.orderBy(column)) - 1) / size).cast("long"))
+    """Adds slice, the number of a run of so many species in order of id."""
+    return ranked(species, [], [column]).withColumn("slice", F.floor(F.col("rank") / size).cast("long")).drop("rank", "rank_of")
 
 
 def adaptive_chunk_size(samples: Column, *, default: int) -> Column:

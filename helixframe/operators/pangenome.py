@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,6 +33,7 @@ def xref_clusters(first: DataFrame, coarser: dict[str, DataFrame]) -> DataFrame:
     """Every gene with the centroids of its centroid.
 
     first: gene_id, centroid_99. coarser: column name -> gene_id, centroid_id of centroid_99 genes.
+    See checked_centroids for the rules that clusters keep.
     """
     for name, level in coarser.items():
         first = first.join(level.select(F.col("gene_id").alias("centroid_99"), F.col("centroid_id").alias(name)), "centroid_99")
@@ -85,6 +88,30 @@ def cluster_info(genes: DataFrame, level: str) -> DataFrame:
     return mine
 
 
+def cluster_levels(genes: DataFrame, levels: Sequence[str], *, majority: float = 0.5) -> DataFrame:
+    """level, centroid_id and what cluster_info says of it, for several levels at once.
+
+    Each gene counts at every level in one aggregation, and its marker in another: two shuffles for any number of levels.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(x).alias("level"), F.col(x).alias("centroid_id")) for x in levels]))
+    rows = genes.select("gene_id", "gene_length", "marker_id", genome_of(F.col("gene_id")).alias("genome_id"), each.alias("in")).select("in.*", "gene_id", "gene_length", "marker_id", "genome_id")
+    own = F.max(F.col("gene_id") == F.col("centroid_id")).alias("own")
+    counts = rows.groupBy("level", "centroid_id").agg(F.countDistinct("genome_id").alias("genome_counts"), F.count(F.lit(1)).alias("gene_counts"), F.max("gene_length").alias("cluster_length"), own)
+    total = genes.agg(F.countDistinct(genome_of(F.col("gene_id"))).alias("genomes"))  # a row
+    votes = marker_votes(rows.withColumn("cluster", F.struct("level", "centroid_id")), "cluster", majority=majority).select("cluster.*", "marker_density", "marker_id")
+    found = counts.filter("own").drop("own").crossJoin(F.broadcast(total)).withColumn("genome_prevalence", F.col("genome_counts") / F.col("genomes")).drop("genomes")
+    return found.join(votes, ["level", "centroid_id"], "left")
+
+
+def pruned_centroids(clusters: DataFrame, coarse: DataFrame, *, how: str = "max", cutoff: float = 0.4, remove_singletons: bool = False) -> DataFrame:
+    """Centroids of the finest level that are at least cutoff as long as their cluster at 95 is by how, and whose cluster at 75 remains.
+
+    clusters: centroid_99, centroid_95, centroid_75, gene_length; coarse: centroid_75, gene_counts, genome_counts, genome_prevalence.
+    """
+    remaining = without_singletons(coarse) if remove_singletons else coarse
+    return prune_short(clusters, "centroid_95", how=how, cutoff=cutoff).join(remaining.select("centroid_75").distinct(), "centroid_75", "left_semi")
+
+
 def lift_to_genome(genes: DataFrame, level: str, genome: str) -> DataFrame:
     """Genes of one genome with their centroids."""
     return genes.filter(genome_of(F.col("gene_id")) == genome).select("gene_id", level)
@@ -154,13 +181,38 @@ def with_orthologs(clusters: DataFrame, level: str, orthologs: DataFrame) -> Dat
     return clusters.join(rows, level, "left")
 
 
+def or_error(condition: Column, *said: Column | str) -> Column:
+    """A condition for filter() that lets all rows pass: where it does not hold, the job ends with this error."""
+    message = F.concat(*[F.lit(x) if isinstance(x, str) else F.coalesce(x.cast("string"), F.lit("null")) for x in said])
+    return F.when(condition, True).otherwise(F.raise_error(message).cast("boolean"))
+
+
 def joined_one_to_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """left with the columns of right; it is an error if a key is missing on either side or occurs twice."""
-    both = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).union(right.select(key, F.lit(0), F.lit(1)))
-    odd = both.groupBy(key).agg(F.sum("l").alias("l"), F.sum("r").alias("r")).filter("l <> 1 OR r <> 1")
-    if not odd.isEmpty():
-        raise ValueError(f"tables differ in {key}")
-    return left.join(right, key)
+    """left with the columns of right; the job that uses it ends with an error if a key is missing on either side or occurs twice.
+
+    Both sides are brought to a row a key, which needs no shuffle where they are grouped by it, and the join itself shows what lacks.
+    """
+    sides = []
+    for rows, name in ((left, "l"), (right, "r")):
+        rest = [c for c in rows.columns if c != key]
+        sides.append(rows.groupBy(key).agg(F.first(F.struct(*rest) if rest else F.lit(0)).alias(f"_{name}"), F.count(F.lit(1)).alias(f"_{name}_n")))
+    both = sides[0].join(sides[1], key, "full_outer").filter(or_error((F.coalesce("_l_n", F.lit(0)) == 1) & (F.coalesce("_r_n", F.lit(0)) == 1), f"tables differ in {key}: ", F.col(key)))
+    columns = [F.col(f"_{n}.{c}").alias(c) for rows, n in ((left, "l"), (right, "r")) for c in rows.columns if c != key]
+    return both.select(key, *columns)
+
+
+def checked_centroids(members: DataFrame) -> DataFrame:
+    """Members (gene_id, centroid_id) as they are; the job ends with an error where a centroid is not a member of its own cluster, or a gene occurs twice."""
+    once = members.groupBy("gene_id").agg(F.count(F.lit(1)).alias("_n"), F.first("centroid_id").alias("centroid_id")).filter(or_error(F.col("_n") == 1, "gene occurs twice: ", F.col("gene_id")))
+    own = members.filter(F.col("gene_id") == F.col("centroid_id")).select("centroid_id", F.lit(1).alias("_own")).distinct()
+    return once.join(own, "centroid_id", "left").filter(or_error(F.col("_own").isNotNull(), "centroid is not its own: ", F.col("centroid_id"))).select("gene_id", "centroid_id")
+
+
+def unique_keys(rows: DataFrame, key: str) -> DataFrame:
+    """Rows as they are; the job ends with an error where a key occurs twice."""
+    rest = [c for c in rows.columns if c != key]
+    once = rows.groupBy(key).agg(F.first(F.struct(*rest)).alias("_row"), F.count(F.lit(1)).alias("_n")).filter(or_error(F.col("_n") == 1, f"{key} occurs twice: ", F.col(key)))
+    return once.select(key, "_row.*").select(*rows.columns)
 
 
 def genes_on_contigs(features: DataFrame, contig_lengths: DataFrame) -> DataFrame:

@@ -4,10 +4,13 @@ Columns of an alignment: query_name, ref_id, is_read1, is_reverse, is_secondary,
 mapping_quality, template_length, reference_start, reference_end (half open), query_length,
 query_alignment_start, query_alignment_end, query_sequence, query_qualities (array), nm,
 aligned_pairs (array of qpos, rpos; null for gaps), reference_sequence (of the aligned range).
+is_qcfail, is_duplicate and is_unmapped may be there too; where one lacks, no alignment is so.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +45,12 @@ def single_reads(reads: DataFrame, *, analysis_ready: bool = False, ordinal: str
     return kept.groupBy(*key).agg(F.max_by(F.struct(*rest), ordinal).alias("row")).select(*key, "row.*")
 
 
+def covering(reads: DataFrame) -> Column:
+    """Condition: an alignment whose bases count at sites. Others (secondary, failed, duplicate, unmapped) still count as reads."""
+    flags = [F.coalesce(F.col(c), F.lit(False)) for c in ("is_secondary", "is_qcfail", "is_duplicate", "is_unmapped") if c in reads.columns]
+    return ~reduce(lambda a, b: a | b, flags, F.lit(False))
+
+
 def walk(read: str, overlap: Column, forward: bool) -> Column:
     """Struct of mismatches inside and outside the mates' overlap, and of gaps of the reference inside."""
     c = lambda name: F.col(f"{read}.{name}")
@@ -110,6 +119,13 @@ def proper_pairs(
     return kept.select(*key, "fwd", "rev", "overlap", "identity", F.when(meets, fwd_new).otherwise(fq).alias("fwd_qualities"), F.when(meets, rev_new).otherwise(rq).alias("rev_qualities"))
 
 
+def last_pairs(pairs: DataFrame, *, ordinal: str = "row_no") -> DataFrame:
+    """Of pairs of one name (of a sample and species) the last: where mates pass together on several contigs, the later contig has them."""
+    key = [*owner(pairs), "query_name"]
+    rest = [c for c in pairs.columns if c not in key]
+    return pairs.groupBy(*key).agg(F.max_by(F.struct(*rest), F.greatest(f"fwd.{ordinal}", f"rev.{ordinal}")).alias("pair")).select(*key, "pair.*")
+
+
 def mates(pairs: DataFrame) -> DataFrame:
     """The reads of pairs that passed, one row each, with the qualities settled between mates."""
     side = lambda s, q: F.struct(F.col(f"{s}.*"), F.col(q).alias("settled"))

@@ -35,11 +35,12 @@ def site_filter(sites: DataFrame, samples: DataFrame, *, site_depth: int = 5, si
     return joined.filter((F.col("depth") >= site_depth) & (F.col("depth") / F.col("mean_depth") <= site_ratio))
 
 
-def pooled(sites: DataFrame) -> DataFrame:
-    """Reads (rc_) and samples (sc_) of each base at every site of a species, over all samples that passed."""
+def pooled(sites: DataFrame, *, keep_samples: bool = False) -> DataFrame:
+    """Reads (rc_) and samples (sc_) of each base at every site of a species, over all samples that passed; with keep_samples also what each of them has (samples: sample_name and counts)."""
     reads = [F.sum(c).alias(f"rc_{b.lower()}") for b, c in zip(BASES, COUNTS, strict=True)]
     samples = [F.count_if(F.col(c) > 0).alias(f"sc_{b.lower()}") for b, c in zip(BASES, COUNTS, strict=True)]
-    return sites.groupBy("species_id", "ref_id", "ref_pos", "ref_allele").agg(F.count(F.lit(1)).alias("count_samples"), F.first("samples_count").alias("samples_count"), *reads, *samples)
+    each = [F.collect_list(F.struct("sample_name", *COUNTS)).alias("samples")] if keep_samples else []
+    return sites.groupBy("species_id", "ref_id", "ref_pos", "ref_allele").agg(F.count(F.lit(1)).alias("count_samples"), F.first("samples_count").alias("samples_count"), *reads, *samples, *each)
 
 
 def prevalent(sites: DataFrame, *, snv_type: str = "common", site_prev: float = 0.9) -> DataFrame:
@@ -63,25 +64,61 @@ def of_locus(annotated: DataFrame, *, locus_types: Sequence[str] = ("any",)) ->
     return annotated if "any" in locus_types else annotated.filter(F.col("locus_type").isin(list(locus_types)))
 
 
-def sample_frequencies(called: DataFrame, sites: DataFrame, samples: DataFrame) -> DataFrame:
-    """Depth of major and minor allele and minor frequency of every called site in every relevant sample.
+def depth_and_frequency(struct: Column | None = None) -> tuple[Column, Column]:
+    """Depth of major and minor allele and the minor one's frequency, -1 without depth, from counts (columns, or the fields of a struct)."""
+    of = {b: F.coalesce(F.col(c) if struct is None else struct[c], F.lit(0)) for b, c in zip(BASES, COUNTS, strict=True)}
+    major, minor = (count_of(F.col(c), of) for c in ("major_allele", "minor_allele"))
+    alone = F.col("major_allele") == F.col("minor_allele")
+    depth = F.when(alone, major).otherwise(major + minor)
+    return depth, F.when(depth == 0, -1.0).when(alone, 0.0).otherwise(minor / depth)
+
 
-    A sample without the site, or with neither allele, has depth 0 and frequency -1.
+def frequencies(called: DataFrame, samples: DataFrame) -> DataFrame:
+    """Depth and minor frequency of every called site (with its samples, see pooled) in every relevant sample.
+
+    A sample without the site, or with neither allele, has depth 0 and frequency -1. No site is looked
+    up: the samples that lack are those of the species that the site's list has not.
     """
     key = ["species_id", "ref_id", "ref_pos", "ref_allele"]
-    # One row a species with all its samples: sites meet one row each, and where a species has very many sites, its partition can be split.
+    # One row a species with all its samples.
+    names = samples.groupBy("species_id").agg(F.collect_set("sample_name").alias("sample_names"))
+    absent = F.transform(F.array_except("sample_names", F.col("samples")["sample_name"]), lambda n: F.struct(n.alias("sample_name"), *[F.lit(0).cast("long").alias(c) for c in COUNTS]))
+    present = F.transform("samples", lambda s: F.struct(s["sample_name"].alias("sample_name"), *[s[c].cast("long").alias(c) for c in COUNTS]))
+    each = called.join(names, "species_id").withColumn("in", F.explode(F.concat(present, absent)))
+    depth, maf = depth_and_frequency(F.col("in"))
+    return each.select("in.sample_name", *key, depth.alias("sample_depth"), maf.alias("sample_maf"))
+
+
+def sample_frequencies(called: DataFrame, sites: DataFrame, samples: DataFrame) -> DataFrame:
+    """The same from a table of sites that called knows nothing of: each sample's site is looked up."""
+    key = ["species_id", "ref_id", "ref_pos", "ref_allele"]
     names = samples.groupBy("species_id").agg(F.collect_set("sample_name").alias("sample_names"))
     every = called.select(*key, "major_allele", "minor_allele").join(names, "species_id").withColumn("sample_name", F.explode("sample_names")).drop("sample_names")
     have = every.join(sites.select("sample_name", *key, *COUNTS), ["sample_name", *key], "left")
-    major, minor = (F.coalesce(count_of(F.col(c), counts()), F.lit(0)) for c in ("major_allele", "minor_allele"))
-    alone = F.col("major_allele") == F.col("minor_allele")
-    depth = F.when(alone, major).otherwise(major + minor)
-    return have.select("sample_name", *key, depth.alias("sample_depth"), F.when(depth == 0, -1.0).when(alone, 0.0).otherwise(minor / depth).alias("sample_maf"))
+    depth, maf = depth_and_frequency()
+    return have.select("sample_name", *key, depth.alias("sample_depth"), maf.alias("sample_maf"))
+
+
+def sample_arrays(long: DataFrame, key: Sequence[str], value: str, numbers: DataFrame, missing: float | int) -> DataFrame:
+    """key and values: of each row one array, in the order of the samples' numbers (numbers: sample_name, number from 0), missing where it has none.
+
+    Only what is there is shuffled and held; the array is filled up as the row is written. Any number of samples is one column and one aggregate.
+    """
+    n = numbers.agg((F.max("number") + 1).alias("_n"))  # a row
+    one = F.when(F.col("number").isNotNull(), F.struct(F.col("number").cast("int").alias("number"), F.col(value).alias("value")))
+    placed = long.join(numbers.select("sample_name", "number"), "sample_name", "left").groupBy(*key).agg(F.collect_list(one).alias("_have"))
+    every = F.sequence(F.lit(0), F.col("_n").cast("int") - 1)
+    kind = dict(long.dtypes)[value]
+    absent = F.transform(F.array_except(every, F.col("_have")["number"]), lambda k: F.struct(k.alias("number"), F.lit(missing).cast(kind).alias("value")))
+    filled = F.transform(F.array_sort(F.concat("_have", absent)), lambda x: F.coalesce(x["value"], F.lit(missing).cast(kind)))
+    return placed.crossJoin(F.broadcast(n)).select(*key, filled.alias("values"))
 
 
 def matrix(long: DataFrame, key: Sequence[str], sample: str, value: str, names: Sequence[str], missing: float | int) -> DataFrame:
-    """One column per sample, in the order of names; give the names, so that no job has to look for them."""
-    return long.groupBy(*key).pivot(sample, list(names)).agg(F.first(value)).na.fill(missing, list(names))
+    """One column per sample, in the order of names; for a few samples. Any number of them is an array, see sample_arrays."""
+    numbers = long.sparkSession.createDataFrame([(n, k) for k, n in enumerate(names)], "sample_name string, number int")
+    rows = sample_arrays(long.withColumn("sample_name", F.col(sample)), key, value, numbers, missing)
+    return rows.select(*key, *[F.get("values", F.lit(k)).alias(n) for k, n in enumerate(names)])
 
 
 def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.scratch import kept
+
 
 def passing_hits(hits: DataFrame, cutoffs: DataFrame | None = None, *, aln_mapid: float | None = None, aln_cov: float = 0.75) -> DataFrame:
     """Hits that are similar and long enough. cutoffs: marker_id, marker_cutoff, used unless aln_mapid is given."""
@@ -27,9 +29,9 @@ def best_hits(hits: DataFrame) -> DataFrame:
 
 def marker_support(counts: DataFrame, *, marker_reads: float = 2, marker_covered: int = 2) -> DataFrame:
     """Markers with enough reads, of species with enough such markers."""
-    kept = counts.filter(F.col("reads") >= marker_reads)
-    enough = kept.groupBy("species_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= marker_covered).select("species_id")
-    return kept.join(enough, "species_id", "left_semi")
+    species_rows = Window.partitionBy("species_id")  # a row a marker
+    enough = counts.filter(F.col("reads") >= marker_reads).withColumn("_n", F.count(F.lit(1)).over(species_rows))
+    return enough.filter(F.col("_n") >= marker_covered).drop("_n")
 
 
 def unique_counts(best: DataFrame) -> DataFrame:
@@ -73,12 +75,14 @@ def markers_info(gene_map: DataFrame, gene_ids: DataFrame) -> tuple[DataFrame, D
     return genes, markers
 
 
+def covered_counts() -> list[Column]:
+    has = lambda c: F.col(f"{c}_reads") > 0
+    return [F.count_if(has("uniq") | has("ambi")).alias("total_covered"), F.count_if(has("uniq")).alias("unique_covered"), F.count_if(has("ambi")).alias("ambiguous_covered"), F.count(F.lit(1)).alias("total_marker_counts")]
+
+
 def covered_markers(matrix: DataFrame) -> DataFrame:
     """Per species: markers with unique, with ambiguous and with any reads, and all there are."""
-    has = lambda c: F.col(f"{c}_reads") > 0
-    return matrix.groupBy("species_id").agg(
-        F.count_if(has("uniq") | has("ambi")).alias("total_covered"), F.count_if(has("uniq")).alias("unique_covered"), F.count_if(has("ambi")).alias("ambiguous_covered"), F.count(F.lit(1)).alias("total_marker_counts")
-    )
+    return matrix.groupBy("species_id").agg(*covered_counts())
 
 
 def marker_matrix(markers: DataFrame, unique: DataFrame, ambiguous: DataFrame) -> DataFrame:
@@ -92,28 +96,45 @@ def marker_matrix(markers: DataFrame, unique: DataFrame, ambiguous: DataFrame) -
     return all_.withColumn("coverage", (F.col("uniq_alnbps") + F.col("ambi_alnbps")) / F.col("marker_length"))
 
 
-def species_profile(matrix: DataFrame) -> DataFrame:
-    """Per species: reads, coverage over all markers, median coverage with zeros, relative abundance, share of markers hit uniquely."""
+def support_matrix(best: DataFrame, lengths: DataFrame, *, marker_reads: float = 2, marker_covered: int = 2) -> DataFrame:
+    """marker_matrix from the best hits of reads, of markers with enough support.
+
+    Hits and the counts of markers (a row a species and marker) are written where two steps need
+    them, so that hits are joined and ranked once, whatever is made of them.
+    """
+    enough = {"marker_reads": marker_reads, "marker_covered": marker_covered}
+    best = kept(best.select("query", "aln_no", "target", "species_id", "marker_id", "aln", "n_best"))
+    unique = kept(marker_support(unique_counts(best), **enough))
+    expected = ambiguous_expected(ambiguous_weights(best, unique)).withColumn("reads", F.round("reads", 6))
+    return kept(marker_matrix(lengths, unique, kept(marker_support(expected, **enough))))
+
+
+def species_profile(matrix: DataFrame, *, covered: bool = False) -> DataFrame:
+    """Per species: reads, coverage over all markers, median coverage with zeros, relative abundance, share of markers hit uniquely, and with covered what covered_markers counts."""
     base = F.col("uniq_alnbps") + F.col("ambi_alnbps")
     rows = matrix.groupBy("species_id").agg(
         F.sum(F.col("uniq_reads") + F.col("ambi_reads")).alias("marker_read_counts"),
         F.median("coverage").alias("median_marker_coverage"),
         (F.sum(base) / F.sum("marker_length")).alias("marker_coverage"),
         (F.count_if(F.col("uniq_reads") > 0) / F.count(F.lit(1))).alias("unique_fraction_covered"),
+        *(covered_counts() if covered else []),
     )
     # A row per species: the grand total is one more aggregate beside it, not a window over a single partition.
     total = rows.agg(F.sum("marker_coverage").alias("total"))
     return rows.crossJoin(F.broadcast(total)).withColumn("marker_relative_abundance", F.coalesce(F.try_divide("marker_coverage", "total"), F.lit(0.0))).drop("total")
 
 
-def select_species(profile: DataFrame, thresholds: dict[str, float], ids: Sequence[str] | None = None) -> DataFrame:
-    """Species above every threshold (strictly; -1 switches one off), of the ids given, largest first by the first column."""
+def above_thresholds(profile: DataFrame, thresholds: dict[str, float], ids: Sequence[str] | None = None) -> DataFrame:
+    """Rows above every threshold (strictly; -1 switches one off), of the ids given."""
     for column, least in thresholds.items():
         if least != -1:
             profile = profile.filter(F.col(column) > least)
-    if ids is not None:
-        profile = profile.filter(F.col("species_id").isin(list(ids)))
-    return profile.orderBy(F.desc(next(iter(thresholds))), "species_id")
+    return profile if ids is None else profile.filter(F.col("species_id").isin(list(ids)))
+
+
+def select_species(profile: DataFrame, thresholds: dict[str, float], ids: Sequence[str] | None = None) -> DataFrame:
+    """Species above every threshold (strictly; -1 switches one off), of the ids given, largest first by the first column."""
+    return above_thresholds(profile, thresholds, ids).orderBy(F.desc(next(iter(thresholds))), "species_id")
 
 
 def merge_profiles(profiles: DataFrame, *, min_cov: float = 1.0) -> DataFrame:

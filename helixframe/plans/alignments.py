@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import pileup, readqc
+from ..sources.bam import read_bam, write_bam
+from ..sources.scratch import scratch
 from . import bindings
 from .bindings import COLS_SQL, reads
 from .registry import digest, query, rounded
@@ -75,6 +77,39 @@ def region_pileup(spark, sf_dir):
     return pileup.with_reference(pileup.pileup(bases, base_quality=20), bindings.genome(spark)).withColumn("ref_pos", F.col("ref_pos").cast("long"))
 
 
+# ---------------------------------------------------------------- files
+
+STORED = ["ref_id", "query_name", "is_read1", "is_reverse", "is_secondary", "is_qcfail", "is_duplicate", "is_proper_pair", "mapping_quality", "template_length", "reference_start", "reference_end", "query_length", "query_alignment_start", "query_alignment_end", "nm"]
+BAM = COLS_SQL + f"""bam AS (SELECT {', '.join(STORED)}, query_sequence, reference_sequence, qualities, pairs FROM reads JOIN (
+  SELECT o, c, k, string_agg(qbase, '' ORDER BY i) FILTER (qpos IS NOT NULL) AS query_sequence, string_agg(rbase, '' ORDER BY i) FILTER (rpos IS NOT NULL) AS reference_sequence,
+    string_agg(CAST(qual AS VARCHAR), ',' ORDER BY i) FILTER (qpos IS NOT NULL) AS qualities, string_agg(coalesce(CAST(qpos AS VARCHAR), '') || ':' || coalesce(CAST(rpos AS VARCHAR), ''), ' ' ORDER BY i) AS pairs FROM cols GROUP BY 1, 2, 3) x USING (o, c, k))"""
+
+
+def stored_bam(spark, sf_dir) -> str:
+    """A folder of sorted and indexed BAM files of all reads."""
+    path = scratch(spark)
+    write_bam(reads(spark, sf_dir).withColumns({"is_paired": F.lit(True), "is_read2": ~F.col("is_read1")}), path, [(f"k{c}", bindings.CONTIG_LENGTH) for c in range(bindings.CONTIGS)])
+    return path
+
+
+@query(BAM + " SELECT * FROM bam")
+def read_bam_files(spark, sf_dir):
+    """Everything that an alignment holds, through BAM files."""
+    found = read_bam(spark, stored_bam(spark, sf_dir), split_bytes=1 << 15)
+    place = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    pairs = F.array_join(F.transform("aligned_pairs", lambda p: F.concat(place(p["qpos"]), F.lit(":"), place(p["rpos"]))), " ")
+    counts = [F.col(c).cast("long").alias(c) if c in ("reference_start", "reference_end", "query_length", "nm") else F.col(c) for c in STORED]
+    return found.select(*counts, "query_sequence", "reference_sequence", digest(F.col("query_qualities")).alias("qualities"), pairs.alias("pairs"))
+
+
+@query(BAM + " SELECT ref_id, query_name, is_read1, reference_start, nm FROM bam WHERE ref_id IN ('k2', 'k4') AND reference_start < 160 AND reference_end > 100")
+def read_bam_region(spark, sf_dir):
+    """Alignments over a range of two contigs: the index says which parts of the files to open, the schema which columns to decode."""
+    found = read_bam(spark, stored_bam(spark, sf_dir), columns=["ref_id", "query_name", "is_read1", "reference_start", "reference_end", "nm"])
+    some = found.filter(F.col("ref_id").isin("k2", "k4") & (F.col("reference_start") < 160) & (F.col("reference_end") > 100))
+    return some.select("ref_id", "query_name", "is_read1", F.col("reference_start").cast("long").alias("reference_start"), F.col("nm").cast("long").alias("nm"))
+
+
 # ---------------------------------------------------------------- mates
 
 PAIR_LIMITS = {**LIMITS, "aln_mapid": 92.0, "fragment_length": 1000, "fragment_ratio": 3.0}

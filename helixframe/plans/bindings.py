@@ -85,6 +85,7 @@ def with_views(*names: str) -> str:
 GENOME = "ACGTTGCAAGCTCATGCCGATTTAGGCAC"
 #: Contigs of the made-up genome and their length.
 CONTIGS, CONTIG_LENGTH = 6, 480
+#: Rows are in order of contig, as in a sorted file; some names have pairs on two contigs.
 #: Every order is a fragment with a forward (k = 0) and a reverse read (k = 1) of 20 bases. Some have
 #: a deletion (forward), an insertion (reverse), clipped ends, or are secondary, improper or orphans.
 #: Expressions over o (order), c (contig), k (mate) and i (column of the alignment).
@@ -101,14 +102,16 @@ READ = {
     "sample_name": "concat('s', o % 3)",
     "species_id": "concat('sp', c % 2)",
     "ref_id": "concat('k', c)",
-    "query_name": "concat('q', o - CASE WHEN o % 10 = 7 THEN 1 ELSE 0 END)",
+    "query_name": "concat('q', o - CASE WHEN o % 10 = 7 THEN 3 ELSE 0 END)",
     "is_read1": "k = 0",
     "is_reverse": "k = 1",
     "is_secondary": "o % 13 = 0",
     "is_proper_pair": "o % 17 <> 0",
     "mapping_quality": "cast(CASE WHEN o % 11 = 0 THEN 3 ELSE 42 END AS int)",
     "template_length": "cast(CASE WHEN o % 23 = 0 THEN 5000 ELSE 20 + o % 24 END AS int)",
-    "row_no": "o * 2 + k",
+    "is_qcfail": "o % 29 = 3",
+    "is_duplicate": "(o + k) % 31 = 7",
+    "row_no": "c * 2000000000 + o * 2 + k",
 }
 
 

@@ -141,8 +141,8 @@ def prevalence_rare(spark, sf_dir):
     return snv.prevalent(snv.pooled(good_sites(spark, sf_dir)), snv_type="rare")
 
 
-def called(spark, sf_dir, **how) -> DataFrame:
-    return snv.population(snv.prevalent(snv.pooled(good_sites(spark, sf_dir))), **how)
+def called(spark, sf_dir, keep_samples: bool = False, **how) -> DataFrame:
+    return snv.population(snv.prevalent(snv.pooled(good_sites(spark, sf_dir), keep_samples=keep_samples)), **how)
 
 
 KEYS = "species_id, ref_id, ref_pos, ref_allele"
@@ -180,6 +180,12 @@ freq AS (SELECT sample_name, {KEYS}, x + y AS sample_depth, CASE WHEN x + y = 0
 
 
 def frequencies(spark, sf_dir) -> DataFrame:
+    return snv.frequencies(called(spark, sf_dir, keep_samples=True), relevant(spark, sf_dir))
+
+
+@query(FREQ + f" SELECT sample_name, {KEYS}, sample_depth, sample_maf FROM freq")
+def looked_up_frequencies(spark, sf_dir):
+    """The same from called sites and a table of all sites."""
     return snv.sample_frequencies(called(spark, sf_dir), good_sites(spark, sf_dir), relevant(spark, sf_dir))
 
 
@@ -297,8 +303,7 @@ def ambiguous_drawn(spark, sf_dir):
 
 
 def filled(spark, sf_dir) -> DataFrame:
-    ambiguous = species.marker_support(rounded(expected(spark, sf_dir), "reads"))
-    return species.marker_matrix(markers(spark, sf_dir), supported(spark, sf_dir), ambiguous)
+    return species.support_matrix(best(spark, sf_dir), markers(spark, sf_dir))
 
 
 @query(MATRIX + " SELECT * REPLACE (round(ambi_reads, 6) AS ambi_reads, round(ambi_alnbps, 6) AS ambi_alnbps, round(coverage, 6) AS coverage) FROM mat")
@@ -592,23 +597,31 @@ def subsequence(spark, sf_dir):
     return seqs(spark, sf_dir).select("gene_id", sequences.subsequence(F.col("sequence"), F.lit(11), F.lit(60), F.when(F.col("doc_id") % 2 == 0, "+").otherwise("-")).alias("part"))
 
 
-CODONS = "code AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{a}')" for c, a in sequences.codon_table().items()) + ") t(codon, aa))"
+#: Amino acids of the codons of table 11, bases in the order T, C, A, G, stops as _. Fixed values.
+AMINO = "FFLLSSSSYY__CC_WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
+CODONS = f"code AS (SELECT substr('TCAG', k // 16 + 1, 1) || substr('TCAG', k // 4 % 4 + 1, 1) || substr('TCAG', k % 4 + 1, 1) AS codon, substr('{AMINO}', k + 1, 1) AS aa FROM (SELECT CAST(range AS INT) AS k FROM range(0, 64)) r)"
 
 
-@query(SEQS + f", {CODONS} SELECT gene_id, substr(sequence, 1, 3) AS codon, aa AS amino_acid FROM seqs LEFT JOIN code ON codon = substr(sequence, 1, 3)")
+@query(SEQS + f""", n AS (SELECT gene_id, sequence, unnest(range(0, length(sequence) // 3)) AS k FROM seqs), c AS (SELECT gene_id, k, substr(sequence, CAST(k * 3 + 1 AS INT), 3) AS codon FROM n),
+a AS (SELECT gene_id, k, CASE WHEN regexp_full_match(codon, '[ACGT]{{3}}') THEN substr('{AMINO}', 16 * (instr('TCAG', codon[1]) - 1) + 4 * (instr('TCAG', codon[2]) - 1) + instr('TCAG', codon[3]), 1) ELSE '?' END AS aa FROM c)
+SELECT s.gene_id, coalesce(string_agg(aa, '' ORDER BY k), '') AS protein FROM seqs s LEFT JOIN a USING (gene_id) GROUP BY 1""")
 def translate_codon(spark, sf_dir):
-    codon = F.substring("sequence", 1, 3)
-    return seqs(spark, sf_dir).select("gene_id", codon.alias("codon"), sequences.translate_codon(codon).alias("amino_acid"))
+    """All codons of each sequence; ? where one has another letter."""
+    amino = F.transform(F.regexp_extract_all("sequence", F.lit("(.{3})")), lambda c: F.coalesce(sequences.translate_codon(c), F.lit("?")))
+    return seqs(spark, sf_dir).select("gene_id", F.array_join(amino, "").alias("protein"))
 
 
-HAMMING_LEN = 60
+SHIFT = 4
 
 
-@query(SEQS + f""", w AS (SELECT gene_id, substr(sequence, 1, {HAMMING_LEN}) AS a, substr(sequence, 5, {HAMMING_LEN}) AS b FROM seqs WHERE length(sequence) >= {HAMMING_LEN + 4})
-SELECT gene_id, CAST(sum(CASE WHEN substr(a, i, 1) = substr(b, i, 1) AND substr(a, i, 1) <> 'N' THEN 0 ELSE 1 END) AS INT) AS distance FROM w, (SELECT CAST(range AS INT) AS i FROM range(1, {HAMMING_LEN + 1})) r GROUP BY 1""")
+@query(SEQS + f""", w AS (SELECT gene_id, sequence, unnest(range(1, greatest(length(sequence) - {SHIFT}, 0) + 1)) AS i FROM seqs),
+d AS (SELECT gene_id, count(*) FILTER (NOT (substr(sequence, CAST(i AS INT), 1) = substr(sequence, CAST(i + {SHIFT} AS INT), 1) AND substr(sequence, CAST(i AS INT), 1) <> 'N')) AS distance FROM w GROUP BY 1)
+SELECT seqs.gene_id, CAST(coalesce(distance, 0) AS INT) AS distance FROM seqs LEFT JOIN d USING (gene_id)""")
 def hamming(spark, sf_dir):
-    rows = seqs(spark, sf_dir).filter(F.length("sequence") >= HAMMING_LEN + 4)
-    return rows.select("gene_id", sequences.hamming(F.substring("sequence", 1, HAMMING_LEN), F.substring("sequence", 5, HAMMING_LEN)).alias("distance"))
+    """Each whole sequence against itself, moved on by some bases."""
+    n = F.greatest(F.length("sequence") - SHIFT, F.lit(0))
+    rows = seqs(spark, sf_dir).select("gene_id", F.substring("sequence", F.lit(1), n).alias("a"), F.substring("sequence", F.lit(SHIFT + 1), n).alias("b"))
+    return rows.select("gene_id", F.when(F.length("a") > 0, sequences.hamming(F.col("a"), F.col("b"))).otherwise(0).alias("distance"))
 
 
 @query(SEQS + " SELECT concat('GC_', doc_id % 7) AS genome, concat(concat('GC_', doc_id % 7), '_C', row_number() OVER (PARTITION BY doc_id % 7 ORDER BY doc_id), '_L', printf('%.1f', length(sequence) / 1000), 'k_H', right(md5(sequence), 6)) AS contig FROM seqs WHERE length(sequence) >= 1000")

@@ -90,24 +90,25 @@ def original_names(spark, sf_dir):
     return pangenome.original_names(g.select("gene_id", "centroid_95"), names, "gene_id")
 
 
-TOC = "toc AS (SELECT concat('G', i) AS genome, concat('sp', i % 4) AS species, i < 4 AS rep FROM range(0, 8) r(i))"
+#: A catalogue of genomes: those that orders name, in species by customer; the first of each species represents it.
+TOC_ROWS = ["concat('G', o_orderkey % 400) AS genome", "concat('sp', o_orderkey % 400 % 4) AS species", "o_orderkey % 400 < 4 AS rep"]
+TOC = f"toc AS (SELECT DISTINCT {', '.join(TOC_ROWS)} FROM orders)"
 
 
-def toc(spark) -> DataFrame:
-    i = F.col("id")
-    return spark.range(8).select(F.concat(F.lit("G"), i).alias("genome"), F.concat(F.lit("sp"), i % 4).alias("species"), (i < 4).cast("int").alias("genome_is_representative"))
+def toc(spark, sf_dir) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(*TOC_ROWS).distinct().select("genome", "species", F.col("rep").cast("int").alias("genome_is_representative"))
 
 
 @query(PAN + f", {TOC} SELECT g.gene_id, g.genome_id, toc.species AS species_id FROM g JOIN toc ON toc.genome = g.genome_id WHERE toc.species IN ('sp0', 'sp2')")
 def genes_of_species(spark, sf_dir):
     """Genes of two species, by the genome in their id; genes of unknown genomes go."""
     wanted = spark.createDataFrame([("sp0",), ("sp2",)], "species_id string")
-    return pangenome.species_of_genes(genes(spark, sf_dir).select("gene_id"), toc(spark), wanted).select("gene_id", "genome_id", "species_id")
+    return pangenome.species_of_genes(genes(spark, sf_dir).select("gene_id"), toc(spark, sf_dir), wanted).select("gene_id", "genome_id", "species_id")
 
 
 @query(f"WITH {TOC} SELECT species, max(CASE WHEN rep THEN genome END) AS representative, count(*) AS genomes FROM toc GROUP BY 1")
 def representatives(spark, sf_dir):
-    return pangenome.representatives(toc(spark))
+    return pangenome.representatives(toc(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- annotation
@@ -154,9 +155,16 @@ def orthologs_on_contigs(spark, sf_dir):
     return pangenome.orthologs_on_contigs(functions, centroids, bind(spark, sf_dir, "v_feat"), contig_lengths(spark, sf_dir)).select("query", "COG_category", "contig_id", "contig_length")
 
 
-@query("SELECT * FROM (VALUES ('genomad_virus', 'gene_is_phage'), ('genomad_plasmid', 'gene_is_plasmid'), ('mefinder', 'gene_is_amr'), ('resfinder', 'gene_is_me')) t(kind, name)")
+KINDS = ("genomad_virus", "genomad_plasmid", "mefinder", "resfinder")
+
+
+@query("SELECT o_orderkey AS hit, CASE o_orderkey % 4 WHEN 0 THEN 'gene_is_phage' WHEN 1 THEN 'gene_is_plasmid' WHEN 2 THEN 'gene_is_amr' ELSE 'gene_is_me' END AS name FROM orders")
 def annotation_names(spark, sf_dir):
-    return spark.createDataFrame([(k, pangenome.annotation_column(k)) for k in pangenome.FLAG_OF], "kind string, name string")
+    """The column that each hit fills, by its kind."""
+    kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    hits = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("hit"), kind.alias("kind"))
+    name = F.create_map(*[F.lit(x) for k in KINDS for x in (k, pangenome.annotation_column(k))])
+    return hits.select("hit", F.element_at(name, F.col("kind")).alias("name"))
 
 
 # ---------------------------------------------------------------- sequences, sites, plans

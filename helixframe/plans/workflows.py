@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequences import codon_table, subsequence
-from ..operators import workflows
+from ..operators import snv, workflows
+from ..operators.ranks import ranked
+from ..sources import writers
 from ..sources.scratch import scratch
 from . import bindings
-from .alignments import BOTH, LIMITS, PAIR_LIMITS, SINGLE, piled
+from .alignments import BOTH, COLS_SQL, LIMITS, PAIR_LIMITS, SINGLE, piled
 from .bindings import CONTIG_LENGTH, CONTIGS, bind, reads, with_views
 from .catalog import AMBI, PAN, PREV, PROFILES, VOTE, calls, contigs, cutoffs, genes, hit_genes, picked, profiles, seqs
-from .catalog import CONTIGS as CONTIG_SQL
-from .curation import orthologs, toc
+from .curation import TOC, orthologs, toc
 from .registry import query, rounded
 
 # ---------------------------------------------------------------- species
@@ -64,7 +67,9 @@ def long_pos(df: DataFrame) -> DataFrame:
     return df.withColumn("ref_pos", F.col("ref_pos").cast("long"))
 
 
-SNP_SITES = SINGLE + f", pile AS ({piled('single')})"
+#: Alignments whose bases count: those of failed and duplicate reads do not, secondary ones neither.
+COVERS = "NOT t.is_secondary AND NOT t.is_qcfail AND NOT t.is_duplicate"
+SNP_SITES = SINGLE + f", pile AS ({piled('single', where='qpos IS NOT NULL AND ' + COVERS)})"
 SNP_SUMMARY = SNP_SITES + f""",
 summary AS (SELECT *, covered_bases / genome_length AS fraction_covered, total_depth / covered_bases AS mean_depth FROM
   (SELECT sample_name, species_id, count(*) AS covered_bases, CAST(sum(depth) AS BIGINT) AS total_depth FROM pile GROUP BY 1, 2) c
@@ -84,10 +89,43 @@ def run_snps_summary(spark, sf_dir):
     return snps(spark, sf_dir)["summary"]
 
 
-@query(BOTH + ", pile AS (" + piled("t", "t.q", "t.pos = qpos") + ") SELECT * FROM pile WHERE depth >= 2")
+#: Of the pairs of a name that pass, the one on the last contig.
+LAST_PAIR = BOTH + f""", last_pair AS (SELECT fo, ro, c FROM (SELECT *, row_number() OVER (PARTITION BY sample_name, species_id, query_name ORDER BY c DESC) AS place FROM pairs) x WHERE place = 1),
+m AS (SELECT t.*, is_secondary, is_qcfail, is_duplicate FROM t JOIN reads USING (o, c, k) JOIN last_pair l ON l.c = t.c AND t.o = CASE WHEN t.k = 0 THEN fo ELSE ro END),
+pile AS ({piled("m", "t.q", "t.pos = qpos AND " + COVERS)})"""
+
+
+@query(LAST_PAIR + " SELECT * FROM pile WHERE depth >= 2")
 def run_snps_paired(spark, sf_dir):
-    found = workflows.run_snps(reads(spark, sf_dir), bindings.genome(spark), **PAIR_LIMITS, aln_baseq=20, paired_only=True)
-    return long_pos(found["pileup"])
+    """Mates that pass together; a name with pairs on two contigs counts on the later one alone."""
+    return long_pos(paired_result(spark, sf_dir)["pileup"])
+
+
+@query(LAST_PAIR + """ SELECT sample_name, species_id, aligned_reads, mapped_reads, covered_bases FROM (SELECT sample_name, species_id, count(*) AS aligned_reads FROM reads GROUP BY 1, 2) a
+JOIN (SELECT sample_name, species_id, 2 * count(*) AS mapped_reads FROM pairs GROUP BY 1, 2) b USING (sample_name, species_id) JOIN (SELECT sample_name, species_id, count(*) AS covered_bases FROM pile GROUP BY 1, 2) d USING (sample_name, species_id)""")
+def run_snps_paired_summary(spark, sf_dir):
+    return paired_result(spark, sf_dir)["summary"].select("sample_name", "species_id", "aligned_reads", "mapped_reads", "covered_bases")
+
+
+def paired_result(spark, sf_dir) -> workflows.Tables:
+    return workflows.run_snps(reads(spark, sf_dir), bindings.genome(spark), **PAIR_LIMITS, aln_baseq=20, paired_only=True)
+
+
+#: Reads that are ready: the last of each name and mate, none filtered.
+READY = COLS_SQL + f"""ready AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_name, species_id, query_name, is_read1 ORDER BY row_no DESC) AS place FROM reads) x WHERE place = 1),
+pile AS ({piled('ready', where='qpos IS NOT NULL AND ' + COVERS)})"""
+
+
+@query(READY + " SELECT * FROM pile WHERE depth >= 2")
+def run_snps_ready(spark, sf_dir):
+    return long_pos(snps(spark, sf_dir, analysis_ready=True)["pileup"])
+
+
+@query(READY + """ SELECT sample_name, species_id, n AS aligned_reads, n AS mapped_reads, covered_bases, total_depth FROM (SELECT sample_name, species_id, count(*) AS n FROM reads GROUP BY 1, 2) a
+JOIN (SELECT sample_name, species_id, count(*) AS covered_bases, CAST(sum(depth) AS BIGINT) AS total_depth FROM pile GROUP BY 1, 2) d USING (sample_name, species_id)""")
+def run_snps_ready_summary(spark, sf_dir):
+    """All reads are aligned and mapped ones, also those that add no depth."""
+    return snps(spark, sf_dir, analysis_ready=True)["summary"].select("sample_name", "species_id", "aligned_reads", "mapped_reads", "covered_bases", "total_depth")
 
 
 #: Genes of the contigs: 60 bases each with gaps between, every fifth no CDS.
@@ -150,6 +188,37 @@ def merge_snps_freq(spark, sf_dir):
     return merged_snps(spark, sf_dir)["freq"]
 
 
+@query(CALLED + f""",
+every AS (SELECT h.species_id, h.ref_id, h.ref_pos, h.ref_allele, h.major_allele AS ma, h.minor_allele AS mi, rel.sample_name FROM held h JOIN rel USING (species_id) WHERE locus_type IN ('CDS', 'IGR')),
+seen AS (SELECT e.*, coalesce({picked('ma')}, 0) AS x, CASE WHEN ma = mi THEN 0 ELSE coalesce({picked('mi')}, 0) END AS y FROM every e LEFT JOIN good USING (sample_name, species_id, ref_id, ref_pos, ref_allele))
+SELECT sample_name, species_id, ref_id, ref_pos, ref_allele, x + y AS sample_depth, CASE WHEN x + y = 0 THEN CAST(-1 AS DOUBLE) ELSE y / (x + y) END AS sample_maf FROM seen""")
+def merge_snps_bucketed(spark, sf_dir):
+    """The same from a table of sites that is bucketed by site: pooling needs no shuffle."""
+    found = snps(spark, sf_dir)
+    table = f"sites_{uuid.uuid4().hex}"
+    writers.write_sites(found["pileup"], table, scratch(spark), buckets=8)
+    return workflows.merge_snps(spark.table(table), found["summary"], gene_table(spark), gene_sequences(spark), **MERGE)["freq"]
+
+
+SAMPLE_SUMS = "SELECT l_partkey % 50 AS site, l_suppkey AS sample, CAST(sum(l_quantity) AS BIGINT) AS depth, avg(l_discount) AS freq FROM lineitem WHERE l_linenumber < 3 GROUP BY 1, 2"
+
+
+@query(f"""WITH v AS ({SAMPLE_SUMS}), n AS (SELECT s_suppkey AS sample, row_number() OVER (ORDER BY s_suppkey) - 1 AS number FROM supplier)
+SELECT CAST(x.site AS VARCHAR) AS site, concat('s', n.sample) AS sample_name, printf('%.3f', coalesce(v.freq, -1)) AS freq FROM (SELECT DISTINCT site FROM v) x CROSS JOIN n LEFT JOIN v ON v.site = x.site AND v.sample = n.sample""")
+def write_matrix(spark, sf_dir):
+    """A column a supplier: arrays filled up as they are written, read again cell by cell."""
+    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    long = read("lineitem").filter("l_linenumber < 3").groupBy((F.col("l_partkey") % 50).alias("site"), F.concat(F.lit("s"), "l_suppkey").alias("sample_name")).agg(F.avg("l_discount").alias("freq"))
+    numbers = ranked(read("supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("sample_name"), "s_suppkey"), [], ["s_suppkey"], "number").select("sample_name", "number")
+    path = scratch(spark)
+    writers.write_matrix(snv.sample_arrays(long, ["site"], "freq", numbers, -1.0), path, numbers)
+    cells = F.split("value", "\t")
+    lines = spark.read.text(path).select(cells.alias("cells")).filter(F.col("cells")[0] != "site")
+    head = spark.read.text(path).filter(F.col("value").startswith("site")).select(cells.alias("names")).limit(1)
+    each = lines.join(F.broadcast(head)).select(F.col("cells")[0].alias("site"), F.explode(F.arrays_zip(F.slice("names", 2, 1 << 30).alias("n"), F.slice("cells", 2, 1 << 30).alias("v"))).alias("x"))
+    return each.select("site", F.col("x.n").alias("sample_name"), F.col("x.v").alias("freq"))
+
+
 # ---------------------------------------------------------------- copy number
 
 GENE_RULES = {**LIMITS, "aln_mapq": 0, "aln_baseq": 15}
@@ -172,7 +241,7 @@ def gene_result(spark, sf_dir) -> workflows.Tables:
     rows = reads(spark, sf_dir).drop("species_id").withColumn("ref_id", F.concat(F.lit("G"), F.substring("ref_id", 2, 3), F.lit("_1")))
     c = F.col("id")
     clusters = spark.range(CONTIGS).select(F.concat(F.lit("G"), c, F.lit("_1")).alias("cluster_id"), F.concat(F.lit("sp"), c % 4).alias("species_id"), (300 + c * 50).alias("gene_length"), F.when(c != 4, F.concat(F.lit("B"), c % 3)).alias("marker_id"))
-    return workflows.run_genes(rows, toc(spark).filter("genome <> 'G5'"), clusters, **GENE_RULES)
+    return workflows.run_genes(rows, toc(spark, sf_dir).filter("genome <> 'G5'"), clusters, **GENE_RULES)
 
 
 @query(GENE_READS + " SELECT * REPLACE (round(mean_depth, 6) AS mean_depth, round(marker_depth, 6) AS marker_depth, round(copy_number, 6) AS copy_number) FROM copies")
@@ -247,13 +316,114 @@ def species_to_build(spark, sf_dir):
     return workflows.species_to_build(merged, select_threshold=(6,)).select("species_id", "sample_counts")
 
 
-@query(CONTIG_SQL + """ SELECT 'run_snps' AS kind, contig_id, k * 1000 AS start, least(k * 1000 + 1000, length) AS "end", k * 1000 + 1000 > length AS pooled FROM c, range(0, 6) r(k) WHERE k * 1000 < length
-UNION ALL SELECT 'merge_snps', contig_id, k * 1000, CASE WHEN k = greatest(length // 1000, 1) - 1 THEN length ELSE k * 1000 + 1000 END, false FROM c, range(0, 6) r(k) WHERE k < greatest(length // 1000, 1)""")
+CHUNKS = """WITH RECURSIVE c AS (SELECT concat('sp', o_orderkey % 40) AS species_id, o_orderkey AS contig_id, o_orderkey * 37 % 5000 + 1 AS length FROM orders),
+w AS (SELECT 'run_snps' AS kind, species_id, contig_id, k * 1000 AS start, least(k * 1000 + 1000, length) AS stop, k = 0 AS counts_reads FROM c, range(0, 6) r(k) WHERE k * 1000 < length
+  UNION ALL SELECT 'merge_snps', species_id, contig_id, k * 1000, CASE WHEN k = greatest(length // 1000, 1) - 1 THEN length ELSE k * 1000 + 1000 END, k = 0 FROM c, range(0, 6) r(k) WHERE k < greatest(length // 1000, 1)),
+piece AS (SELECT kind, species_id, contig_id, stop - start AS length, row_number() OVER (PARTITION BY kind, species_id ORDER BY stop - start DESC, contig_id) AS pos, count(*) OVER (PARTITION BY kind, species_id) AS n FROM w WHERE stop - start < 1000),
+step(kind, species_id, taken, high, low, room, chunk_id) AS (
+  SELECT kind, species_id, CAST(1 AS BIGINT), CAST(2 AS BIGINT), n, 1000 - length, CAST(0 AS BIGINT) FROM piece WHERE pos = 1
+  UNION ALL
+  SELECT s.kind, s.species_id, CASE WHEN l.length <= room THEN low ELSE high END, CASE WHEN l.length <= room THEN high ELSE high + 1 END, CASE WHEN l.length <= room THEN low - 1 ELSE low END,
+         CASE WHEN l.length <= room THEN room - l.length ELSE 1000 - h.length END, CASE WHEN l.length <= room THEN chunk_id ELSE chunk_id + 1 END
+  FROM step s JOIN piece l ON l.kind = s.kind AND l.species_id = s.species_id AND l.pos = s.low JOIN piece h ON h.kind = s.kind AND h.species_id = s.species_id AND h.pos = s.high WHERE s.high <= s.low),
+packed AS (SELECT p.kind, p.species_id, p.contig_id, s.chunk_id FROM piece p JOIN step s ON s.kind = p.kind AND s.species_id = p.species_id AND s.taken = p.pos),
+full_ AS (SELECT *, row_number() OVER (PARTITION BY kind, species_id ORDER BY contig_id, start) - 1 AS chunk_id FROM w WHERE stop - start >= 1000),
+many AS (SELECT species_id, sum(length // 1000) AS n FROM c GROUP BY 1)"""
+
+
+@query(CHUNKS + """ SELECT kind, species_id, chunk_id, contig_id, start, stop AS "end", counts_reads, false AS pooled FROM full_
+UNION ALL SELECT w.kind, w.species_id, CAST(p.chunk_id + m.n AS BIGINT), w.contig_id, w.start, w.stop, w.counts_reads, true FROM w JOIN packed p ON p.kind = w.kind AND p.contig_id = w.contig_id JOIN many m ON m.species_id = w.species_id WHERE w.stop - w.start < 1000""")
 def compute_chunks(spark, sf_dir):
-    plan = lambda kind: workflows.compute_chunks(contigs(spark, sf_dir), kind, chunk_size=1000).select(F.lit(kind).alias("kind"), "contig_id", "start", "end", "pooled")
+    """Both plans: full windows in order, behind them what is packed."""
+    rows = contigs(spark, sf_dir).withColumn("species_id", F.concat(F.lit("sp"), F.col("contig_id") % 40))
+    plan = lambda kind: workflows.compute_chunks(rows, kind, chunk_size=1000).select(F.lit(kind).alias("kind"), "species_id", "chunk_id", "contig_id", "start", "end", "counts_reads", "pooled")
     return plan("run_snps").union(plan("merge_snps"))
 
 
+#: Genes with all six levels of clusters; each is nested in the next.
+SIX = [f"concat('G', p_partkey // {k} * {k} % 9, '_', p_partkey // {k} * {k}) AS centroid_{x}" for x, k in ((99, 2), (95, 4), (90, 8), (85, 16), (80, 32), (75, 64))]
+SIX_SQL = with_views("v_genes") + f"g AS (SELECT v.gene_id, gene_length, v.marker_id, regexp_replace(v.gene_id, '_[^_]*$', '') AS genome_id, {', '.join(SIX)} FROM v_genes v JOIN part ON p_partkey = CAST(regexp_extract(v.gene_id, '_([0-9]+)$', 1) AS BIGINT))"
+
+
+def six_levels(spark, sf_dir) -> DataFrame:
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("concat('G', p_partkey % 9, '_', p_partkey) AS gene_id", *[x.replace("//", "div") for x in SIX])
+    return bind(spark, sf_dir, "v_genes").select("gene_id", "gene_length", "marker_id").join(part, "gene_id")
+
+
+AUGMENTED = SIX_SQL + """, each AS (SELECT level, cluster AS centroid_id, gene_id, gene_length, marker_id, genome_id FROM (UNPIVOT g ON centroid_99, centroid_95, centroid_90, centroid_85, centroid_80, centroid_75 INTO NAME level VALUE cluster) u),
+votes AS (SELECT level, centroid_id, marker_id, count(*) AS k FROM each WHERE marker_id IS NOT NULL GROUP BY 1, 2, 3),
+top AS (SELECT level, centroid_id, max(k) AS k, arg_max(marker_id, k) AS marker_id, count(*) FILTER (k = m) AS ties FROM (SELECT *, max(k) OVER (PARTITION BY level, centroid_id) AS m FROM votes) v GROUP BY 1, 2),
+info AS (SELECT level, centroid_id, count(DISTINCT genome_id) AS genome_counts, count(*) AS gene_counts, max(gene_length) AS cluster_length, count(DISTINCT genome_id) / (SELECT count(DISTINCT genome_id) FROM g) AS genome_prevalence FROM each GROUP BY 1, 2 HAVING bool_or(gene_id = centroid_id)),
+clusters AS (SELECT info.*, CASE WHEN ties = 1 THEN k / gene_counts ELSE CAST(0 AS DOUBLE) END AS marker_density, CASE WHEN ties = 1 AND k / gene_counts > 0.5 THEN marker_id END AS marker_id FROM info LEFT JOIN top USING (level, centroid_id))"""
+
+
+def augmented(spark, sf_dir) -> workflows.Tables:
+    contigs_ = seqs(spark, sf_dir).select(F.concat(F.lit("G"), F.col("doc_id") % 9).alias("genome_id"), F.col("gene_id").alias("contig_id"), "sequence")
+    return workflows.augment_pangenome(six_levels(spark, sf_dir), contigs_, "G3")
+
+
+@query(AUGMENTED + " SELECT * FROM clusters")
+def augment_pangenome(spark, sf_dir):
+    """Clusters at six levels."""
+    return augmented(spark, sf_dir)["clusters"]
+
+
+@query(SIX_SQL + ", x AS (SELECT 1) SELECT DISTINCT 'stacked' AS part, centroid_75 AS id, genome_id AS of FROM g UNION ALL SELECT 'lifted', gene_id, centroid_99 FROM g WHERE genome_id = 'G3' UNION ALL SELECT 'parents', centroid_99, centroid_75 FROM g WHERE gene_id = centroid_99")
+def augment_pangenome_parts(spark, sf_dir):
+    """The other tables of the workflow: genomes of clusters, genes of the representative genome, parents of centroids."""
+    t = augmented(spark, sf_dir)
+    part = lambda name, key, of: t[name].select(F.lit(name).alias("part"), F.col(key).alias("id"), F.col(of).alias("of"))
+    return part("stacked", "centroid_75", "genome_id").unionByName(part("lifted", "gene_id", "centroid_99")).unionByName(part("parents", "centroid_99", "centroid_75"))
+
+
+PRUNED = AUGMENTED + """, c99 AS (SELECT g.centroid_99, g.centroid_95, g.centroid_75, c.cluster_length AS gene_length FROM g JOIN clusters c ON c.level = 'centroid_99' AND c.centroid_id = g.centroid_99 WHERE g.gene_id = g.centroid_99),
+kept AS (SELECT c99.* FROM c99 JOIN (SELECT centroid_95, {how}(gene_length) AS parent FROM c99 GROUP BY 1) p USING (centroid_95) WHERE gene_length >= parent * {cutoff}),
+coarse AS (SELECT centroid_id FROM clusters WHERE level = 'centroid_75' {alone})
+SELECT centroid_99 AS gene_id, upper(concat('acgt', gene_length)) AS sequence FROM kept WHERE centroid_75 IN (SELECT centroid_id FROM coarse)"""
+ALONE = "AND NOT (gene_counts = 1 AND genome_prevalence < 0.1 AND genome_counts = 1)"
+
+
+def pruned(spark, sf_dir, **how) -> DataFrame:
+    t = augmented(spark, sf_dir)
+    level = lambda x: t["clusters"].filter(F.col("level") == x)
+    clusters = t["parents"].join(level("centroid_99").select(F.col("centroid_id").alias("centroid_99"), F.col("cluster_length").alias("gene_length")), "centroid_99")
+    bases = clusters.select(F.col("centroid_99").alias("gene_id"), F.concat(F.lit("acgt"), "gene_length").alias("sequence"))
+    return workflows.prune_centroids(clusters, level("centroid_75").withColumnRenamed("centroid_id", "centroid_75"), bases, **how)
+
+
+@query(PRUNED.format(how="max", cutoff=0.4, alone=""))
+def prune_centroids(spark, sf_dir):
+    return pruned(spark, sf_dir)
+
+
+@query(PRUNED.format(how="median", cutoff=0.9, alone=ALONE))
+def prune_centroids_without_singletons(spark, sf_dir):
+    return pruned(spark, sf_dir, prune_method="median", prune_cutoff=0.9, remove_singletons=True)
+
+
+@query(f"""WITH m AS (SELECT concat('G', p_partkey % 400) AS genome_id, concat('G', p_partkey % 400, '_', p_partkey) AS gene_id, 201 + p_size * 30 AS gene_length, concat('B', p_partkey % 15) AS marker_id, concat('acgt', p_partkey) AS bases FROM part), {TOC}
+SELECT toc.species AS species_id, genome_id, gene_id, CAST(gene_length AS INT) AS gene_length, marker_id, upper(bases) AS sequence FROM m JOIN toc ON toc.genome = m.genome_id WHERE marker_id <> 'B3'""")
+def build_markerdb(spark, sf_dir):
+    """The marker genes of all genomes under their species, map and bases."""
+    genes_ = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("concat('G', p_partkey % 400) AS genome_id", "concat('G', p_partkey % 400, '_', p_partkey) AS gene_id", "cast(201 + p_size * 30 AS int) AS gene_length", "concat('B', p_partkey % 15) AS marker_id", "concat('acgt', p_partkey) AS marker_gene")
+    found = workflows.build_markerdb(genes_, toc(spark, sf_dir), markers=[f"B{k}" for k in range(15) if k != 3])
+    return found["map"].join(found["sequences"], "gene_id").select("species_id", "genome_id", "gene_id", "gene_length", "marker_id", "sequence")
+
+
+#: Species that are deep enough in their sample, by a profile of the reads.
+PROFILE_SQL = "deep_enough AS (SELECT sample_name, species_id FROM reads GROUP BY 1, 2 HAVING count(*) > (SELECT count(*) FROM reads) / 6)"
+
+
+@query(COLS_SQL + PROFILE_SQL + " SELECT sample_name, species_id, count(*) AS aligned_reads FROM reads JOIN deep_enough USING (sample_name, species_id) GROUP BY 1, 2")
+def run_snps_chosen(spark, sf_dir):
+    """Variants of the species alone that a profile puts above a threshold in their sample."""
+    r = reads(spark, sf_dir)
+    profile = r.groupBy("sample_name", "species_id").agg(F.count(F.lit(1)).alias("marker_read_counts"))
+    least = r.count() / 6
+    found = workflows.run_snps(r, bindings.genome(spark), profile=profile, select_by=["marker_read_counts"], select_threshold=[least], **SNPS)
+    return found["summary"].select("sample_name", "species_id", "aligned_reads")
+
+
 @query(PAN + """, m AS (SELECT gene_id, max(marker_id) AS marker_id FROM g WHERE marker_id IS NOT NULL GROUP BY 1)
 SELECT a.gene_id, b.centroid_95 AS centroid_99, c.centroid_75, a.gene_length, coalesce(m.marker_id, '') AS marker_id FROM g a JOIN g b ON b.gene_id = a.centroid_99 JOIN g c ON c.gene_id = b.centroid_95 LEFT JOIN m ON m.gene_id = a.gene_id""")
 def recluster_centroids(spark, sf_dir):

@@ -1,7 +1,8 @@
-"""Readers of tables, sequences, features, hits and annotations. Paths may be globs or lists; Spark reads .gz and .bz2 by name."""
+"""Readers of tables, sequences, features, hits and annotations. Paths may be globs or lists; Spark reads .gz and .bz2 by name, .lz4 frames are read here."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -9,7 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import schemas
+from . import parts, schemas
+from .fastq import records as multiline_records
+from .head import head_lines
+from .lz4 import read_lz4
+from .scratch import kept
+from .session import workers_import
 
 Paths = str | Sequence[str]
 
@@ -17,8 +23,10 @@ Paths = str | Sequence[str]
 def tsv(spark: SparkSession, path: Paths, schema: str | None, *, header: bool = True, columns: Sequence[str] | None = None, comment: str | None = None) -> DataFrame:
     """A tab-separated table of a declared schema; a header that differs, or a value of another type, is an error.
 
-    Without a schema, types are inferred, which reads the files once more.
+    Without a schema, types are inferred, which reads the files once more. Files that end in .lz4 are LZ4 frames.
     """
+    if framed(path):
+        return _tsv_lz4(spark, path, schema, header=header, columns=columns, comment=comment)
     options = {"sep": "\t", "header": header, "mode": "FAILFAST", "enforceSchema": not header, "nullValue": "", "emptyValue": ""}
     reader = spark.read.options(**options)
     reader = reader.schema(schema) if schema else reader.options(inferSchema=True, enforceSchema=True)
@@ -28,7 +36,34 @@ def tsv(spark: SparkSession, path: Paths, schema: str | None, *, header: bool =
     return df.select(*columns) if columns else df
 
 
+def framed(path: Paths) -> bool:
+    files = [path] if isinstance(path, str) else list(path)
+    ends = {p.rstrip("/*").endswith(".lz4") for p in files}
+    if len(ends) > 1:
+        raise ValueError("LZ4 frames are read apart from other files")
+    return ends == {True}
+
+
+def _tsv_lz4(spark: SparkSession, path: Paths, schema: str | None, *, header: bool, columns: Sequence[str] | None, comment: str | None) -> DataFrame:
+    if schema is None:
+        raise ValueError("types of LZ4 frames are not inferred")
+    rows = read_lz4(spark, path)
+    names = spark.createDataFrame([], schema).columns
+    if header:
+        # In the same pass: the first line of a file is dropped, or an error if it has other names.
+        differs = F.raise_error(F.concat(F.lit("header differs: "), "value")).cast("boolean")
+        rows = rows.filter(F.when(F.col("first"), F.when(F.col("value") == "\t".join(names), False).otherwise(differs)).otherwise(True))
+    if comment:
+        rows = rows.filter(~F.col("value").startswith(comment))
+    # null values as in the reader of plain files; an empty line is no row there either.
+    cells = F.from_csv("value", schema, {"sep": "\t", "mode": "FAILFAST", "nullValue": "", "emptyValue": ""})
+    df = rows.filter("value <> ''").select(cells.alias("row")).select("row.*")
+    return df.select(*columns) if columns else df
+
+
 def lines(spark: SparkSession, path: Paths) -> DataFrame:
+    if framed(path):
+        return read_lz4(spark, path).select("value")
     return spark.read.text(path if isinstance(path, str) else list(path))
 
 
@@ -37,25 +72,27 @@ def m8(spark: SparkSession, path: Paths) -> DataFrame:
     return tsv(spark, path, schemas.M8, header=False).withColumn("qlen", F.element_at(F.split("query", "_"), -1).cast("int"))
 
 
-def fastx(spark: SparkSession, path: Paths, *, multiline: bool = False) -> DataFrame:
+def fastx(spark: SparkSession, path: Paths, *, multiline: bool = False, max_reads: int | None = None) -> DataFrame:
     """id, seq, qual, length of FASTA and FASTQ records; the file's ending tells which.
 
     FASTA records may span lines. A FASTQ record has four lines, which are numbered within their
     file from what each split holds, so that splits are read in parallel and none is held whole.
-    With multiline its sequence and qualities may span lines too; where a record ends then depends
-    on all before it, so the lines of a file pass through one task in order, a record at a time.
+    With multiline its sequence and qualities may span lines too; see fastq for how splits are read in parallel then.
+    max_reads is how many records of four lines are wanted of each FASTQ file; see head for what is read of it then.
     """
+    if max_reads is not None and multiline:
+        raise ValueError("a limit goes by records of four lines")
     files = [path] if isinstance(path, str) else list(path)
     fasta = [p for p in files if not any(p.rstrip("/*").removesuffix(".gz").removesuffix(".bz2").endswith(e) for e in (".fastq", ".fq"))]
     fastq = [p for p in files if p not in fasta]
-    parts = []
+    found = []
     if fasta:
         body = F.split(F.regexp_replace("value", "^>", ""), "\n", 2)
         records = spark.read.option("lineSep", "\n>").text(fasta).filter(F.length(F.trim("value")) > 0).select(body.alias("b"))
-        parts.append(records.select(F.split(F.get("b", F.lit(0)), r"\s+")[0].alias("id"), F.regexp_replace(F.coalesce(F.get("b", F.lit(1)), F.lit("")), r"\s", "").alias("seq"), F.lit(None).cast("string").alias("qual")))
+        found.append(records.select(F.split(F.get("b", F.lit(0)), r"\s+")[0].alias("id"), F.regexp_replace(F.coalesce(F.get("b", F.lit(1)), F.lit("")), r"\s", "").alias("seq"), F.lit(None).cast("string").alias("qual")))
     if fastq:
-        parts.append(fastq_in_order(numbered_lines(spark, fastq)) if multiline else fastq_records(numbered_lines(spark, fastq)))
-    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        found.append(multiline_records(spark.read.text(fastq), kept) if multiline else fastq_records(numbered_lines(spark, fastq) if max_reads is None else head_lines(spark, fastq, 4 * max_reads)))
+    df = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     return df.withColumn("length", F.length("seq"))
 
 
@@ -66,34 +103,6 @@ def fastq_records(lines_: DataFrame) -> DataFrame:
     return records.filter(F.col("head").startswith("@") & F.col("qual").isNotNull()).select(F.regexp_extract("head", r"^@(\S*)", 1).alias("id"), "seq", "qual")
 
 
-def fastq_in_order(lines_: DataFrame) -> DataFrame:
-    """id, seq, qual of records of any number of lines: qualities end where they are as long as the sequence."""
-
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path, head, seq, qual, in_qual = None, None, [], [], False
-        for batch in batches:
-            found = []
-            for p, line in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist(), strict=True):
-                if p != path:
-                    path, head, seq, qual, in_qual = p, None, [], [], False
-                if head is None:
-                    head = line[1:].split()[0] if line.startswith("@") and line[1:].split() else None
-                elif in_qual:
-                    qual.append(line)
-                elif line.startswith("+"):
-                    in_qual = True
-                else:
-                    seq.append(line)
-                if in_qual and sum(map(len, qual)) >= sum(map(len, seq)) and (qual or not any(seq)):
-                    found.append((head, "".join(seq), "".join(qual)))
-                    head, seq, qual, in_qual = None, [], [], False
-            columns = list(zip(*found, strict=True)) or [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["id", "seq", "qual"])
-
-    ordered = lines_.repartition("path").sortWithinPartitions("path", "line_no").select("path", "value")
-    return ordered.mapInArrow(parse, "id string, seq string, qual string")
-
-
 def read_names(records: DataFrame) -> DataFrame:
     """Adds query: the id and the length of the read."""
     return records.withColumn("query", F.concat_ws("_", "id", "length"))
@@ -171,12 +180,13 @@ def orthologs(spark: SparkSession, path: Paths) -> DataFrame:
     All files must have the same names; where none has any (empty files), they are the format's own.
     """
     rows = lines(spark, path).filter(~F.col("value").startswith("##"))
-    heads = [r.value for r in rows.filter(F.col("value").startswith("#")).distinct().limit(2).collect()]
-    if len(heads) > 1:
-        raise ValueError("files of functional annotation differ in their columns")
-    names = heads[0].lstrip("#").split("\t") if heads else schemas.ORTHOLOGS
+    # One line of names is enough to go by, and the reader stops there; other files are held against it as they are read.
+    head = rows.filter(F.col("value").startswith("#")).first()
+    names = head.value.lstrip("#").split("\t") if head else list(schemas.ORTHOLOGS)
     cells = F.split("value", "\t")
-    return rows.filter(~F.col("value").startswith("#")).select(*[F.get(cells, F.lit(i)).alias(c) for i, c in enumerate(names)])
+    differs = F.raise_error(F.lit("files of functional annotation differ in their columns")).cast("boolean")
+    body = rows.filter(F.when(~F.col("value").startswith("#"), True).when(F.ltrim("value", F.lit("#")) == "\t".join(names), False).otherwise(differs))
+    return body.select(*[F.get(cells, F.lit(i)).alias(c) for i, c in enumerate(names)])
 
 
 def id_list(spark: SparkSession, ids: str) -> DataFrame:
@@ -192,9 +202,38 @@ def chunk_plan(spark: SparkSession, path: str) -> DataFrame:
     return plan.select(F.col("key").cast("int").alias("chunk_id"), F.col("value").alias("parts"))
 
 
+#: Bytes of a file that a task holds while it digests it.
+DIGEST_BYTES = 4 << 20
+
+
 def digests(spark: SparkSession, path: Paths) -> DataFrame:
-    """path and md5 of files."""
-    return spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path)).select("path", F.md5("content").alias("md5sum"))
+    """path, size and md5sum of files; each is read as a stream, so none is too large."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                fs, inner = parts.open_path(path)
+                sum_ = hashlib.md5(usedforsecurity=False)
+                with fs.open_input_stream(inner, compression=None) as stream:
+                    while block := stream.read(DIGEST_BYTES):
+                        sum_.update(block)
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([size], pa.int64()), pa.array([sum_.hexdigest()])], ["path", "size", "md5sum"])
+
+    workers_import(spark)
+    files = spark.createDataFrame(parts.globbed(spark, [path] if isinstance(path, str) else list(path)), "path string, size long")
+    return files.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path").mapInArrow(digest, "path string, size long, md5sum string")
+
+
+def checked_digests(spark: SparkSession, catalogue: DataFrame, path: Paths) -> DataFrame:
+    """path, expected, found, equal of the files of a path and of a catalogue (path, md5sum): what only one of them has is not equal.
+
+    Paths are compared by their last parts: a catalogue says where a file lies below some folder.
+    """
+    found = digests(spark, path).select(F.col("path").alias("full"), F.col("md5sum").alias("found"), F.element_at(F.split("path", "/"), -1).alias("name"))
+    listed = catalogue.select("path", F.col("md5sum").alias("expected"), F.element_at(F.split("path", "/"), -1).alias("name"))
+    ends = F.expr("full = path OR endswith(full, concat('/', ltrim('/', path)))")
+    both = listed.alias("l").join(found.alias("f"), (F.col("l.name") == F.col("f.name")) & ends, "full_outer")
+    return both.select(F.coalesce("path", "full").alias("path"), "expected", "found", F.coalesce(F.col("expected") == F.col("found"), F.lit(False)).alias("equal"))
 
 
 def numbered_lines(spark: SparkSession, path: Paths) -> DataFrame:

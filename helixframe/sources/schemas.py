@@ -18,6 +18,11 @@ SAMPLES = "sample_name string, outdir string"
 UCLUST = "type string, cluster_id string, size string, pid string, strand string, skip1 string, skip2 string, skip3 string, gene_id string, centroid_id string"
 GFF = "seqid string, source string, type string, start int, end int, score string, strand string, phase string, attributes string"
 
+PREDICTED_GENES = (
+    "gene", "start", "end", "length", "strand", "gc_content", "genetic_code", "rbs_motif", "marker", "evalue", "bitscore", "uscg", "plasmid_hallmark", "virus_hallmark", "taxid",
+    "taxname", "annotation_conjscan", "annotation_amr", "annotation_accessions", "annotation_description",
+)
+
 ORTHOLOGS = (
     "query", "seed_ortholog", "evalue", "score", "eggNOG_OGs", "max_annot_lvl", "COG_category", "Description", "Preferred_name", "GOs", "EC",
     "KEGG_ko", "KEGG_Pathway", "KEGG_Module", "KEGG_Reaction", "KEGG_rclass", "BRITE", "KEGG_TC", "CAZy", "BiGG_Reaction", "PFAMs",
