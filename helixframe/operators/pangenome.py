@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,12 +81,15 @@ def marker_votes(genes: DataFrame, level: str, *, majority: float = 0.5) -> Data
     return top.select(level, density.alias("marker_density"), F.when(density > majority, F.get("votes", F.lit(0))["marker_id"]).alias("marker_id"))
 
 
-def cluster_info(genes: DataFrame, level: str) -> DataFrame:
-    """One row per cluster that has its centroid among the genes: counts, prevalence, length, marker vote."""
-    mine = genes.filter(F.col("gene_id") == F.col(level)).select(level, *[c for c in genes.columns if c.startswith("centroid_") and c != level])
-    for part in (cluster_prevalence(genes, level), cluster_counts(genes, level), cluster_lengths(genes, level), marker_votes(genes, level)):
-        mine = mine.join(part, level, "left")
-    return mine
+def cluster_info(genes: DataFrame, level: str, *, majority: float = 0.5) -> DataFrame:
+    """One row per cluster that has its centroid among the genes: its coarser centroids, counts, prevalence, length, marker vote. One aggregation has all but the vote."""
+    others = [c for c in genes.columns if c.startswith("centroid_") and c != level]
+    own = F.max(F.when(F.col("gene_id") == F.col(level), F.struct(F.lit(1).alias("_"), *others))).alias("own")
+    genome = genome_of(F.col("gene_id"))
+    counts = genes.groupBy(level).agg(F.countDistinct(genome).alias("genome_counts"), F.count(F.lit(1)).alias("gene_counts"), F.max("gene_length").alias("cluster_length"), own)
+    total = genes.agg(F.countDistinct(genome).alias("genomes"))  # a row
+    found = counts.filter("own IS NOT NULL").crossJoin(F.broadcast(total)).select(level, *[F.col(f"own.{c}").alias(c) for c in others], "genome_counts", (F.col("genome_counts") / F.col("genomes")).alias("genome_prevalence"), "gene_counts", "cluster_length")
+    return found.join(marker_votes(genes, level, majority=majority), level, "left")
 
 
 def cluster_levels(genes: DataFrame, levels: Sequence[str], *, majority: float = 0.5) -> DataFrame:
@@ -118,11 +122,11 @@ def lift_to_genome(genes: DataFrame, level: str, genome: str) -> DataFrame:
 
 
 def annotation_flags(genes: DataFrame, annotations: dict[str, DataFrame]) -> DataFrame:
-    """Adds gene_is_<name>, 1 where the annotation (gene_id) has the gene."""
-    for name, hits in annotations.items():
-        seen = hits.select("gene_id").distinct().withColumn("seen", F.lit(1))
-        genes = genes.join(seen, "gene_id", "left").withColumn(f"gene_is_{name}", F.coalesce("seen", F.lit(0))).drop("seen")
-    return genes
+    """Adds gene_is_<name>, 1 where the annotation (gene_id) has the gene. All annotations are brought together by gene once."""
+    tagged = [hits.select("gene_id", F.lit(name).alias("name")) for name, hits in annotations.items()]
+    each = [F.max((F.col("name") == name).cast("int")).alias(f"gene_is_{name}") for name in annotations]
+    flags = reduce(DataFrame.unionByName, tagged).groupBy("gene_id").agg(*each)
+    return genes.join(flags, "gene_id", "left").withColumns({f"gene_is_{name}": F.coalesce(f"gene_is_{name}", F.lit(0)) for name in annotations})
 
 
 def annotation_ratios(flagged: DataFrame, level: str, names: list[str]) -> DataFrame:

@@ -32,8 +32,3 @@ def last_per_key(df: DataFrame, key: list[str], ordinal: str) -> DataFrame:
 def numbered(df: DataFrame, by: list[str], order: list) -> DataFrame:
     """Serial number from 1 within each group."""
     return df.withColumn("serial", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-
-
-def head_reads(reads: DataFrame, ordinal: str, max_reads: int | None) -> DataFrame:
-    """The first records of each file, by ordinal."""
-    return reads if max_reads is None else reads.filter(F.col(ordinal) < max_reads)

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.alleles import BASES, SNP_TYPES, call_alleles, count_of
 from .pileup import COUNTS, counts
@@ -119,7 +118,3 @@ def matrix(long: DataFrame, key: Sequence[str], sample: str, value: str, names:
     numbers = long.sparkSession.createDataFrame([(n, k) for k, n in enumerate(names)], "sample_name string, number int")
     rows = sample_arrays(long.withColumn("sample_name", F.col(sample)), key, value, numbers, missing)
     return rows.select(*key, *[F.get("values", F.lit(k)).alias(n) for k, n in enumerate(names)])
-
-
-def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))

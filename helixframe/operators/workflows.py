@@ -1,7 +1,8 @@
 """The workflows, from tables to tables, with the usual thresholds as defaults.
 
 Every step is an operator of this package; samples and species are columns, so one call serves all
-of them. Results are lazy DataFrames by name.
+of them. Results are DataFrames by name, lazy but for what several steps need (hits of reads on
+markers, places of chunks), which is written to scratch as the workflow is called.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import pileup, readqc
+from ..operators import coverage, pileup, readqc
 from ..sources.bam import read_bam, write_bam
 from ..sources.scratch import scratch
 from . import bindings
@@ -70,6 +70,13 @@ def reference_pileup(spark, sf_dir):
     return pileup.with_reference(counted, bindings.genome(spark), block=64).withColumn("ref_pos", F.col("ref_pos").cast("long"))
 
 
+@query(SINGLE + " " + piled("single"))
+def block_pileup(spark, sf_dir):
+    """The same counts, made in blocks of sites before anything is shuffled."""
+    counted = coverage.counted_sites(single(spark, sf_dir), base_quality=20)
+    return pileup.with_reference(counted, bindings.genome(spark), block=64)
+
+
 @query(SINGLE + f" SELECT * FROM ({piled('single')}) p WHERE ref_id = 'k2' AND ref_pos > 100 AND ref_pos <= 160")
 def region_pileup(spark, sf_dir):
     """A slice of one contig, from 100 to 160, 0-based and half open."""

@@ -113,16 +113,29 @@ def write_gene_info(spark, sf_dir):
     return lines.join(wide, "path").select(gene.alias("gene_id"), (F.col("line_no") - 1 + F.col("before")).alias("line_no"))
 
 
-@query("SELECT concat('s', l_suppkey % 4) AS sample_name, l_partkey AS site, CAST(sum(l_quantity) AS BIGINT) AS depth FROM lineitem GROUP BY 1, 2")
+SAMPLE_TABLES = "SELECT concat('s', l_suppkey % 4) AS sample_name, l_partkey AS site, CAST(sum(l_quantity) AS BIGINT) AS depth FROM lineitem GROUP BY 1, 2"
+
+
+@query(SAMPLE_TABLES)
 def read_samples(spark, sf_dir):
     """The tables of all samples that a manifest lists, in one scan."""
+    return sample_tables(spark, sf_dir, "summary", "none")
+
+
+@query(SAMPLE_TABLES)
+def read_samples_lz4(spark, sf_dir):
+    """The same from LZ4 frames."""
+    return sample_tables(spark, sf_dir, "summary.lz4", "lz4")
+
+
+def sample_tables(spark, sf_dir, file: str, compression: str) -> DataFrame:
     base = scratch(spark)
     rows = table(spark, sf_dir, "lineitem").groupBy((F.col("l_suppkey") % 4).alias("k"), F.col("l_partkey").alias("site")).agg(F.sum("l_quantity").cast("long").alias("depth"))
     for k in range(4):
-        writers.write_tsv(rows.filter(F.col("k") == k).select("site", "depth"), f"{base}/s{k}/summary")
+        writers.write_tsv(rows.filter(F.col("k") == k).select("site", "depth"), f"{base}/s{k}/{file}", compression=compression)
     manifest = scratch(spark)
     spark.createDataFrame([(f"s{k}", base) for k in range(4)], "sample_name string, outdir string").write.options(sep="\t", header=True).csv(manifest)
-    return readers.samples(spark, manifest, "summary", "site long, depth long").select("sample_name", "site", "depth")
+    return readers.samples(spark, manifest, file, "site long, depth long").select("sample_name", "site", "depth")
 
 
 @query("SELECT concat('sp', n_nationkey) AS species_id FROM nation WHERE n_nationkey % 4 = 1 OR n_nationkey IN (2, 6)")

@@ -474,6 +474,7 @@ def register(spark: SparkSession) -> None:
 def read_bam(spark: SparkSession, path: str | Sequence[str], *, columns: Sequence[str] | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Alignments of BAM files, or of folders of them; of the columns named alone, if some are.
 
+    row_no is the place within a file: take a sample's reads from one file where their order counts.
     Filter by ref_id, and by reference_start < b and reference_end > a for a range, and only the parts
     of indexed files that may hold such records are opened.
     """

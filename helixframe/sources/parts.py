@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow.fs as pafs
@@ -23,15 +24,16 @@ def is_file(fs: pafs.FileSystem, path: str) -> bool:
 
 def listed(paths: Sequence[str], *ends: str) -> list[str]:
     """Files of paths, folders among them: of those the files with such an ending."""
-    found = []
-    for path in paths:
+
+    def files(path: str) -> list[str]:
         fs, inner = open_path(path)
-        if fs.get_file_info(inner).type == pafs.FileType.Directory:
-            root = path.removesuffix("/")
-            found += sorted(f"{root}/{f.base_name}" for f in fs.get_file_info(pafs.FileSelector(inner)) if f.base_name.endswith(ends) and not f.base_name.startswith(("_", ".")))
-        else:
-            found.append(path)
-    return found
+        if fs.get_file_info(inner).type != pafs.FileType.Directory:
+            return [path]
+        root = path.removesuffix("/")
+        return sorted(f"{root}/{f.base_name}" for f in fs.get_file_info(pafs.FileSelector(inner)) if f.base_name.endswith(ends) and not f.base_name.startswith(("_", ".")))
+
+    with ThreadPoolExecutor(16) as pool:
+        return [f for some in pool.map(files, paths) for f in some]
 
 
 def globbed(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, int]]:

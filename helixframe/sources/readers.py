@@ -44,7 +44,8 @@ def framed(path: Paths) -> bool:
     return ends == {True}
 
 
-def _tsv_lz4(spark: SparkSession, path: Paths, schema: str | None, *, header: bool, columns: Sequence[str] | None, comment: str | None) -> DataFrame:
+def _tsv_lz4(spark: SparkSession, path: Paths, schema: str | None, *, header: bool = True, columns: Sequence[str] | None = None, comment: str | None = None, file: str | None = None) -> DataFrame:
+    """The rows of LZ4 frames; file names a column for the path of the file that a row is from."""
     if schema is None:
         raise ValueError("types of LZ4 frames are not inferred")
     rows = read_lz4(spark, path)
@@ -57,7 +58,7 @@ def _tsv_lz4(spark: SparkSession, path: Paths, schema: str | None, *, header: bo
         rows = rows.filter(~F.col("value").startswith(comment))
     # null values as in the reader of plain files; an empty line is no row there either.
     cells = F.from_csv("value", schema, {"sep": "\t", "mode": "FAILFAST", "nullValue": "", "emptyValue": ""})
-    df = rows.filter("value <> ''").select(cells.alias("row")).select("row.*")
+    df = rows.filter("value <> ''").select(cells.alias("row"), *([F.col("path").alias(file)] if file else [])).select("row.*", *([file] if file else []))
     return df.select(*columns) if columns else df
 
 
@@ -145,8 +146,10 @@ def samples(spark: SparkSession, manifest: Paths, file: str, schema: str) -> Dat
     # The manifest's columns go by position: the name of the second varies.
     listed = spark.read.options(sep="\t", header=True, enforceSchema=True).schema(schemas.SAMPLES).csv(manifest if isinstance(manifest, str) else list(manifest))
     paths = [f"{r.outdir}/{r.sample_name}/{file}" for r in listed.toLocalIterator()]  # one short line a sample
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+)/" + file.replace(".", r"\.") + "(?:/[^/]*)?$", 1)
-    return tsv(spark, paths, schema).withColumn("sample_name", name)
+    name = lambda path: F.regexp_extract(path, r"([^/]+)/" + file.replace(".", r"\.") + "(?:/[^/]*)?$", 1)
+    if framed(paths):
+        return _tsv_lz4(spark, paths, schema, file="_file").withColumn("sample_name", name(F.col("_file"))).drop("_file")
+    return tsv(spark, paths, schema).withColumn("sample_name", name(F.input_file_name()))
 
 
 def contig_of_gene(gene: Column, provirus: bool = False) -> Column:
@@ -249,9 +252,3 @@ def numbered_lines(spark: SparkSession, path: Paths) -> DataFrame:
     before = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("path", "split", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
     return rows.join(offsets, ["path", "split"]).select("path", (F.col("id") + F.col("shift")).alias("line_no"), "value")
-
-
-def carried_forward(df: DataFrame, column: str, by: list[str], ordinal: str) -> DataFrame:
-    """A column filled with its last value before."""
-    w = Window.partitionBy(*by).orderBy(ordinal).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(column, F.last(column, ignorenulls=True).over(w))

@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
+from helixframe.sources.scratch import clear_scratch  # noqa: E402
+
 os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH", "")]))
 
 
@@ -22,4 +24,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()

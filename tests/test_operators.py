@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from helixframe.functions import alleles, sequences
 from helixframe.operators import chunks, cnv, intervals, pangenome, pileup, readqc, selectors, snv, species
 from helixframe.sources import readers, writers
+from helixframe.streaming import incremental
 
 
 def site_rows(spark, *counts):
@@ -309,3 +310,20 @@ def test_mates_settle_where_they_overlap(spark):
 def test_frequencies_of_locus_types(spark):
     rows = spark.createDataFrame([(1, "CDS"), (2, "IGR"), (3, "tRNA")], "ref_pos int, locus_type string")
     assert {r.ref_pos for r in snv.of_locus(rows, locus_types=("CDS", "tRNA")).collect()} == {1, 3} and snv.of_locus(rows).count() == 3
+
+
+def test_samples_that_arrive_one_by_one(spark, tmp_path):
+    """Counts pooled over a stream of samples end where those of all samples at once are."""
+    rows = spark.range(400).select(
+        F.concat(F.lit("s"), F.col("id") % 5).alias("sample_name"), F.lit("sp").alias("species_id"), F.lit("c").alias("ref_id"), F.floor(F.col("id") / 10).alias("ref_pos"), F.lit("A").alias("ref_allele"),
+        (F.col("id") % 7).alias("count_a"), (F.col("id") % 3).alias("count_c"), F.lit(0).cast("long").alias("count_g"), F.lit(1).cast("long").alias("count_t"), F.lit(5).cast("long").alias("samples_count"),
+    )
+    for k in range(5):
+        rows.filter(F.col("sample_name") == f"s{k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    running = incremental.pooled_stream(stream).writeStream.outputMode("complete").format("memory").queryName("pooled_sites").option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).start()
+    running.awaitTermination()
+    want = snv.pooled(rows).drop("samples_count")
+    found = spark.table("pooled_sites").select(*[F.col(c).cast(t) for c, t in want.dtypes])
+    assert found.count() == want.count() > 10
+    assert found.exceptAll(want).isEmpty()
