@@ -21,6 +21,9 @@ from .pileup import COUNTS
 #: Sites of a block, and blocks that a task holds before it hands them on (32 KB each).
 BLOCK, HELD = 2048, 1024
 
+#: Columns of a read that its bases at sites come from, beside sample and species.
+OBSERVED = ("ref_id", "aligned_pairs", "query_sequence", "query_qualities")
+
 _CODE = np.full(256, -1, np.int8)
 _CODE[np.frombuffer("".join(BASES).encode(), np.uint8)] = np.arange(len(BASES))
 
