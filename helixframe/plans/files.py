@@ -197,10 +197,11 @@ def read_fastq_lines(spark, sf_dir):
 
 @query(f"SELECT id FROM (SELECT id, row_number() OVER (ORDER BY CAST(substr(id, 2) AS BIGINT)) AS n FROM ({SEQ}) s) x WHERE n <= 50")
 def head_reads(spark, sf_dir):
-    """The first 50 records of a file, in its own order: what lies behind them is not read."""
-    ordered = seqs(spark, sf_dir).withColumn("n", F.substring("id", 2, 20).cast("long")).coalesce(1).sortWithinPartitions("n")
-    path = text(ordered, "concat('@', id)", "seq", "'+'", "seq", name=".fastq")
-    return readers.fastx(spark, path, max_reads=50).select("id")
+    """The first 50 records of files that are in order one after another: of each its first 50 at most are read, and of those the first."""
+    number = lambda c: F.substring(c, 2, 20).cast("long")
+    ordered = seqs(spark, sf_dir).withColumn("n", number("id"))
+    path = text(ordered, "concat('@', id)", "seq", "'+'", "seq", name=".fastq", order="n")
+    return readers.fastx(spark, path, max_reads=50).select("id").orderBy(number("id")).limit(50)
 
 
 # ---------------------------------------------------------------- features, hits, clusters

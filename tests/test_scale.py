@@ -29,3 +29,12 @@ def test_single_reads_sort_once_and_shuffle_what_is_wanted(spark):
 
 def test_pairs_and_last_pairs_are_dealt_once(spark):
     assert plan(readqc.last_pairs(readqc.proper_pairs(bindings.reads(spark, SF)))).count("Exchange") == 2
+
+
+def test_head_reads_writes_no_file_in_one_task(spark, monkeypatch):
+    from helixframe.plans import files
+
+    found, kept = [], files.text
+    monkeypatch.setattr(files, "text", lambda rows, *lines, **how: found.append((plan(rows), how)) or kept(rows, *lines, **how))
+    assert [r.id for r in files.head_reads(spark, SF).collect()] == [f"g{k}" for k in sorted(r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect())[:50]]
+    assert "Coalesce 1" not in found[0][0] and found[0][1]["order"] == "n"
