@@ -38,3 +38,17 @@ def test_head_reads_writes_no_file_in_one_task(spark, monkeypatch):
     monkeypatch.setattr(files, "text", lambda rows, *lines, **how: found.append((plan(rows), how)) or kept(rows, *lines, **how))
     assert [r.id for r in files.head_reads(spark, SF).collect()] == [f"g{k}" for k in sorted(r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect())[:50]]
     assert "Coalesce 1" not in found[0][0] and found[0][1]["order"] == "n"
+
+
+def test_means_are_added_in_file_order(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from helixframe.plans import workflows
+
+    values = [0.07, 0.01, 0.05, 0.04, 0.1, 0.03, 0.06] * 3
+    spark.createDataFrame([(k, 1, v) for k, v in enumerate(values)], "k int, g int, v double").coalesce(1).write.parquet(str(tmp_path / "rows"))
+    total = 0.0
+    for v in values:
+        total += v
+    rows = spark.read.option("maxPartitionBytes", "64").parquet(str(tmp_path / "rows"))
+    assert workflows.in_file_order(rows, "v", F.col("g")).first().mean == total / len(values)
