@@ -52,3 +52,14 @@ def test_means_are_added_in_file_order(spark, tmp_path):
         total += v
     rows = spark.read.option("maxPartitionBytes", "64").parquet(str(tmp_path / "rows"))
     assert workflows.in_file_order(rows, "v", F.col("g")).first().mean == total / len(values)
+
+
+def test_features_and_sequences_are_dealt(spark):
+    from helixframe.operators import intervals
+
+    features = bindings.bind(spark, SF, "v_feat")
+    sites = spark.range(50).selectExpr("id % 20 AS contig_id", "id + 1 AS ref_pos")
+    found = plan(intervals.annotate_sites(intervals.sites_in_genes(sites, features), features.selectExpr("gene_id", "repeat('ACGT', 150) AS sequence")))
+    assert found.count("SortMergeJoin [gene_id") == 1 and "BroadcastHashJoin [gene_id" not in found
+    # Sites meet features twice: once for those in a CDS, once for the others.
+    assert sum("SortMergeJoin [contig_id" in x and "bin#" in x for x in found.split("\n")) == 2
