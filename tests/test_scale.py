@@ -15,6 +15,18 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def dealt(df) -> list[str]:
+    """Names of the columns of each shuffle."""
+    found, seen = [], [df._jdf.queryExecution().executedPlan()]
+    while seen:
+        at = seen.pop()
+        if at.nodeName() == "Exchange":
+            found.append(at.output().mkString(" "))
+        below = at.children()
+        seen += [at.executedPlan()] if at.nodeName() == "AdaptiveSparkPlan" else [below.apply(k) for k in range(below.size())]
+    return found
+
+
 def test_reads_are_made_without_gathering_columns(spark):
     found = plan(bindings.reads(spark, SF))
     assert "collect_list" not in found and found.count("Exchange") == 1
@@ -54,6 +66,16 @@ def test_means_are_added_in_file_order(spark, tmp_path):
     assert workflows.in_file_order(rows, "v", F.col("g")).first().mean == total / len(values)
 
 
+def test_reads_travel_without_structs_of_pairs(spark):
+    columns = ["ref_id", "aligned_pairs", "query_sequence", "query_qualities"]
+    rows = spark.createDataFrame([("s", "q", True, 1, "k", [(0, 7), (1, None), (None, 8), None, (2, 9)], "ACG", [30] * 3, 7), ("s", "q", True, 0, "k", [], "A", [1], 3), ("s", "p", True, 2, "k", None, "A", None, None)], "sample_name string, query_name string, is_read1 boolean, row_no int, ref_id string, aligned_pairs array<struct<qpos:int,rpos:int>>, query_sequence string, query_qualities array<int>, reference_start int")
+    found = readqc.single_reads(rows, analysis_ready=True, columns=columns)
+    assert dealt(found) and not any("aligned_pairs" in x for x in dealt(found))
+    assert found.select(*columns).schema["aligned_pairs"].dataType.simpleString() == rows.schema["aligned_pairs"].dataType.simpleString()
+    got = {r.query_name: r.aligned_pairs for r in found.collect()}
+    assert got["p"] is None and [tuple(p) for p in got["q"]] == [(0, 7), (1, None), (None, 8), (None, None), (2, 9)]
+
+
 def test_features_and_sequences_are_dealt(spark):
     from helixframe.operators import intervals
 
