@@ -85,3 +85,11 @@ def test_features_and_sequences_are_dealt(spark):
     assert found.count("SortMergeJoin [gene_id") == 1 and "BroadcastHashJoin [gene_id" not in found
     # Sites meet features twice: once for those in a CDS, once for the others.
     assert sum("SortMergeJoin [contig_id" in x and "bin#" in x for x in found.split("\n")) == 2
+
+
+def test_merged_samples_are_counted_once(spark):
+    from helixframe.plans import workflows
+
+    # Sites come from a file for both results, so neither counts reads into blocks again.
+    found = workflows.snps(spark, SF, stored=True)
+    assert all("MapInArrow" not in plan(found[name]) for name in ("pileup", "summary"))
