@@ -76,6 +76,22 @@ def test_reads_travel_without_structs_of_pairs(spark):
     assert got["p"] is None and [tuple(p) for p in got["q"]] == [(0, 7), (1, None), (None, 8), (None, None), (2, 9)]
 
 
+@pytest.fixture
+def no_small_tables(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_reads_are_chosen_where_they_are(spark, no_small_tables):
+    from helixframe.operators import workflows
+
+    reads = bindings.reads(spark, SF)
+    found = workflows.chosen(reads, reads.groupBy("sample_name", "species_id").count(), ["count"], [10], None)
+    assert "SortMergeJoin" not in plan(found) and "BroadcastHashJoin" in plan(found)
+
+
 def test_features_and_sequences_are_dealt(spark):
     from helixframe.operators import intervals
 
