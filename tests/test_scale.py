@@ -76,6 +76,12 @@ def test_reads_travel_without_structs_of_pairs(spark):
     assert got["p"] is None and [tuple(p) for p in got["q"]] == [(0, 7), (1, None), (None, 8), (None, None), (2, 9)]
 
 
+def test_pairs_travel_without_structs_and_are_worked_out_once(spark):
+    found = readqc.proper_pairs(bindings.reads(spark, SF))
+    assert any("_qpos" in x for x in dealt(found)) and not any("aligned_pairs" in x for x in dealt(found))
+    assert plan(found).count("Generate inline") == 4
+
+
 @pytest.fixture
 def no_small_tables(spark):
     kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
