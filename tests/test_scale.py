@@ -109,6 +109,12 @@ def test_features_and_sequences_are_dealt(spark):
     assert sum("SortMergeJoin [contig_id" in x and "bin#" in x for x in found.split("\n")) == 2
 
 
+def test_genes_are_counted_before_they_meet_the_catalogue(spark, no_small_tables):
+    from helixframe.plans import workflows
+
+    assert not any("query_sequence" in x for x in dealt(workflows.gene_result(spark, SF)["genes"]))
+
+
 def test_merged_samples_are_counted_once(spark):
     from helixframe.plans import workflows
 
