@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
+from ..functions.alignments import SLIM, full_pairs, slim
 from . import bgzf, parts
 from .session import workers_import
 
@@ -43,6 +44,8 @@ def _schema() -> T.StructType:
 
 #: The columns of an alignment. row_no is its place in the file.
 SCHEMA = _schema()
+#: Those that a record is made from.
+WRITTEN = ("query_name", "ref_id", *FLAGS, "mapping_quality", "template_length", "reference_start", "reference_end", "query_sequence", "query_qualities", "nm", "aligned_pairs", "reference_sequence")
 _ARROW = {T.StringType: pa.string(), T.LongType: pa.int64(), T.BooleanType: pa.bool_(), T.IntegerType: pa.int32()}
 
 #: Compressed bytes of a task where an index allows it, and records of a batch.
@@ -486,11 +489,13 @@ def read_bam(spark: SparkSession, path: str | Sequence[str], *, columns: Sequenc
 def write_bam(alignments: DataFrame, path: str, contigs: Sequence[tuple[str, int]], *, mode: str = "append") -> None:
     """A folder of sorted, indexed BAM files of alignments (columns as they are read; flags that lack are off) on contigs (name, length).
 
-    Rows are dealt by ranges of contig and place, so that each file holds a stretch of the genome.
+    Rows are dealt by ranges of contig and place, so that each file holds a stretch of the genome; what no record holds stays behind.
     Alignments on no contig of the list come last.
     """
     register(alignments.sparkSession)
     place = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for k, (n, _) in enumerate(contigs) for x in (n, k)]), F.coalesce("ref_id", F.lit(""))), F.lit(len(contigs))) if contigs else F.lit(0)
     keys = ["_place", "reference_start", "query_name"]
-    ordered = alignments.withColumn("_place", place).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_place")
+    some = [c for c in WRITTEN if c in alignments.columns]
+    travel = slim(alignments).select(*SLIM, *[c for c in some if c != "aligned_pairs"]) if "aligned_pairs" in some else alignments.select(*some)
+    ordered = travel.withColumn("_place", place).repartitionByRange(*keys).sortWithinPartitions(*keys).select(*[full_pairs().alias(c) if c == "aligned_pairs" else c for c in some])
     ordered.write.format("bam").mode(mode).option("contigs", json.dumps([list(c) for c in contigs])).save(path)

@@ -121,3 +121,20 @@ def test_merged_samples_are_counted_once(spark):
     # Sites come from a file for both results, so neither counts reads into blocks again.
     found = workflows.snps(spark, SF, stored=True)
     assert all("MapInArrow" not in plan(found[name]) for name in ("pileup", "summary"))
+
+
+def test_alignments_are_dealt_to_files_without_structs_of_pairs(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from helixframe.sources import bam
+
+    written, kept = [], DataFrame.write
+    monkeypatch.setattr(DataFrame, "write", property(lambda df: written.append(df) or kept.fget(df)))
+    reads = bindings.reads(spark, SF).limit(200)
+    bam.write_bam(reads, str(tmp_path / "bam"), [(f"k{c}", bindings.CONTIG_LENGTH) for c in range(bindings.CONTIGS)])
+    monkeypatch.undo()
+    columns = dealt(written[0])[0]
+    assert "_rpos" in columns and not any(c in columns for c in ("aligned_pairs", "sample_name", "species_id", "row_no"))
+    keys = ["query_name", "ref_id", "is_reverse"]
+    shown = lambda df: sorted(df.selectExpr(*keys, "cast(aligned_pairs AS string) AS p").collect())
+    assert len(shown(reads)) == 200 and shown(bam.read_bam(spark, str(tmp_path / "bam"))) == shown(reads)
