@@ -2,13 +2,12 @@
 
 With an index (.bai beside the file) a file is cut into tasks at places where the index says that a
 record begins, and conditions on the contig and the place choose the parts to be opened at all. Without
-one a file is one task, which holds a block at a time. Only the columns of the schema asked for are decoded.
+one a file is one task, which holds half a megabyte of records at a time, or one record. Only the columns of the schema asked for are decoded.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import struct
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -21,39 +20,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
-from ..functions.alignments import SLIM, full_pairs, slim
+from ..functions.alignments import SLIM, slim
 from . import bgzf, parts
+from .bam_records import FLAGS, HEAD, SCHEMA, batches, bin_of, encoded, numbers, portions
 from .session import workers_import
 
-# Bits of the flag, codes of bases and operations, sizes of tag values.
-FLAGS = {"is_paired": 1, "is_proper_pair": 2, "is_unmapped": 4, "is_reverse": 16, "is_read1": 64, "is_read2": 128, "is_secondary": 256, "is_qcfail": 512, "is_duplicate": 1024, "is_supplementary": 2048}
-BASES, OPERATIONS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
-TAG_SIZES = {"A": 1, "c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
-TAG_FORMATS = {"c": "<b", "C": "<B", "s": "<h", "S": "<H", "i": "<i", "I": "<I"}
-
-
-def _schema() -> T.StructType:
-    text = {"path", "query_name", "ref_id", "query_sequence", "reference_sequence"}
-    kinds: dict[str, T.DataType] = {"row_no": T.LongType(), "query_qualities": T.ArrayType(T.IntegerType()), "aligned_pairs": T.ArrayType(T.StructType([T.StructField("qpos", T.IntegerType()), T.StructField("rpos", T.IntegerType())]))}
-    names = [
-        "path", "row_no", "query_name", "ref_id", *FLAGS, "mapping_quality", "template_length", "reference_start", "reference_end", "query_length", "query_alignment_start",
-        "query_alignment_end", "query_sequence", "query_qualities", "nm", "aligned_pairs", "reference_sequence",
-    ]
-    return T.StructType([T.StructField(n, kinds.get(n, T.StringType() if n in text else T.BooleanType() if n in FLAGS else T.IntegerType())) for n in names])
-
-
-#: The columns of an alignment. row_no is its place in the file.
-SCHEMA = _schema()
 #: Those that a record is made from.
 WRITTEN = ("query_name", "ref_id", *FLAGS, "mapping_quality", "template_length", "reference_start", "reference_end", "query_sequence", "query_qualities", "nm", "aligned_pairs", "reference_sequence")
-_ARROW = {T.StringType: pa.string(), T.LongType: pa.int64(), T.BooleanType: pa.bool_(), T.IntegerType: pa.int32()}
-
-#: Compressed bytes of a task where an index allows it, and records of a batch.
-SPLIT_BYTES, BATCH = 64 << 20, 1024
-_HEAD = struct.Struct("<iiBBHHHiiii")
-_LETTERS = np.frombuffer(BASES.encode(), np.uint8)
-_CODES = np.full(256, 15, np.uint8)
-_CODES[_LETTERS] = np.arange(16)
+
+#: Compressed bytes of a task where an index allows it, and plain bytes that are decoded at once.
+SPLIT_BYTES, CHUNK = 64 << 20, 1 << 19
 #: A bin that holds no records but numbers about the contig.
 _NO_BIN = 37450
 
@@ -70,137 +46,9 @@ def header(reader: bgzf.Reader) -> list[tuple[str, int]]:
     return contigs
 
 
-# ---------------------------------------------------------------- records
-
-
-def tags(data: bytes, at: int) -> dict[str, object]:
-    """NM, MD and CG of a record, where it has them."""
-    found: dict[str, object] = {}
-    while at + 3 <= len(data):
-        name, kind = data[at : at + 2].decode(), chr(data[at + 2])
-        at += 3
-        if kind in "ZH":
-            end = data.index(0, at)
-            if name == "MD":
-                found[name] = data[at:end].decode()
-            at = end + 1
-        elif kind == "B":
-            of, n = chr(data[at]), struct.unpack_from("<i", data, at + 1)[0]
-            if name == "CG":
-                found[name] = struct.unpack_from(f"<{n}I", data, at + 5)
-            at += 5 + n * TAG_SIZES[of]
-        else:
-            if name == "NM":
-                found[name] = struct.unpack_from(TAG_FORMATS[kind], data, at)[0]
-            at += TAG_SIZES[kind]
-    return found
-
-
-def paired_places(cigar: Sequence[tuple[int, str]], start: int) -> tuple[np.ndarray, np.ndarray]:
-    """Place in the read and on the contig of every column of an alignment, -1 for a gap."""
-    q, r, qs, rs = 0, start, [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
-    for n, op in cigar:
-        in_query, in_ref = op in "M=XIS", op in "M=XDN"
-        if in_query or in_ref:
-            qs.append(np.arange(q, q + n, dtype=np.int32) if in_query else np.full(n, -1, np.int32))
-            rs.append(np.arange(r, r + n, dtype=np.int32) if in_ref else np.full(n, -1, np.int32))
-        q, r = q + n * in_query, r + n * in_ref
-    return np.concatenate(qs), np.concatenate(rs)
-
-
-def reference_of(cigar: Sequence[tuple[int, str]], sequence: str, differences: str) -> str:
-    """The bases of the contig under an alignment, from the read and what differs (MD); N where the alignment skips bases."""
-    aligned, q = [], 0
-    for n, op in cigar:
-        if op in "M=X":
-            aligned.append(sequence[q : q + n])
-        q += n * (op in "M=XIS")
-    read, at, out = "".join(aligned), 0, []
-    for same, gone, other in re.findall(r"(\d+)|\^([A-Za-z]+)|([A-Za-z])", differences):
-        if same:
-            out.append(read[at : at + int(same)])
-            at += int(same)
-        else:
-            out.append(gone or other)
-            at += len(other)
-    bases, at, out = "".join(out).upper(), 0, []
-    for n, op in cigar:
-        if op in "M=XD":
-            out.append(bases[at : at + n])
-            at += n
-        elif op == "N":
-            out.append("N" * n)
-    return "".join(out)
-
-
-def decoded(data: bytes, contigs: Sequence[str], wanted: set[str]) -> dict:
-    """The columns wanted of a record."""
-    ref, pos, l_name, mapq, _, n_cigar, flag, l_seq, _, _, tlen = _HEAD.unpack_from(data)
-    at = _HEAD.size
-    name = data[at : at + l_name - 1]
-    at += l_name
-    raw = struct.unpack_from(f"<{n_cigar}I", data, at)
-    at += 4 * n_cigar
-    seq_at, qual_at = at, at + (l_seq + 1) // 2
-    row: dict = {k: bool(flag & v) for k, v in FLAGS.items() if k in wanted}
-    found = tags(data, qual_at + l_seq) if wanted & {"nm", "reference_sequence"} or n_cigar == 2 else {}
-    cigar = [(c >> 4, OPERATIONS[c & 15]) for c in found.get("CG", raw)]  # type: ignore[union-attr]
-    mapped = bool(cigar) and not flag & 4 and ref >= 0
-    spans = sum(n for n, op in cigar if op in "M=XDN")
-    clip = [n for n, op in cigar[:2] if op == "S"][:1] if cigar and cigar[0][1] in "SH" else []
-    tail = [n for n, op in cigar[-2:] if op == "S"][-1:] if len(cigar) > 1 and cigar[-1][1] in "SH" else []
-    row |= {
-        "query_name": name.decode(), "ref_id": contigs[ref] if ref >= 0 else None, "mapping_quality": mapq, "template_length": tlen, "reference_start": pos if pos >= 0 else None,
-        "reference_end": pos + spans if mapped else None, "query_length": l_seq, "query_alignment_start": sum(clip), "query_alignment_end": l_seq - sum(tail), "nm": found.get("NM"),
-    }
-    sequence = None
-    if wanted & {"query_sequence", "reference_sequence"} and l_seq:
-        pairs = np.frombuffer(data, np.uint8, (l_seq + 1) // 2, seq_at)
-        sequence = _LETTERS[np.stack([pairs >> 4, pairs & 15], axis=1).ravel()[:l_seq]].tobytes().decode()
-    if "query_sequence" in wanted:
-        row["query_sequence"] = sequence
-    if "query_qualities" in wanted:
-        quality = np.frombuffer(data, np.uint8, l_seq, qual_at)
-        row["query_qualities"] = None if l_seq == 0 or quality[0] == 255 else quality.astype(np.int32)
-    if "aligned_pairs" in wanted:
-        row["aligned_pairs"] = paired_places(cigar, pos) if mapped else None
-    if "reference_sequence" in wanted:
-        row["reference_sequence"] = reference_of(cigar, sequence or "", str(found["MD"])) if mapped and "MD" in found else None
-    return row
-
-
-def as_list(values: list, make) -> pa.Array:
-    """A list array of values (None: null), whose items make builds from all of them."""
-    lengths = np.array([0 if v is None else len(v[0]) if isinstance(v, tuple) else len(v) for v in values])
-    offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
-    return pa.ListArray.from_arrays(offsets, make([v for v in values if v is not None]), mask=pa.array([v is None for v in values]))
-
-
-def batch_of(rows: list[dict], names: Sequence[str]) -> pa.RecordBatch:
-    def column(name: str) -> pa.Array:
-        values = [r.get(name) for r in rows]
-        if name == "query_qualities":
-            return as_list(values, lambda some: pa.array(np.concatenate([np.zeros(0, np.int32), *some]), pa.int32()))
-        if name == "aligned_pairs":
-            side = lambda some, k: (lambda x: pa.array(x, pa.int32(), mask=x < 0))(np.concatenate([np.zeros(0, np.int32), *[v[k] for v in some]]))
-            return as_list(values, lambda some: pa.StructArray.from_arrays([side(some, 0), side(some, 1)], ["qpos", "rpos"]))
-        return pa.array(values, _ARROW[type(SCHEMA[name].dataType)])
-
-    return pa.RecordBatch.from_arrays([column(n) for n in names], list(names))
-
-
 # ---------------------------------------------------------------- index
 
 
-def bin_of(begin: int, end: int) -> int:
-    """The smallest bin that holds a half-open range."""
-    end -= 1
-    for shift, first in ((14, 4681), (17, 585), (20, 73), (23, 9), (26, 1)):
-        if begin >> shift == end >> shift:
-            return first + (begin >> shift)
-    return 0
-
-
 def bins_of(begin: int, end: int) -> set[int]:
     """All bins whose records may overlap a half-open range."""
     end = max(end, begin + 1) - 1
@@ -288,6 +136,57 @@ class Piece(InputPartition):
     end: int
 
 
+def records(window: parts.Window, begin: int, end: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Plain bytes that hold whole records, where in them these begin, and their virtual offsets: of all records that begin in a range of those."""
+    held, marks = bytearray(), []  # marks: where in held the bytes of a block begin, and their virtual offset
+
+    def whole() -> tuple[list[int], int]:
+        """Where the whole records in held begin, and where they end."""
+        at, n, found, number = 0, len(held), [], struct.Struct("<i").unpack_from
+        while at + 4 <= n:
+            (size,) = number(held, at)
+            if size < HEAD.itemsize:
+                raise ValueError("damaged record of a BAM file")
+            if at + 4 + size > n:
+                break
+            found.append(at)
+            at += 4 + size
+        return found, at
+
+    def taken() -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], bool]:
+        """Those records and whether more may follow in the range; what is left stays in held."""
+        found, rest = whole()
+        places, offsets = (np.array(x, np.int64) for x in zip(*marks, strict=True))
+        starts = np.array([*found, rest], np.int64)
+        block = np.searchsorted(places, starts, "right") - 1
+        virtual = offsets[block] + starts - places[block]
+        n = int(np.searchsorted(virtual[:-1], end))
+        more = n == len(found) and (rest == len(held) or int(virtual[-1]) < end)
+        data = np.array(held[:rest], np.uint8)
+        del held[:rest]
+        marks[:] = [(max(p - rest, 0), o + max(rest - p, 0)) for p, o in marks[int(block[-1]) :]]
+        return (data, starts[:n], virtual[:n]), more
+
+    for place, plain in bgzf.blocks(window, begin >> 16):
+        if not held and place << 16 >= end:
+            return
+        skip = begin & 0xFFFF if place == begin >> 16 else 0
+        if len(plain) > skip:
+            marks.append((len(held), (place << 16) + skip))
+            held += plain[skip:]
+        last = place >= end >> 16  # what begins in the blocks behind is out of the range
+        if held and (last or len(held) >= CHUNK):
+            found, more = taken()
+            yield found
+            if not more or last and not held:
+                return
+    if held:
+        found, more = taken()
+        yield found
+        if more and held:
+            raise ValueError("BGZF file ends within a record")
+
+
 class BamReader(DataSourceReader):
     def __init__(self, options, schema: T.StructType):
         self.files, self.split = options.get("path", ""), int(options.get("splitBytes", SPLIT_BYTES))
@@ -335,75 +234,20 @@ class BamReader(DataSourceReader):
         if partition is None:  # no file has what is asked for
             return
         fs, inner = parts.open_path(partition.path)
-        wanted, rows = set(self.names), []
         with fs.open_input_file(inner) as file:
             window = parts.Window(file)
             contigs = [n for n, _ in header(bgzf.Reader(window))]
-            reader = bgzf.Reader(window, partition.begin)
-            while (at := reader.offset()) is not None and at < partition.end:
-                data = reader.read(struct.unpack("<i", reader.read(4))[0])
-                if self.contigs is not None:
-                    ref = struct.unpack_from("<i", data)[0]
-                    if ref < 0 or contigs[ref] not in self.contigs:
-                        continue
-                rows.append(decoded(data, contigs, wanted) | {"row_no": at, "path": partition.path})
-                if len(rows) == BATCH:
-                    yield batch_of(rows, self.names)
-                    rows = []
-        if rows:
-            yield batch_of(rows, self.names)
+            asked = None if self.contigs is None else np.array([n in self.contigs for n in contigs] + [False])
+            for data, at, virtual in records(window, partition.begin, partition.end):
+                if asked is not None:
+                    some = asked[np.clip(numbers(data, at + 4, "<i4"), -1, len(contigs))]
+                    at, virtual = at[some], virtual[some]
+                yield from batches(data, at, contigs, self.names, row_no=pa.array(virtual), path=pa.repeat(partition.path, len(at)))
 
 
 # ---------------------------------------------------------------- writing
 
 
-def cigar_of(pairs: list[tuple[int | None, int | None]]) -> list[tuple[int, int]]:
-    """Lengths and codes of the operations of an alignment; bases of the read beyond its ends are clipped."""
-    inside = [k for k, (q, r) in enumerate(pairs) if q is not None and r is not None]
-    ops: list[list[int]] = []
-    for k, (q, r) in enumerate(pairs):
-        op = 0 if q is not None and r is not None else 2 if q is None else 1 if inside and inside[0] < k < inside[-1] else 4
-        if ops and ops[-1][1] == op:
-            ops[-1][0] += 1
-        else:
-            ops.append([1, op])
-    return [(n, op) for n, op in ops]
-
-
-def differences_of(pairs: list[tuple[int | None, int | None]], sequence: str, reference: str, start: int) -> str:
-    out, same, gap = [], 0, False
-    for q, r in pairs:
-        if r is None:
-            continue
-        base = reference[r - start]
-        if q is None:
-            out.append(base if gap else f"{same}^{base}")
-            same, gap = 0, True
-        elif sequence[q] == base:
-            same, gap = same + 1, False
-        else:
-            out.append(f"{same}{base}")
-            same, gap = 0, False
-    return "".join([*out, str(same)])
-
-
-def encoded(row: dict, contigs: dict[str, int]) -> bytes:
-    ref, start = contigs.get(row["ref_id"], -1), row["reference_start"]
-    pairs = [(p["qpos"], p["rpos"]) for p in row.get("aligned_pairs") or []]
-    cigar, sequence = cigar_of(pairs), row["query_sequence"] or ""
-    flag = sum(bit for k, bit in FLAGS.items() if row.get(k))
-    end = row["reference_end"] if row["reference_end"] is not None else (start or 0) + 1
-    name = row["query_name"].encode() + b"\x00"
-    codes = _CODES[np.frombuffer(sequence.upper().encode() + b"=" * (len(sequence) % 2), np.uint8)].reshape(-1, 2)
-    quality = bytes(row["query_qualities"]) if row["query_qualities"] is not None else b"\xff" * len(sequence)
-    more = b"" if row.get("nm") is None else b"NMi" + struct.pack("<i", row["nm"])
-    if row.get("reference_sequence") is not None:
-        more += b"MDZ" + differences_of(pairs, sequence, row["reference_sequence"], start).encode() + b"\x00"
-    head = _HEAD.pack(ref, -1 if start is None else start, len(name), row["mapping_quality"], bin_of(start or 0, end), len(cigar), flag, len(sequence), -1, -1, row["template_length"])
-    body = head + name + b"".join(struct.pack("<I", n << 4 | op) for n, op in cigar) + (codes[:, 0] << 4 | codes[:, 1]).tobytes() + quality + more
-    return struct.pack("<i", len(body)) + body
-
-
 class BamWriter(parts.PartWriter):
     """Each task writes one sorted file and its index."""
 
@@ -412,36 +256,22 @@ class BamWriter(parts.PartWriter):
         self.contigs: list[tuple[str, int]] = [(n, k) for n, k in json.loads(options["contigs"])]
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> parts.Written:
-        number = {n: k for k, (n, _) in enumerate(self.contigs)}
         index = Index([{} for _ in self.contigs], [[] for _ in self.contigs])
-        name, out, last = "", None, (-1, -1)
-        for batch in iterator:
-            for row in batch.to_pylist():
-                if out is None:
-                    name = self.part(".bam")
-                    stream = self.opened(name)
-                    out = bgzf.Writer(stream)
-                    text = "@HD\tVN:1.6\tSO:coordinate\n" + "".join(f"@SQ\tSN:{n}\tLN:{k}\n" for n, k in self.contigs)
-                    out.write(b"BAM\x01" + struct.pack("<i", len(text)) + text.encode() + struct.pack("<i", len(self.contigs)) + b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\x00" + struct.pack("<i", k) for n, k in self.contigs))
-                    out.flush()
-                record, ref, start = encoded(row, number), number.get(row["ref_id"], len(number)), row["reference_start"] or 0
-                if (ref, start) < last:
-                    raise ValueError("alignments are not in order of contig and place")
-                last = (ref, start)
-                before = out.offset()
-                if len(out.held) + len(record) > bgzf.BLOCK:
-                    out.flush()
-                begin = out.offset()
-                out.write(record)
-                if ref < len(number):
-                    end = row["reference_end"] or start + 1
-                    ranges = index.bins[ref].setdefault(bin_of(start, end), [])
-                    if ranges and ranges[-1][1] == before:  # where a block ended there, the next one begins
-                        ranges[-1] = (ranges[-1][0], out.offset())
-                    else:
-                        ranges.append((begin, out.offset()))
-                    linear = index.linear[ref]
-                    linear += [begin] * ((end - 1 >> 14) + 1 - len(linear))
+        name, out, last, run = "", None, (-1, -1), (-1, -1)
+        for batch in (some for whole in iterator for some in portions(whole)):
+            if out is None:
+                name = self.part(".bam")
+                stream = self.opened(name)
+                out = bgzf.Writer(stream)
+                text = "@HD\tVN:1.6\tSO:coordinate\n" + "".join(f"@SQ\tSN:{n}\tLN:{k}\n" for n, k in self.contigs)
+                out.write(b"BAM\x01" + struct.pack("<i", len(text)) + text.encode() + struct.pack("<i", len(self.contigs)) + b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\x00" + struct.pack("<i", k) for n, k in self.contigs))
+                out.flush()
+            data, sizes, ref, start, end = encoded(batch, [n for n, _ in self.contigs])
+            after = np.append(last[0], ref[:-1]), np.append(last[1], start[:-1])
+            if ((ref < after[0]) | ((ref == after[0]) & (start < after[1]))).any():
+                raise ValueError("alignments are not in order of contig and place")
+            last = int(ref[-1]), int(start[-1])
+            run = self.listed(index, run, out.records(data.tobytes(), sizes), ref, start, end)
         if out is None:
             return parts.Written([])
         out.close()
@@ -452,6 +282,29 @@ class BamWriter(parts.PartWriter):
         return parts.Written([f"{name}.bai", name])
 
 
+    def listed(self, index: Index, run: tuple[int, int], offsets: tuple[np.ndarray, np.ndarray], ref: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[int, int]:
+        """Enters records that lie between these virtual offsets; run: contig and bin of the record before them, then of the last one."""
+        begins, ends = offsets
+        bins = bin_of(start, end)
+        fresh = np.append(True, (ref[1:] != ref[:-1]) | (bins[1:] != bins[:-1]))
+        at = np.flatnonzero(fresh)
+        for b, e in zip(at.tolist(), [*(at[1:] - 1).tolist(), len(ref) - 1], strict=True):
+            if ref[b] == len(self.contigs):
+                continue
+            ranges = index.bins[ref[b]].setdefault(int(bins[b]), [])
+            if b == 0 and run == (ref[0], bins[0]):  # goes on from the batch before
+                ranges[-1] = (ranges[-1][0], int(ends[e]))
+            else:
+                ranges.append((int(begins[b]), int(ends[e])))
+        # Of each contig, the records that reach into a window none has reached before.
+        for contig in np.unique(ref[ref < len(self.contigs)]).tolist():
+            of, linear = np.flatnonzero(ref == contig), index.linear[contig]
+            reached = np.maximum.accumulate(np.append(len(linear), (end[of] - 1 >> 14) + 1))
+            for k in np.flatnonzero(reached[1:] > reached[:-1]).tolist():
+                linear += [int(begins[of[k]])] * int(reached[k + 1] - len(linear))
+        return int(ref[-1]), int(bins[-1])
+
+
 class BamSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -496,6 +349,6 @@ def write_bam(alignments: DataFrame, path: str, contigs: Sequence[tuple[str, int
     place = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for k, (n, _) in enumerate(contigs) for x in (n, k)]), F.coalesce("ref_id", F.lit(""))), F.lit(len(contigs))) if contigs else F.lit(0)
     keys = ["_place", "reference_start", "query_name"]
     some = [c for c in WRITTEN if c in alignments.columns]
-    travel = slim(alignments).select(*SLIM, *[c for c in some if c != "aligned_pairs"]) if "aligned_pairs" in some else alignments.select(*some)
-    ordered = travel.withColumn("_place", place).repartitionByRange(*keys).sortWithinPartitions(*keys).select(*[full_pairs().alias(c) if c == "aligned_pairs" else c for c in some])
+    travel = (slim(alignments) if "aligned_pairs" in some else alignments).select(*[x for c in some for x in (SLIM if c == "aligned_pairs" else (c,))])
+    ordered = travel.withColumn("_place", place).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_place")
     ordered.write.format("bam").mode(mode).option("contigs", json.dumps([list(c) for c in contigs])).save(path)

@@ -5,6 +5,7 @@ import hashlib
 import json
 import os
 import random
+import struct
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, GreaterThan, In, LessThan
 
 from helixframe.operators import chunks, coverage, pangenome, pileup, ranks, snv, workflows
-from helixframe.sources import bam, bgzf, fastq, head, lz4, parts, readers, scratch, writers
+from helixframe.sources import bam, bam_records, bgzf, fastq, head, lz4, parts, readers, scratch, writers
 
 # ---------------------------------------------------------------- BAM
 
@@ -129,6 +130,64 @@ def test_bam_of_no_rows_and_damaged_files(spark, tmp_path):
         writer.write(iter([pa.RecordBatch.from_pylist(alignments(20)[::-1])]))
 
 
+def test_bam_records_are_made_and_read_many_at_once(bam_file, tmp_path, monkeypatch):
+    path, rows = bam_file
+    calls, kept = [], bam.encoded
+    monkeypatch.setattr(bam, "encoded", lambda batch, contigs: calls.append(1) or kept(batch, contigs))
+    writer = bam.BamWriter({"path": str(tmp_path / "x"), "contigs": json.dumps([list(c) for c in CONTIGS])}, False)
+    writer.commit([writer.write(iter([pa.RecordBatch.from_pylist(rows[k : k + 5000]) for k in range(0, 20_000, 5000)]))])
+    assert len(calls) <= 8
+    # Neither the file nor its index depends on how rows came to the writer.
+    content = lambda folder, ending: [open(f, "rb").read() for f in parts.listed([folder], ending)]
+    assert content(str(tmp_path / "x"), ".bam") == content(path, ".bam") and content(str(tmp_path / "x"), ".bai") == content(path, ".bai")
+    reader = bam.BamReader({"path": path}, bam.SCHEMA)
+    batches = [b.num_rows for p in reader.partitions() for b in reader.read(p)]
+    assert sum(batches) == 20_000 and len(batches) <= 10
+
+
+def made_record(name, cigar, flag, sequence, tags):
+    codes = [bam_records.BASES.index(b) for b in sequence + "=" * (len(sequence) % 2)]
+    operations = b"".join(struct.pack("<I", n << 4 | bam_records.OPERATIONS.index(op)) for n, op in cigar)
+    body = struct.pack("<iiBBHHHiiii", 0, 100, len(name) + 1, 9, 0, len(cigar), flag, len(sequence), -1, -1, 0) + name.encode() + b"\0" + operations + bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2], strict=True)) + b"\x1e" * len(sequence) + tags
+    return struct.pack("<i", len(body)) + body
+
+
+@pytest.mark.parametrize("columns", [1 << 20, 5])
+def test_bam_records_of_others(tmp_path, monkeypatch, columns):
+    """Operations and tags that the writer here never makes, also where one record alone has more columns than a batch should."""
+    monkeypatch.setattr(bam_records, "COLUMNS", columns)
+    real = [(1, "S"), (2, "M"), (3, "N"), (1, "X")]
+    long = b"CGBI" + struct.pack("<5I", 4, *[n << 4 | bam_records.OPERATIONS.index(op) for n, op in real])
+    records = [
+        made_record("hard", [(4, "H"), (2, "S"), (3, "M"), (1, "I"), (2, "D"), (2, "="), (5, "H")], 0, "ACGTANCC", b"XZZtext\0XBBs" + struct.pack("<ihh", 2, 1, 0) + b"MDZ1a1^GT2\0NMC\xfa"),
+        made_record("none", [], 4, "AC", b"NMs\xff\xff"),
+        made_record("long", [(4, "S"), (6, "N")], 16, "ACGT", b"XAAq" + long + b"MDZ2T\0"),
+        made_record("bare", [(3, "M")], 0, "", b"MDZ3\0"),
+    ]
+    with open(tmp_path / "x.bam", "wb") as file:
+        out = bgzf.Writer(file)
+        out.write(b"BAM\x01" + struct.pack("<iii", 0, 1, 2) + b"k\0" + struct.pack("<i", 1000) + b"".join(records))
+        out.close()
+    hard, none, bare_long, bare = read_bam(str(tmp_path / "x.bam"))[1]
+    assert (hard["reference_end"], hard["query_alignment_start"], hard["query_alignment_end"], hard["nm"], hard["reference_sequence"]) == (107, 2, 8, 250, "GAAGTCC")
+    assert [(p["qpos"], p["rpos"]) for p in hard["aligned_pairs"]] == [(0, None), (1, None), (2, 100), (3, 101), (4, 102), (5, None), (None, 103), (None, 104), (6, 105), (7, 106)]
+    assert (none["aligned_pairs"], none["reference_end"], none["nm"], none["query_alignment_end"]) == (None, None, -1, 2)
+    assert (bare_long["reference_end"], bare_long["query_alignment_start"], bare_long["reference_sequence"], bare_long["is_reverse"]) == (106, 1, "CGNNNT", True)
+    assert [(p["qpos"], p["rpos"]) for p in bare_long["aligned_pairs"]] == [(0, None), (1, 100), (2, 101), (None, 102), (None, 103), (None, 104), (3, 105)]
+    assert (bare["query_sequence"], bare["query_qualities"], bare["reference_sequence"], bare["reference_end"]) == (None, None, "", 103)
+    with pytest.raises(ValueError, match="damaged record"):
+        list(bam_records.batches(np.frombuffer(records[0][:10] + b"\xff" * 60, np.uint8), np.array([0]), ["k"], ["nm"]))
+
+
+def test_bam_records_refuse_what_does_not_fit():
+    row = next(r for r in alignments(5) if r["query_qualities"])
+    made = lambda **changed: bam_records.encoded(pa.RecordBatch.from_pylist([row | changed], pa.RecordBatch.from_pylist([row]).schema), ["k0"])
+    assert made()[1][0] > 36
+    for changed, said in (({"query_name": "q" * 255}, "query_name"), ({"mapping_quality": 256}, "mapping_quality"), ({"mapping_quality": None}, "mapping_quality"), ({"query_qualities": [1]}, "query_qualities"), ({"reference_sequence": "A"}, "beyond")):
+        with pytest.raises(ValueError, match=said):
+            made(**changed)
+
+
 def test_bins_hold_what_overlaps():
     rng = random.Random(2)
     for _ in range(2000):
